@@ -37,13 +37,119 @@ def model_oracles() -> dict[str, str]:
     return {name: oracle.model(name) for name in list(SILVER) + list(GOLD)}
 
 
+
+
+# ---------------------------------------------------------------- analytics, quality
+def analytic_queries() -> dict[str, Query]:
+    from strata.plans import analytics as a
+
+    def aq_daily_sales(spark, sf_dir):
+        return a.daily_sales_overview(layers(spark, sf_dir)["mart_daily_sales"])
+
+    def aq_category_quality(spark, sf_dir):
+        t = layers(spark, sf_dir)
+        return a.category_quality(t["fact_order_items"], t["dim_product"],
+                                  t["dim_product_category"], t["fact_orders"])
+
+    def aq_seller_geography(spark, sf_dir):
+        t = layers(spark, sf_dir)
+        return a.seller_geography(t["fact_order_items"], t["dim_seller"], t["dim_geography"])
+
+    return {"aq_daily_sales": aq_daily_sales, "aq_category_quality": aq_category_quality,
+            "aq_seller_geography": aq_seller_geography}
+
+
+def _composite(c) -> bool:
+    return c.kind == "unique" and len(c.columns) == 2
+
+
+def quality_queries() -> dict[str, Query]:
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from strata.plans import suite as s
+
+    def dq_suite(spark, sf_dir):
+        return s.summary(layers(spark, sf_dir))
+
+    def dq_not_null(spark, sf_dir):
+        return s.summary(layers(spark, sf_dir), s.select(kind="not_null"))
+
+    def dq_relationships(spark, sf_dir):
+        return s.summary(layers(spark, sf_dir), s.select(kind="relationships"))
+
+    def dq_unique(spark, sf_dir):
+        t = layers(spark, sf_dir)
+        parts = [s.violations(c, t).select(
+                     F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
+                     F.lit(c.columns[0]).alias("column_name"),
+                     F.col(c.columns[0]).cast("string").alias("key_value"), "n_records")
+                 for c in s.select(kind="unique") if not _composite(c)]
+        return reduce(lambda x, y: x.unionByName(y), parts)
+
+    def dq_unique_composite(spark, sf_dir):
+        t = layers(spark, sf_dir)
+        parts = [s.violations(c, t).select(
+                     F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
+                     F.col(c.columns[0]).cast("string").alias("key_1"),
+                     F.col(c.columns[1]).cast("string").alias("key_2"), "n_records")
+                 for c in s.select(kind="unique") if _composite(c)]
+        return reduce(lambda x, y: x.unionByName(y), parts)
+
+    def dq_accepted_values(spark, sf_dir):
+        c = s.select(kind="accepted_values")[0]
+        return s.violations(c, layers(spark, sf_dir)).select(
+            F.lit(c.table).alias("table_name"), F.lit(c.columns[0]).alias("column_name"),
+            F.col("value").cast("string").alias("value"), "n_records")
+
+    def dq_delivery_before_purchase(spark, sf_dir):
+        return s.delivery_before_purchase(layers(spark, sf_dir)["fact_orders"])
+
+    def dq_negative_amounts(spark, sf_dir):
+        return s.negative_amounts(layers(spark, sf_dir)["fact_orders"])
+
+    def dq_freshness(spark, sf_dir):
+        return s.freshness_report(layers(spark, sf_dir))
+
+    return {f.__name__: f for f in (
+        dq_suite, dq_not_null, dq_relationships, dq_unique, dq_unique_composite,
+        dq_accepted_values, dq_delivery_before_purchase, dq_negative_amounts, dq_freshness)}
+
+
+def analytic_oracles() -> dict[str, str]:
+    from strata import oracle as o
+    return {"aq_daily_sales": o.AQ_DAILY, "aq_category_quality": o.AQ_CATEGORY,
+            "aq_seller_geography": o.AQ_SELLER}
+
+
+def quality_oracles() -> dict[str, str]:
+    from strata import oracle as o
+    from strata.plans import suite as s
+    singles = [c for c in s.select(kind="unique") if not _composite(c)]
+    pairs = [c for c in s.select(kind="unique") if _composite(c)]
+    return {
+        "dq_suite": o.suite_sql(s.CHECKS),
+        "dq_not_null": o.suite_sql(s.select(kind="not_null")),
+        "dq_relationships": o.suite_sql(s.select(kind="relationships")),
+        "dq_unique": o.unique_values_sql(singles),
+        "dq_unique_composite": o.unique_pairs_sql(pairs),
+        "dq_accepted_values": o.accepted_values_sql(s.select(kind="accepted_values")[0]),
+        "dq_delivery_before_purchase": o.DQ_DELIVERY,
+        "dq_negative_amounts": o.DQ_NEGATIVE,
+        "dq_freshness": o.freshness_sql(s.FRESHNESS_SOURCES),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(model_queries())
+    for part in (model_queries, analytic_queries, quality_queries):
+        out.update(part())
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    out.update(model_oracles())
+    for part in (model_oracles, analytic_oracles, quality_oracles):
+        out.update(part())
     return out
