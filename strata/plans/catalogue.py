@@ -141,15 +141,93 @@ def quality_oracles() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- Bronze ingest
+def _ingest_roundtrip(spark: SparkSession, sf_dir: str, fail_second: bool = False):
+    from strata.session import scratch_path
+    from strata.sources import csv_ingest as ci
+    from strata.sources.catalog import Catalog
+    from strata.sources.contracts import CONTRACTS
+
+    root = scratch_path(spark, "ingest")
+    landing = f"{root}/landing"
+    bronze = Bronze(spark, sf_dir)
+    ci.landing_from_frames({c.name: bronze[c.name] for c in CONTRACTS}, landing)
+    catalog = Catalog(spark, f"{root}/warehouse")
+    ci.ingest(spark, catalog, landing)
+    if fail_second:
+        try:
+            ci.ingest(spark, catalog, landing, fail_before_publish=True)
+        except RuntimeError:
+            pass
+    return catalog
+
+
+def ingest_queries() -> dict[str, Query]:
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from strata.plans import analytics as a
+    from strata.sources.contracts import CONTRACTS
+
+    def ingest_csv_roundtrip(spark, sf_dir):
+        """Land the raw tables as CSV, ingest them strictly, and profile the
+        published Bronze versions (rows, NULL cells, distinct first column,
+        file row numbers that do not fit their file)."""
+        catalog = _ingest_roundtrip(spark, sf_dir)
+        published = catalog.reader("bronze")
+        parts = []
+        for c in CONTRACTS:
+            df = published[c.name]
+            nulls = reduce(lambda x, y: x + y,
+                           [F.col(col).isNull().cast("bigint") for col in c.columns])
+            per_file = df.groupBy("_source_file").agg(
+                F.count(F.lit(1)).alias("n"), F.min("_source_row_number").alias("lo"),
+                F.max("_source_row_number").alias("hi"),
+                F.countDistinct("_source_row_number").alias("d"))
+            bad = per_file.agg(F.count_if((F.col("lo") != 1) | (F.col("hi") != F.col("n"))
+                                          | (F.col("d") != F.col("n"))).alias("bad_files"))
+            stats = df.agg(F.count(F.lit(1)).alias("row_count"),
+                           F.sum(nulls).cast("bigint").alias("null_cells"),
+                           F.countDistinct(c.columns[0]).alias("distinct_first_column"))
+            parts.append(stats.crossJoin(bad).select(
+                F.lit(c.name).alias("table_name"), "row_count", "null_cells",
+                "distinct_first_column", "bad_files"))
+        return reduce(lambda x, y: x.unionByName(y), parts)
+
+    def load_run_history(spark, sf_dir):
+        """Run history after one published load and one that failed before
+        publication (AQ1)."""
+        catalog = _ingest_roundtrip(spark, sf_dir, fail_second=True)
+        return a.load_run_history(catalog.run_audit())
+
+    return {"ingest_csv_roundtrip": ingest_csv_roundtrip, "load_run_history": load_run_history}
+
+
+def ingest_oracles() -> dict[str, str]:
+    from strata import oracle as o
+    from strata.sources.contracts import CONTRACTS
+    parts = []
+    for c in CONTRACTS:
+        nulls = " + ".join(f"cast({col} is null as bigint)" for col in c.columns)
+        parts.append(f"select '{c.name}' as table_name, count(*) as row_count, "
+                     f"cast(sum({nulls}) as bigint) as null_cells, "
+                     f"count(distinct {c.columns[0]}) as distinct_first_column, "
+                     f"cast(0 as bigint) as bad_files from {c.name}")
+    return {"ingest_csv_roundtrip": o.query("\nunion all\n".join(parts),
+                                            *[c.name for c in CONTRACTS])}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (model_queries, analytic_queries, quality_queries):
+    for part in (model_queries, analytic_queries, quality_queries, ingest_queries):
         out.update(part())
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (model_oracles, analytic_oracles, quality_oracles):
+    for part in (model_oracles, analytic_oracles, quality_oracles, ingest_oracles):
         out.update(part())
     return out
+
