@@ -71,7 +71,15 @@ def quality_queries() -> dict[str, Query]:
     from strata.plans import suite as s
 
     def dq_suite(spark, sf_dir):
-        return s.summary(layers(spark, sf_dir))
+        """All 82 declared tests, run the way the pipeline runs them: over the
+        written, published Silver and Gold tables (and the Bronze tables)."""
+        from strata.plans.build import build, published_tables
+        catalog = _scratch_catalog(spark, "dq-suite")
+        bronze = Bronze(spark, sf_dir)
+        build(spark, catalog, bronze, on_failure="skip")
+        tables = dict(published_tables(catalog))
+        tables.update({c.name: bronze[c.name] for c in _contracts()})
+        return s.summary(tables)
 
     def dq_not_null(spark, sf_dir):
         return s.summary(layers(spark, sf_dir), s.select(kind="not_null"))
@@ -141,6 +149,34 @@ def quality_oracles() -> dict[str, str]:
     }
 
 
+def _scratch_catalog(spark: SparkSession, name: str):
+    from strata.session import scratch_path
+    from strata.sources.catalog import Catalog
+    return Catalog(spark, scratch_path(spark, name))
+
+
+def _contracts():
+    from strata.sources.contracts import CONTRACTS
+    return CONTRACTS
+
+
+def build_queries() -> dict[str, Query]:
+    def warehouse_build(spark, sf_dir):
+        """Full refresh (write, test, publish Silver then Gold) into a fresh
+        warehouse; returns the published daily sales mart."""
+        from strata.plans.build import build
+        catalog = _scratch_catalog(spark, "build")
+        build(spark, catalog, Bronze(spark, sf_dir), on_failure="warn")
+        return catalog.read("gold", "mart_daily_sales")
+
+    return {"warehouse_build": warehouse_build}
+
+
+def build_oracles() -> dict[str, str]:
+    from strata import oracle as o
+    return {"warehouse_build": o.model("mart_daily_sales")}
+
+
 # ---------------------------------------------------------------- Bronze ingest
 def _ingest_roundtrip(spark: SparkSession, sf_dir: str, fail_second: bool = False):
     from strata.session import scratch_path
@@ -220,14 +256,16 @@ def ingest_oracles() -> dict[str, str]:
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (model_queries, analytic_queries, quality_queries, ingest_queries):
+    for part in (model_queries, analytic_queries, quality_queries, ingest_queries,
+                 build_queries):
         out.update(part())
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (model_oracles, analytic_oracles, quality_oracles, ingest_oracles):
+    for part in (model_oracles, analytic_oracles, quality_oracles, ingest_oracles,
+                 build_oracles):
         out.update(part())
     return out
 

@@ -165,6 +165,33 @@ def _failures(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     return violations(check, tables).agg(F.count(F.lit(1)).alias("failures"))
 
 
+def _unique_failures(df: DataFrame, group: list[Check]) -> DataFrame:
+    """All unique tests of one table in one aggregation: each row is stacked
+    once per test as (test, key parts as strings), NULL keys dropped, grouped,
+    and the duplicated keys counted per test.  One scan and one shuffle for the
+    table instead of one per test; partial aggregation runs map-side."""
+    width = max(len(c.columns) for c in group)
+    entries = []
+    for c in group:
+        present = F.lit(True)
+        for col in c.columns:
+            present = present & F.col(col).isNotNull()
+        keys = [F.col(col).cast("string") for col in c.columns]
+        keys += [F.lit("")] * (width - len(keys))
+        entries.append(F.when(present, F.struct(F.lit(c.test_name).alias("test_name"),
+                                                *[k.alias(f"k{i}") for i, k in enumerate(keys)])))
+    stacked = df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
+    dupes = (stacked.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+                    .where(F.col("n") > 1)
+                    .groupBy(F.col("e.test_name").alias("test_name"))
+                    .agg(F.count(F.lit(1)).alias("failures")))
+    names = df.sparkSession.createDataFrame(
+        [(c.layer, c.table, c.test_name) for c in group], "layer string, table_name string, test_name string")
+    return (names.join(dupes, "test_name", "left")
+                 .select("layer", "table_name", "test_name",
+                         F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
+
+
 def summary(tables: Mapping[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
     """One row per check: layer, table_name, test_name, failures.
 
@@ -188,8 +215,14 @@ def summary(tables: Mapping[str, DataFrame], checks: list[Check] | None = None)
         parts.append(counts.select(stacked).select(
             F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
             "t.test_name", "t.failures"))
+    uniques: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind == "not_null":
+        if c.kind == "unique":
+            uniques.setdefault(c.table, []).append(c)
+    for table, group in uniques.items():
+        parts.append(_unique_failures(tables[table], group))
+    for c in checks:
+        if c.kind in ("not_null", "unique"):
             continue
         parts.append(_failures(c, tables).select(
             F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
