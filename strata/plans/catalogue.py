@@ -177,6 +177,104 @@ def build_oracles() -> dict[str, str]:
     return {"warehouse_build": o.model("mart_daily_sales")}
 
 
+# ---------------------------------------------------------------- extensions
+def extension_queries() -> dict[str, Query]:
+    from pyspark.sql import functions as F
+
+    from strata.operators import incremental as inc
+    from strata.plans.silver import stg_orders
+    from strata.session import scratch_path
+    from strata.sources import adapters
+    from strata.sources import csv_ingest as ci
+    from strata.sources.contracts import contract
+
+    def ex_record_id(spark, sf_dir):
+        """Deterministic ids: SHA-256 of each landed file, then
+        SHA-256(batch_id || '-' || file row number) per record."""
+        root = scratch_path(spark, "ids")
+        c = contract("raw_orders")
+        ci.landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, root, [c])
+        path = f"{root}/{c.file}"
+        ids = inc.batch_ids(spark, path, "*.csv")
+        raw = ci.read_strict(spark, path, c).select(
+            "*", F.monotonically_increasing_id().alias(ci._RAW_ID),
+            F.col("_metadata.file_block_start").alias("_split"))
+        staged_path = f"{root}/staged"
+        raw.write.parquet(staged_path)
+        rows = ci.with_file_rows(spark.read.parquet(staged_path))
+        keyed = rows.join(ids.withColumnRenamed("source_file", ci._FILE_PATH), ci._FILE_PATH)
+        recs = keyed.select(inc.record_id("batch_id", ci.SOURCE_ROW).alias("record_id"))
+        return recs.agg(F.count(F.lit(1)).alias("records"),
+                        F.countDistinct("record_id").alias("distinct_record_ids"))
+
+    def ex_upsert(spark, sf_dir):
+        """Orders after a second load: newest row per order wins."""
+        current = layers(spark, sf_dir)["stg_orders"]
+        incoming = stg_orders(adapters.raw_orders_changes(spark, sf_dir))
+        return inc.upsert(current, incoming, ["order_id"], ["_loaded_at"])
+
+    def ex_lookback(spark, sf_dir):
+        """Incremental slice of events: already loaded up to 2024-01-15, take
+        source rows from the loaded maximum minus 24 hours."""
+        events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+        target = events.where(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+        return inc.lookback_filter(events, target, "ts", 24)
+
+    def ex_reconcile(spark, sf_dir):
+        """Orders whose raw item rows and fact item count differ (dedup loss)."""
+        t = layers(spark, sf_dir)
+        from strata.functions.clean import blank_to_null
+        raw = (t["raw_order_items"].groupBy(blank_to_null("order_id").alias("order_id"))
+               .agg(F.count(F.lit(1)).alias("raw_items")))
+        fact = t["fact_orders"].select("order_id", F.col("item_count").alias("fact_items"))
+        diff = inc.reconcile(raw.withColumnRenamed("raw_items", "items"),
+                             fact.withColumnRenamed("fact_items", "items"), ["order_id"], ["items"])
+        return diff.select("order_id", F.col("left_items").alias("raw_items"),
+                           F.col("right_items").alias("fact_items"))
+
+    def ex_stream_dedup(spark, sf_dir):
+        """Events redelivered twice, streamed with a watermark, deduplicated
+        within it and upserted batch by batch into a versioned table."""
+        from strata.sources.catalog import Catalog
+        from strata.streaming.ingest import UpsertSink, deduplicated_stream, run_available
+        root = scratch_path(spark, "stream")
+        events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+        for copy in ("first", "redelivered"):
+            events.write.parquet(f"{root}/source/{copy}")
+        src = f"{root}/source/*"
+        stream = deduplicated_stream(spark, src, events.schema, ["event_id"], "ts",
+                                     watermark="2 hours", files_per_trigger=1)
+        catalog = Catalog(spark, f"{root}/warehouse")
+        run_available(stream, UpsertSink(catalog, "silver", "events", ["event_id"]),
+                      f"{root}/checkpoint")
+        return catalog.read("silver", "events").select(*events.columns)
+
+    def ex_quarantine(spark, sf_dir):
+        """Sellers landed twice, once well-formed and once with a column
+        missing: the malformed rows are quarantined, not loaded."""
+        root = scratch_path(spark, "quarantine")
+        c = contract("raw_sellers")
+        sellers = adapters.raw_sellers(spark, sf_dir)
+        ci.landing_from_frames({c.name: sellers}, f"{root}/good", [c])
+        (sellers.select(*c.columns[:-1]).write.option("header", False)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(f"{root}/ragged"))
+        good, _ = inc.read_with_quarantine(spark, f"{root}/good/{c.file}", c, f"{root}/s1")
+        _, bad = inc.read_with_quarantine(spark, f"{root}/ragged", c, f"{root}/s2", header=False)
+        return good.agg(F.count(F.lit(1)).alias("good_rows")).crossJoin(
+            bad.agg(F.count(F.lit(1)).alias("quarantined_rows")))
+
+    return {f.__name__: f for f in (ex_record_id, ex_upsert, ex_lookback, ex_reconcile,
+                                    ex_stream_dedup, ex_quarantine)}
+
+
+def extension_oracles() -> dict[str, str]:
+    from strata import oracle as o
+    return {"ex_record_id": o.EX_RECORD_ID, "ex_upsert": o.EX_UPSERT,
+            "ex_lookback": o.EX_LOOKBACK, "ex_reconcile": o.EX_RECONCILE,
+            "ex_stream_dedup": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE}
+
+
 # ---------------------------------------------------------------- Bronze ingest
 def _ingest_roundtrip(spark: SparkSession, sf_dir: str, fail_second: bool = False):
     from strata.session import scratch_path
@@ -257,7 +355,7 @@ def ingest_oracles() -> dict[str, str]:
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for part in (model_queries, analytic_queries, quality_queries, ingest_queries,
-                 build_queries):
+                 build_queries, extension_queries):
         out.update(part())
     return out
 
@@ -265,7 +363,7 @@ def all_queries() -> dict[str, Query]:
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (model_oracles, analytic_oracles, quality_oracles, ingest_oracles,
-                 build_oracles):
+                 build_oracles, extension_oracles):
         out.update(part())
     return out
 

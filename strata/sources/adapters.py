@@ -211,6 +211,22 @@ def raw_product_category_translation(spark: SparkSession, sf_dir: str) -> DataFr
     return _bronze(shaped, "raw_product_category_translation", F.lit(LOAD_TIME), F.lit(1))
 
 
+def raw_orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later load of the orders extract: every order still open in the first
+    load arrives again, now delivered ten days after purchase."""
+    o = _read(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "O")
+    shaped = raw_orders(spark, sf_dir).join(
+        o.select(F.concat(F.lit(" "), _s("o_orderkey")).alias("order_id"), "o_orderdate"),
+        "order_id", "inner")
+    return shaped.select(
+        "order_id", "customer_id", F.lit("DELIVERED").alias("order_status"),
+        "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+        F.concat(_day("o_orderdate", 10), F.lit(" 18:00:00")).alias("order_delivered_customer_date"),
+        "order_estimated_delivery_date",
+        F.lit(dt.datetime(2024, 1, 2)).cast("timestamp").alias(LOADED_AT),
+        F.col(SOURCE_ROW))
+
+
 BUILDERS = {
     "raw_customers": raw_customers,
     "raw_geolocation": raw_geolocation,
