@@ -17,9 +17,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.plans import suite
-from strata.plans.layers import GOLD, SILVER, Layers
+from strata.plans.layers import DESCRIPTIONS, GOLD, PARTITION_BY, SILVER, Layers
+from strata.sources.catalog import now_utc
 from strata.sources.catalog import Catalog
 
 # Gold models in dependency waves (a wave only reads earlier waves).
@@ -41,12 +43,22 @@ class GateFailed(AssertionError):
     pass
 
 
-def _gate(tables: Mapping[str, DataFrame], layer: str, on_failure: str,
+def _gate(catalog: Catalog, tables: Mapping[str, DataFrame], layer: str, on_failure: str,
           result: BuildResult) -> None:
+    """Run the layer's tests (one job), store every result with its severity,
+    and stop the build on a failing error-severity test when asked to."""
     if on_failure == "skip":
         return
-    rows = suite.summary(tables, suite.select(layer)).where("failures > 0").collect()
-    failed = sorted((r["test_name"], int(r["failures"])) for r in rows)
+    checks = suite.select(layer)
+    severity = {c.test_name: c.severity for c in checks}
+    rows = suite.summary(tables, checks).collect()          # one row per declared test
+    at = now_utc()
+    catalog.append_test_results([
+        (result.run_id, r["layer"], r["table_name"], r["test_name"], severity[r["test_name"]],
+         int(r["failures"]), "pass" if r["failures"] == 0 else
+         ("warn" if severity[r["test_name"]] == "warn" else "fail"), at) for r in rows])
+    failed = sorted((r["test_name"], int(r["failures"])) for r in rows
+                    if r["failures"] > 0 and severity[r["test_name"]] == "error")
     result.failures[layer] = failed
     if failed and on_failure == "raise":
         lines = "\n".join(f"- {t}: {n}" for t, n in failed)
@@ -57,7 +69,11 @@ def _write_layer(spark: SparkSession, catalog: Catalog, layer: str,
                  frames: Mapping[str, DataFrame], version: str,
                  parallelism: int) -> dict[str, DataFrame]:
     def write(name: str) -> tuple[str, str]:
-        return name, catalog.write_version(frames[name], layer, name, version)
+        df, part = frames[name], PARTITION_BY.get(name)
+        if part:
+            df = df.withColumn(part, (F.col("order_date_key") / 100).cast("int"))
+        return name, catalog.write_version(df, layer, name, version,
+                                           partition_by=[part] if part else None)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         paths = dict(pool.map(write, list(frames)))
@@ -77,14 +93,15 @@ def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame]
     result = BuildResult(run_id)
 
     bronze_tables = {name: bronze[name] for _, name in SILVER.values()}
-    _gate(bronze_tables, "bronze", on_failure, result)
+    _gate(catalog, bronze_tables, "bronze", on_failure, result)
 
     base = Layers(bronze)
     silver = _write_layer(spark, catalog, "silver",
                           {name: base[name] for name in SILVER}, run_id, parallelism)
-    _gate(silver, "silver", on_failure, result)
+    _gate(catalog, silver, "silver", on_failure, result)
     result.published["silver"] = catalog.publish(
-        "silver", {name: (run_id, None) for name in silver}, publication_id=run_id)
+        "silver", {name: (run_id, None) for name in silver}, publication_id=run_id,
+        descriptions=DESCRIPTIONS)
 
     written: dict[str, DataFrame] = dict(silver)
     for wave in GOLD_WAVES:
@@ -93,9 +110,10 @@ def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame]
                                     {name: layered[name] for name in wave}, run_id,
                                     parallelism))
     gold = {name: written[name] for name in GOLD}
-    _gate(gold, "gold", on_failure, result)
+    _gate(catalog, gold, "gold", on_failure, result)
     result.published["gold"] = catalog.publish(
-        "gold", {name: (run_id, None) for name in gold}, publication_id=run_id)
+        "gold", {name: (run_id, None) for name in gold}, publication_id=run_id,
+        descriptions=DESCRIPTIONS)
     return result
 
 

@@ -32,6 +32,33 @@ GOLD: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 
 SILVER = s.MODELS
 
+# Table descriptions, persisted with every publication (manifest) and as the
+# comment of the written table's schema.
+DESCRIPTIONS = {
+    "stg_customers": "Customers, one row per raw customer id, ZIP padded to five digits.",
+    "stg_geolocation": "One coordinate (mean) and locality (minimum) per ZIP prefix.",
+    "stg_order_items": "Order lines, typed, newest copy per raw (order, line) key.",
+    "stg_order_payments": "Payments, typed, newest copy per raw (order, sequence) key.",
+    "stg_order_reviews": "Reviews, typed, newest copy per raw (review, order) key.",
+    "stg_orders": "Orders with typed lifecycle timestamps and lower-case status.",
+    "stg_products": "Products with parsed sizes and weights.",
+    "stg_sellers": "Sellers, ZIP padded to five digits.",
+    "stg_product_categories": "Category names with their English translation.",
+    "dim_customer": "Customer dimension keyed by customer id, pointing to geography.",
+    "dim_seller": "Seller dimension pointing to the shared geography dimension.",
+    "dim_product": "Product dimension with its category key and volume.",
+    "dim_product_category": "Category outrigger: every known category and its translation.",
+    "dim_geography": "Geography per ZIP prefix: geolocation, else customers, else sellers.",
+    "dim_date": "Calendar from the first purchase day to the last relevant order day.",
+    "fact_orders": "Order grain: item, payment, review and delivery metrics.",
+    "fact_order_items": "Order-line grain with product, seller, customer and date keys.",
+    "mart_daily_sales": "Daily KPIs over dated orders.",
+}
+
+# Facts are written partitioned by order month, so date-range readers prune
+# files and joins filtered on the calendar can use dynamic partition pruning.
+PARTITION_BY = {"fact_orders": "order_month", "fact_order_items": "order_month"}
+
 
 class Layers:
     """Resolve ``raw_*``, ``stg_*`` and Gold names against a Bronze source.

@@ -29,6 +29,7 @@ class Check:
     parent: tuple[str, str] | None = None          # relationships: (table, field)
     values: tuple = field(default=())              # accepted_values
     name: str = ""                                 # expression checks
+    severity: str = "error"                        # error stops the build; warn is reported
 
     @property
     def test_name(self) -> str:

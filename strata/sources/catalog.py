@@ -41,6 +41,18 @@ MANIFEST_SCHEMA = StructType([
     StructField("path", StringType(), False),
     StructField("row_count", LongType(), True),
     StructField("published_at", TimestampType(), False),
+    StructField("description", StringType(), True),
+])
+
+TEST_RESULT_SCHEMA = StructType([
+    StructField("run_id", StringType(), False),
+    StructField("layer", StringType(), False),
+    StructField("table_name", StringType(), False),
+    StructField("test_name", StringType(), False),
+    StructField("severity", StringType(), False),
+    StructField("failures", LongType(), False),
+    StructField("status", StringType(), False),
+    StructField("tested_at", TimestampType(), False),
 ])
 
 FILE_AUDIT_SCHEMA = StructType([
@@ -117,8 +129,16 @@ class Catalog:
     # ------------------------------------------------------------ data
     def write_version(self, df: DataFrame, layer: str, table: str, version: str,
                       partition_by: list[str] | None = None) -> str:
-        """Write an immutable version (fails if that version exists)."""
+        """Write an immutable version (fails if that version exists).
+
+        A partitioned write is rebalanced on the partition columns first: AQE
+        then cuts a large partition value into several files and packs small
+        ones together, instead of one task (and one file) per value or one
+        file per value and task.
+        """
         path = self.version_path(layer, table, version)
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -154,17 +174,36 @@ class Catalog:
         return (row["s"] or 0) + 1
 
     def publish(self, layer: str, tables: dict[str, tuple[str, int | None]],
-                publication_id: str | None = None) -> int:
+                publication_id: str | None = None,
+                descriptions: dict[str, str] | None = None) -> int:
         """Make ``{table: (version, rows)}`` current together, atomically."""
         seq = self.next_seq()
         pub = publication_id or str(uuid.uuid4())
         at = now_utc()
+        docs = descriptions or {}
         rows = [(layer, seq, pub, t, v, self.version_path(layer, t, v),
-                 None if n is None else int(n), at) for t, (v, n) in sorted(tables.items())]
+                 None if n is None else int(n), at, docs.get(t))
+                for t, (v, n) in sorted(tables.items())]
         (self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
              .coalesce(1).write.mode("append").parquet(self.manifest_dir))
         return seq
 
+    # ------------------------------------------------------------ test results
+    @property
+    def test_results_dir(self) -> str:
+        return f"{self.root}/_audit/tests"
+
+    def append_test_results(self, rows: list[tuple]) -> None:
+        """Store one suite run (one row per test) in the append-only results table."""
+        if rows:
+            (self.spark.createDataFrame(rows, TEST_RESULT_SCHEMA)
+                 .coalesce(1).write.mode("append").parquet(self.test_results_dir))
+
+    def test_results(self) -> DataFrame:
+        if not fs.exists(self.spark, self.test_results_dir):
+            return self.spark.createDataFrame([], TEST_RESULT_SCHEMA)
+        return self.spark.read.schema(TEST_RESULT_SCHEMA).parquet(self.test_results_dir)
+
     # ------------------------------------------------------------ audit
     def append_file_audit(self, rows: list[tuple]) -> None:
         (self.spark.createDataFrame(rows, FILE_AUDIT_SCHEMA)
