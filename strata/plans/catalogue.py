@@ -264,15 +264,45 @@ def extension_queries() -> dict[str, Query]:
         return good.agg(F.count(F.lit(1)).alias("good_rows")).crossJoin(
             bad.agg(F.count(F.lit(1)).alias("quarantined_rows")))
 
+    def ex_business_freshness(spark, sf_dir):
+        """Freshness of the business event time (newest purchase), apart from
+        the load time."""
+        from strata.operators.quality import freshness
+        orders = layers(spark, sf_dir)["stg_orders"]
+        return freshness(orders, "purchased_at").select(
+            F.lit("stg_orders").alias("table_name"),
+            F.col("max_loaded_at").alias("max_purchased_at"), "status")
+
+    def ex_replay(spark, sf_dir):
+        """Load the same orders extract twice: the Silver result of the rerun
+        has the same rows, keys and order-free content hash as the first."""
+        from strata.sources.catalog import Catalog
+        root = scratch_path(spark, "replay")
+        c = contract("raw_orders")
+        ci.landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, f"{root}/landing", [c])
+        catalog = Catalog(spark, f"{root}/warehouse")
+        prints = []
+        for run in (1, 2):
+            ci.ingest(spark, catalog, f"{root}/landing", contracts=[c], load_id=f"replay-{run}")
+            silver = stg_orders(catalog.read("bronze", c.name)).drop("_loaded_at")
+            prints.append(inc.fingerprint(silver, ["order_id"]).select(
+                F.lit(run).alias("run"), "rows", "distinct_keys", "row_hash_sum"))
+        first = prints[0].select(F.col("row_hash_sum").alias("_first"))
+        return (prints[0].unionByName(prints[1]).crossJoin(first)
+                .select("run", "rows", "distinct_keys",
+                        (F.col("row_hash_sum") == F.col("_first")).alias("matches_first")))
+
     return {f.__name__: f for f in (ex_record_id, ex_upsert, ex_lookback, ex_reconcile,
-                                    ex_stream_dedup, ex_quarantine)}
+                                    ex_stream_dedup, ex_quarantine, ex_business_freshness,
+                                    ex_replay)}
 
 
 def extension_oracles() -> dict[str, str]:
     from strata import oracle as o
     return {"ex_record_id": o.EX_RECORD_ID, "ex_upsert": o.EX_UPSERT,
             "ex_lookback": o.EX_LOOKBACK, "ex_reconcile": o.EX_RECONCILE,
-            "ex_stream_dedup": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE}
+            "ex_stream_dedup": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE,
+            "ex_business_freshness": o.EX_BUSINESS_FRESHNESS, "ex_replay": o.EX_REPLAY}
 
 
 # ---------------------------------------------------------------- Bronze ingest
