@@ -117,6 +117,17 @@ def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame]
     return result
 
 
+def publish_frames(spark: SparkSession, catalog: Catalog, layer: str,
+                   frames: Mapping[str, DataFrame], version: str | None = None,
+                   parallelism: int = 4) -> dict[str, DataFrame]:
+    """Write frames as versions of ``layer`` and publish them together; returns
+    the written copies (e.g. to stage an already-parsed Bronze load)."""
+    version = version or str(uuid.uuid4())
+    written = _write_layer(spark, catalog, layer, frames, version, parallelism)
+    catalog.publish(layer, {name: (version, None) for name in frames}, publication_id=version)
+    return written
+
+
 def published_tables(catalog: Catalog) -> dict[str, DataFrame]:
     """Every published Silver and Gold table, by name."""
     out: dict[str, DataFrame] = {}

@@ -75,7 +75,7 @@ def quality_queries() -> dict[str, Query]:
         written, published Silver and Gold tables (and the Bronze tables)."""
         from strata.plans.build import build, published_tables
         catalog = _scratch_catalog(spark, "dq-suite")
-        bronze = Bronze(spark, sf_dir)
+        bronze = _published_bronze(spark, catalog, sf_dir)
         build(spark, catalog, bronze, on_failure="skip")
         tables = dict(published_tables(catalog))
         tables.update({c.name: bronze[c.name] for c in _contracts()})
@@ -160,13 +160,22 @@ def _contracts():
     return CONTRACTS
 
 
+def _published_bronze(spark: SparkSession, catalog, sf_dir: str):
+    """Stage the raw tables as a published Bronze load (what an ingest leaves
+    behind) and return the reader of that layer."""
+    from strata.plans.build import publish_frames
+    bronze = Bronze(spark, sf_dir)
+    publish_frames(spark, catalog, "bronze", {c.name: bronze[c.name] for c in _contracts()})
+    return catalog.reader("bronze")
+
+
 def build_queries() -> dict[str, Query]:
     def warehouse_build(spark, sf_dir):
         """Full refresh (write, test, publish Silver then Gold) into a fresh
         warehouse; returns the published daily sales mart."""
         from strata.plans.build import build
         catalog = _scratch_catalog(spark, "build")
-        build(spark, catalog, Bronze(spark, sf_dir), on_failure="warn")
+        build(spark, catalog, _published_bronze(spark, catalog, sf_dir), on_failure="warn")
         return catalog.read("gold", "mart_daily_sales")
 
     return {"warehouse_build": warehouse_build}
