@@ -96,17 +96,18 @@ def now_utc() -> dt.datetime:
 
 class Catalog:
     """Storage layout rooted at a shared path (``spark.checkpoint.dir`` based
-    scratch in tests, the warehouse root on a cluster).  ``env`` prefixes every
-    layer so environments never share tables."""
+    scratch in tests, the warehouse root on a cluster).  ``env`` gives every
+    environment its own tables, manifest and audit under the same root."""
 
     def __init__(self, spark: SparkSession, root: str, env: str = ""):
         self.spark = spark
-        self.root = root.rstrip("/")
         self.env = env
+        # An environment is a separate root: its own data, manifest and audit.
+        self.root = root.rstrip("/") + (f"/env={env}" if env else "")
 
     # ------------------------------------------------------------ layout
     def layer_dir(self, layer: str) -> str:
-        return f"{self.root}/{self.env + '_' if self.env else ''}{layer}"
+        return f"{self.root}/{layer}"
 
     def version_path(self, layer: str, table: str, version: str) -> str:
         return f"{self.layer_dir(layer)}/{table}/v={version}"
