@@ -75,3 +75,21 @@ def test_stream_sink_idempotent_replay(spark, tmp_root):
     seq = catalog.next_seq()
     sink(spark.createDataFrame([], out.schema).drop("_batch_id"), 0)  # replay of batch 0
     assert catalog.next_seq() == seq
+
+
+def test_stream_sink_partitioned_rewrites_only_touched_days(spark, tmp_root):
+    from strata.sources.catalog import Catalog
+    from strata.streaming.ingest import UpsertSink
+    catalog = Catalog(spark, f"{tmp_root}/wh")
+    sink = UpsertSink(catalog, "silver", "ev", ["event_id"], partition_by="day")
+    schema = "event_id bigint, _event_time timestamp, day date, v string"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    sink(spark.createDataFrame([(1, T, d1, "a"), (2, T, d2, "b")], schema), 0)
+    live = catalog.version_path("silver", "ev", "live")
+    import os
+    day2 = [f for f in os.listdir(live.replace("file:", "") + "/day=2024-01-02") if f.endswith(".parquet")]
+    # Batch 1 touches only day 1: day 2's files stay as they are.
+    sink(spark.createDataFrame([(1, T + dt.timedelta(hours=1), d1, "a2")], schema), 1)
+    assert [f for f in os.listdir(live.replace("file:", "") + "/day=2024-01-02") if f.endswith(".parquet")] == day2
+    out = {r.event_id: r.v for r in catalog.read("silver", "ev").collect()}
+    assert out == {1: "a2", 2: "b"}
