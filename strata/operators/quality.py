@@ -9,7 +9,7 @@ not-null column of a table in a single aggregate pass, and ``unique`` /
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,3 +90,10 @@ def row_count_match(expected: int, actual: int, what: str = "") -> None:
     if expected != actual:
         raise ValueError(f"Row-count mismatch{' for ' + what if what else ''}: "
                          f"expected {expected}, loaded {actual}")
+
+
+def parse_failures(raw: DataFrame, parsers: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row: per raw column, the rows whose raw value is present but does
+    not parse (the value would silently become NULL).  One pass over ``raw``."""
+    return raw.agg(*[F.count_if(F.col(c).isNotNull() & parse(F.col(c)).isNull()).alias(c)
+                     for c, parse in parsers.items()])

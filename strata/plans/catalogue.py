@@ -120,8 +120,24 @@ def quality_queries() -> dict[str, Query]:
     def dq_freshness(spark, sf_dir):
         return s.freshness_report(layers(spark, sf_dir))
 
+    def dq_parse_failures(spark, sf_dir):
+        """Per parsed raw column: values present in Bronze that Silver turns
+        into NULL because they do not parse."""
+        from strata.operators.quality import parse_failures
+        from strata.plans.silver import PARSED
+        t = layers(spark, sf_dir)
+        parts = []
+        for table, parsers in PARSED.items():
+            counts = parse_failures(t[table], parsers)
+            stacked = F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures"))
+                for c in parsers])).alias("p")
+            parts.append(counts.select(stacked).select(
+                F.lit(table).alias("table_name"), "p.column_name", "p.failures"))
+        return reduce(lambda x, y: x.unionByName(y), parts)
+
     return {f.__name__: f for f in (
-        dq_suite, dq_not_null, dq_relationships, dq_unique, dq_unique_composite,
+        dq_parse_failures, dq_suite, dq_not_null, dq_relationships, dq_unique, dq_unique_composite,
         dq_accepted_values, dq_delivery_before_purchase, dq_negative_amounts, dq_freshness)}
 
 
@@ -146,6 +162,7 @@ def quality_oracles() -> dict[str, str]:
         "dq_delivery_before_purchase": o.DQ_DELIVERY,
         "dq_negative_amounts": o.DQ_NEGATIVE,
         "dq_freshness": o.freshness_sql(s.FRESHNESS_SOURCES),
+        "dq_parse_failures": o.PARSE_FAILURES,
     }
 
 

@@ -143,3 +143,24 @@ MODELS = {
     "stg_sellers": (stg_sellers, "raw_sellers"),
     "stg_product_categories": (stg_product_categories, "raw_product_category_translation"),
 }
+
+
+# Raw columns that Silver parses, per Bronze table (for the parse-failure report).
+PARSED = {
+    "raw_geolocation": {"geolocation_lat": parse_double, "geolocation_lng": parse_double},
+    "raw_order_items": {"order_item_id": parse_int, "shipping_limit_date": parse_timestamp,
+                        "price": parse_decimal, "freight_value": parse_decimal},
+    "raw_order_payments": {"payment_sequential": parse_int, "payment_installments": parse_int,
+                           "payment_value": parse_decimal},
+    "raw_order_reviews": {"review_score": parse_int, "review_creation_date": parse_timestamp,
+                          "review_answer_timestamp": parse_timestamp},
+    "raw_orders": {"order_purchase_timestamp": parse_timestamp,
+                   "order_approved_at": parse_timestamp,
+                   "order_delivered_carrier_date": parse_timestamp,
+                   "order_delivered_customer_date": parse_timestamp,
+                   "order_estimated_delivery_date": parse_timestamp},
+    "raw_products": {"product_name_lenght": parse_int, "product_description_lenght": parse_int,
+                     "product_photos_qty": parse_int, "product_weight_g": parse_decimal,
+                     "product_length_cm": parse_decimal, "product_height_cm": parse_decimal,
+                     "product_width_cm": parse_decimal},
+}
