@@ -44,21 +44,34 @@ class GateFailed(AssertionError):
 
 
 def _gate(catalog: Catalog, tables: Mapping[str, DataFrame], layer: str, on_failure: str,
-          result: BuildResult) -> None:
+          result: BuildResult, freshness_now=None, check_freshness: bool = False) -> None:
     """Run the layer's tests (one job), store every result with its severity,
-    and stop the build on a failing error-severity test when asked to."""
+    and stop the build on a failing error-severity test when asked to.
+
+    For Bronze, source freshness follows the tests (newest load older than
+    12 h warns, older than 24 h is an error), as the source pipeline orders it.
+    """
     if on_failure == "skip":
         return
     checks = suite.select(layer)
     severity = {c.test_name: c.severity for c in checks}
     rows = suite.summary(tables, checks).collect()          # one row per declared test
     at = now_utc()
-    catalog.append_test_results([
+    records = [
         (result.run_id, r["layer"], r["table_name"], r["test_name"], severity[r["test_name"]],
          int(r["failures"]), "pass" if r["failures"] == 0 else
-         ("warn" if severity[r["test_name"]] == "warn" else "fail"), at) for r in rows])
+         ("warn" if severity[r["test_name"]] == "warn" else "fail"), at) for r in rows]
     failed = sorted((r["test_name"], int(r["failures"])) for r in rows
                     if r["failures"] > 0 and severity[r["test_name"]] == "error")
+    if check_freshness:
+        for r in suite.freshness_report(tables, now=freshness_now).collect():   # one row per source
+            name = f"freshness:{r['table_name']}._loaded_at"
+            status = {"pass": "pass", "warn": "warn"}.get(r["status"], "fail")
+            records.append((result.run_id, layer, r["table_name"], name, "error",
+                            0 if status == "pass" else 1, status, at))
+            if status == "fail":
+                failed.append((name, 1))
+    catalog.append_test_results(records)
     result.failures[layer] = failed
     if failed and on_failure == "raise":
         lines = "\n".join(f"- {t}: {n}" for t, n in failed)
@@ -82,18 +95,22 @@ def _write_layer(spark: SparkSession, catalog: Catalog, layer: str,
 
 def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame],
           on_failure: str = "raise", run_id: str | None = None,
-          parallelism: int = 4) -> BuildResult:
+          parallelism: int = 4, check_freshness: bool = True,
+          freshness_now=None) -> BuildResult:
     """Build, test and publish Silver then Gold.
 
     ``on_failure="raise"`` stops at the first layer whose tests fail (nothing
     of that layer is published); ``"warn"`` records the failures and goes on;
     ``"skip"`` runs no tests (the caller runs the suite itself).
+    ``check_freshness`` adds source freshness to the Bronze gate (on by
+    default, as in the source pipeline); ``freshness_now`` fixes its clock.
     """
     run_id = run_id or str(uuid.uuid4())
     result = BuildResult(run_id)
 
     bronze_tables = {name: bronze[name] for _, name in SILVER.values()}
-    _gate(catalog, bronze_tables, "bronze", on_failure, result)
+    _gate(catalog, bronze_tables, "bronze", on_failure, result,
+          freshness_now=freshness_now, check_freshness=check_freshness)
 
     base = Layers(bronze)
     silver = _write_layer(spark, catalog, "silver",

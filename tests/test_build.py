@@ -1,5 +1,7 @@
 """Full-refresh build: gates, publication, stored results, partitioned facts."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from strata.sources.contracts import CONTRACTS
 
 from conftest import SF_SMALL
 
+from strata.sources.adapters import LOAD_TIME as LOADED
+
 
 def _bronze(spark, catalog):
     b = Bronze(spark, SF_SMALL)
@@ -20,7 +24,8 @@ def _bronze(spark, catalog):
 def test_gate_stops_before_publishing(spark, tmp_root):
     catalog = Catalog(spark, f"{tmp_root}/wh")
     with pytest.raises(GateFailed) as err:
-        build(spark, catalog, _bronze(spark, catalog), on_failure="raise", run_id="r1")
+        build(spark, catalog, _bronze(spark, catalog), on_failure="raise", run_id="r1",
+              check_freshness=False)
     # The test data carries composite-key duplicates and a score outside 1..5.
     assert "unique:stg_order_items.order_id+order_item_id" in str(err.value)
     assert "accepted_values:stg_order_reviews.review_score" in str(err.value)
@@ -41,4 +46,28 @@ def test_warn_build_publishes_everything(spark, tmp_root):
     assert fact.where(F.col("order_month") == month).count() > 0
     docs = {r.table_name: r.description for r in catalog.manifest().where("layer = 'gold'").collect()}
     assert docs["mart_daily_sales"]
-    assert catalog.test_results().where(F.col("run_id") == "r2").count() == 82
+    # 82 declared tests + 9 source freshness checks (the 2024 load is stale now)
+    r2 = catalog.test_results().where(F.col("run_id") == "r2")
+    assert r2.count() == 91
+    assert r2.where("test_name like 'freshness:%' and status = 'fail'").count() == 9
+
+
+def test_stale_sources_stop_the_build(spark, tmp_root):
+    catalog = Catalog(spark, f"{tmp_root}/wh")
+    with pytest.raises(GateFailed) as err:
+        build(spark, catalog, _bronze(spark, catalog), on_failure="raise", run_id="r3")
+    assert "'bronze'" in str(err.value) and "freshness:raw_orders._loaded_at" in str(err.value)
+    assert catalog.current("silver") == {}
+    fresh = catalog.test_results().where("run_id = 'r3' and test_name like 'freshness:%'")
+    assert fresh.count() == 9
+
+
+def test_freshness_clock(spark, tmp_root):
+    catalog = Catalog(spark, f"{tmp_root}/wh")
+    with pytest.raises(GateFailed) as err:
+        build(spark, catalog, _bronze(spark, catalog), on_failure="raise", run_id="r4",
+              freshness_now=LOADED + dt.timedelta(hours=1))
+    # Loads of 2024-01-01 are fresh an hour later; the line-item extracts
+    # (loaded at their ship dates) are not, and stop the build at Bronze.
+    msg = str(err.value)
+    assert "freshness:raw_order_items._loaded_at" in msg and "raw_orders._loaded_at" not in msg
