@@ -240,10 +240,15 @@ class Catalog:
         cols = [c for c in ev.columns if c not in ("load_id", "event_seq")]
         latest = ev.groupBy("load_id").agg(
             F.max_by(F.struct(*cols), F.col("event_seq")).alias("s"))
+        published = F.col("status") == SUCCESS
+        # loaded_* keep the source system's meaning (prepared totals, also on
+        # failure); published_* say what actually became visible.
         return latest.select("load_id", "s.*").drop("event_at").select(
             "load_id", "status", "expected_files", "loaded_files", "expected_rows",
             "loaded_rows", "started_at", "completed_at",
-            cut(F.col("error_message"), ERROR_TEXT_LIMIT).alias("error_message"))
+            cut(F.col("error_message"), ERROR_TEXT_LIMIT).alias("error_message"),
+            F.when(published, F.col("loaded_files")).otherwise(F.lit(0)).alias("published_files"),
+            F.when(published, F.col("loaded_rows")).otherwise(F.lit(0)).alias("published_rows"))
 
     def stale_runs(self, older_than_hours: int = 24, now: dt.datetime | None = None) -> DataFrame:
         """Runs still RUNNING after the limit (a killed process never finishes)."""

@@ -39,7 +39,9 @@ class Contract:
     def bronze_schema(self) -> StructType:
         return StructType(
             [StructField(c, StringType(), True,
-                         metadata={"comment": f"raw {c}"}) for c in self.columns]
+                         metadata={"comment": f"{self.name}.{c}: raw text from {self.file}, "
+                                              f"column {i + 1}"})
+             for i, c in enumerate(self.columns)]
             + [StructField(LOAD_ID, StringType(), False),
                StructField(SOURCE_FILE, StringType(), False),
                StructField(SOURCE_ROW, LongType(), False),
