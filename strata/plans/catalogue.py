@@ -37,8 +37,6 @@ def model_oracles() -> dict[str, str]:
     return {name: oracle.model(name) for name in list(SILVER) + list(GOLD)}
 
 
-
-
 # ---------------------------------------------------------------- analytics, quality
 def analytic_queries() -> dict[str, Query]:
     from strata.plans import analytics as a
@@ -215,20 +213,18 @@ def extension_queries() -> dict[str, Query]:
     from strata.sources.contracts import contract
 
     def ex_record_id(spark, sf_dir):
-        """Deterministic ids: SHA-256 of each landed file, then
-        SHA-256(batch_id || '-' || file row number) per record."""
+        """Deterministic ids: SHA-256 of each landed file's content, then
+        SHA-256(batch_id || '-' || file row number) per Bronze record."""
+        from strata.sources.catalog import Catalog
         root = scratch_path(spark, "ids")
         c = contract("raw_orders")
         ci.landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, root, [c])
-        path = f"{root}/{c.file}"
-        ids = inc.batch_ids(spark, path, "*.csv")
-        raw = ci.read_strict(spark, path, c).select(
-            "*", F.monotonically_increasing_id().alias(ci._RAW_ID),
-            F.col("_metadata.file_block_start").alias("_split"))
-        staged_path = f"{root}/staged"
-        raw.write.parquet(staged_path)
-        rows = ci.with_file_rows(spark.read.parquet(staged_path))
-        keyed = rows.join(ids.withColumnRenamed("source_file", ci._FILE_PATH), ci._FILE_PATH)
+        expected = ci.check_landing(spark, root, [c])
+        prepared = ci.prepare(spark, Catalog(spark, f"{root}/warehouse"), c, f"{root}/{c.file}",
+                              "ids", ci.now_utc(), expected[c.name])
+        files = inc.batch_ids(spark, f"{root}/{c.file}", "*.csv").select(
+            F.element_at(F.split("source_file", "/"), -1).alias(ci.SOURCE_FILE), "batch_id")
+        keyed = spark.read.parquet(prepared.path).join(files, ci.SOURCE_FILE)
         recs = keyed.select(inc.record_id("batch_id", ci.SOURCE_ROW).alias("record_id"))
         return recs.agg(F.count(F.lit(1)).alias("records"),
                         F.countDistinct("record_id").alias("distinct_record_ids"))
