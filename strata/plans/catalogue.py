@@ -316,9 +316,25 @@ def extension_queries() -> dict[str, Query]:
                 .select("run", "rows", "distinct_keys",
                         (F.col("row_hash_sum") == F.col("_first")).alias("matches_first")))
 
+    def ex_incremental_load(spark, sf_dir):
+        """Two deliveries of the orders extract: the second redelivers every
+        file of the first (skipped by content hash) and adds the changed
+        orders; only the new files are loaded, appended as a segment, and the
+        Silver dedup resolves each order to its newest load."""
+        from strata.sources.catalog import Catalog
+        root = scratch_path(spark, "incremental")
+        c = contract("raw_orders")
+        catalog = Catalog(spark, f"{root}/warehouse")
+        ci.landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, root, [c])
+        ci.ingest_increment(spark, catalog, root, [c], load_id="delivery-1")
+        ci.landing_from_frames({c.name: adapters.raw_orders_changes(spark, sf_dir)}, root, [c],
+                               mode="append")
+        ci.ingest_increment(spark, catalog, root, [c], load_id="delivery-2")
+        return stg_orders(catalog.read("bronze", c.name)).drop("_loaded_at")
+
     return {f.__name__: f for f in (ex_record_id, ex_upsert, ex_lookback, ex_reconcile,
                                     ex_stream_dedup, ex_quarantine, ex_business_freshness,
-                                    ex_replay)}
+                                    ex_replay, ex_incremental_load)}
 
 
 def extension_oracles() -> dict[str, str]:
@@ -326,7 +342,8 @@ def extension_oracles() -> dict[str, str]:
     return {"ex_record_id": o.EX_RECORD_ID, "ex_upsert": o.EX_UPSERT,
             "ex_lookback": o.EX_LOOKBACK, "ex_reconcile": o.EX_RECONCILE,
             "ex_stream_dedup": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE,
-            "ex_business_freshness": o.EX_BUSINESS_FRESHNESS, "ex_replay": o.EX_REPLAY}
+            "ex_business_freshness": o.EX_BUSINESS_FRESHNESS, "ex_replay": o.EX_REPLAY,
+            "ex_incremental_load": o.EX_INCREMENTAL}
 
 
 # ---------------------------------------------------------------- Bronze ingest

@@ -24,7 +24,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
@@ -55,6 +55,14 @@ TEST_RESULT_SCHEMA = StructType([
     StructField("tested_at", TimestampType(), False),
 ])
 
+BATCH_LEDGER_SCHEMA = StructType([
+    StructField("batch_id", StringType(), False),
+    StructField("table_name", StringType(), False),
+    StructField("source_file", StringType(), False),
+    StructField("load_id", StringType(), False),
+    StructField("recorded_at", TimestampType(), False),
+])
+
 FILE_AUDIT_SCHEMA = StructType([
     StructField("load_id", StringType(), False),
     StructField("source_file", StringType(), False),
@@ -86,9 +94,13 @@ ERROR_TEXT_LIMIT = 4000
 class Published:
     table: str
     version: str
-    path: str
+    paths: tuple[str, ...]         # one segment per path (full refresh: one)
     rows: int | None
 
+    @property
+    def path(self) -> str:
+        return self.paths[0]
+
 
 def now_utc() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -152,20 +164,26 @@ class Catalog:
         return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_dir)
 
     def current(self, layer: str) -> dict[str, Published]:
-        """Current version of every table of ``layer`` (latest publication
-        that names the table)."""
+        """Current version of every table of ``layer``: all segments named by
+        the latest publication of that table."""
         m = self.manifest().where(F.col("layer") == layer)
-        w = Window.partitionBy("table_name").orderBy(F.col("seq").desc())
-        rows = (m.withColumn("_r", F.row_number().over(w)).where("_r = 1")
-                 .select("table_name", "version", "path", "row_count").collect())
-        return {r["table_name"]: Published(r["table_name"], r["version"], r["path"],
-                                           r["row_count"]) for r in rows}
+        latest = m.groupBy("table_name").agg(F.max("seq").alias("seq"))
+        rows = (m.join(latest, ["table_name", "seq"])
+                 .select("table_name", "version", "path", "row_count")
+                 .orderBy("table_name", "path").collect())
+        by_table: dict[str, list] = {}
+        for r in rows:
+            by_table.setdefault(r["table_name"], []).append(r)
+        return {t: Published(t, rs[0]["version"], tuple(x["path"] for x in rs),
+                             None if any(x["row_count"] is None for x in rs)
+                             else sum(x["row_count"] for x in rs))
+                for t, rs in by_table.items()}
 
     def read(self, layer: str, table: str) -> DataFrame:
         cur = self.current(layer)
         if table not in cur:
             raise KeyError(f"{layer}.{table} has no published version")
-        return self.spark.read.parquet(cur[table].path)
+        return self.spark.read.parquet(*cur[table].paths)
 
     def reader(self, layer: str) -> "LayerReader":
         return LayerReader(self, layer)
@@ -176,15 +194,24 @@ class Catalog:
 
     def publish(self, layer: str, tables: dict[str, tuple[str, int | None]],
                 publication_id: str | None = None,
-                descriptions: dict[str, str] | None = None) -> int:
-        """Make ``{table: (version, rows)}`` current together, atomically."""
+                descriptions: dict[str, str] | None = None,
+                kept_segments: dict[str, tuple[str, ...]] | None = None) -> int:
+        """Make ``{table: (version, rows)}`` current together, atomically.
+
+        ``kept_segments`` lists, per table, segments of the previous state
+        that stay part of the new one (an incremental append publishes the old
+        segments plus the new version; nothing is copied)."""
         seq = self.next_seq()
         pub = publication_id or str(uuid.uuid4())
         at = now_utc()
         docs = descriptions or {}
-        rows = [(layer, seq, pub, t, v, self.version_path(layer, t, v),
-                 None if n is None else int(n), at, docs.get(t))
-                for t, (v, n) in sorted(tables.items())]
+        kept = kept_segments or {}
+        rows = []
+        for t, (v, n) in sorted(tables.items()):
+            rows.append((layer, seq, pub, t, v, self.version_path(layer, t, v),
+                         None if n is None else int(n), at, docs.get(t)))
+            rows += [(layer, seq, pub, t, v, old, None, at, docs.get(t))
+                     for old in kept.get(t, ())]
         (self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
              .coalesce(1).write.mode("append").parquet(self.manifest_dir))
         return seq
@@ -205,6 +232,24 @@ class Catalog:
             return self.spark.createDataFrame([], TEST_RESULT_SCHEMA)
         return self.spark.read.schema(TEST_RESULT_SCHEMA).parquet(self.test_results_dir)
 
+    # ------------------------------------------------------------ batch ledger
+    @property
+    def batch_ledger_dir(self) -> str:
+        return f"{self.root}/_audit/batches"
+
+    def append_batches(self, rows: list[tuple]) -> None:
+        if rows:
+            (self.spark.createDataFrame(rows, BATCH_LEDGER_SCHEMA)
+                 .coalesce(1).write.mode("append").parquet(self.batch_ledger_dir))
+
+    def batch_ledger(self) -> DataFrame:
+        """Content hashes of the files of *published* loads."""
+        if not fs.exists(self.spark, self.batch_ledger_dir):
+            return self.spark.createDataFrame([], BATCH_LEDGER_SCHEMA)
+        ledger = self.spark.read.schema(BATCH_LEDGER_SCHEMA).parquet(self.batch_ledger_dir)
+        published = self.manifest().select(F.col("version").alias("load_id")).distinct()
+        return ledger.join(published, "load_id", "left_semi")
+
     # ------------------------------------------------------------ audit
     def append_file_audit(self, rows: list[tuple]) -> None:
         (self.spark.createDataFrame(rows, FILE_AUDIT_SCHEMA)
@@ -289,7 +334,7 @@ class LayerReader:
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._current:
             raise KeyError(f"{self.layer}.{table} has no published version")
-        return self.catalog.spark.read.parquet(self._current[table].path)
+        return self.catalog.spark.read.parquet(*self._current[table].paths)
 
     def __contains__(self, table: str) -> bool:
         return table in self._current
