@@ -216,6 +216,22 @@ class Catalog:
              .coalesce(1).write.mode("append").parquet(self.manifest_dir))
         return seq
 
+    def compact(self, layer: str, table: str, version: str | None = None,
+                max_segments: int = 1) -> str | None:
+        """Rewrite a multi-segment table (incremental appends) as one version
+        and publish it; readers switch atomically, old segments are left for
+        ``cleanup``.  No-op while the table has at most ``max_segments``."""
+        cur = self.current(layer).get(table)
+        if cur is None or len(cur.paths) <= max_segments:
+            return None
+        version = version or f"compact-{uuid.uuid4().hex[:12]}"
+        self.write_version(self.spark.read.parquet(*cur.paths), layer, table, version)
+        rows = self.spark.read.parquet(self.version_path(layer, table, version)).count()
+        if cur.rows is not None and rows != cur.rows:
+            raise ValueError(f"compaction of {layer}.{table} lost rows: {cur.rows} -> {rows}")
+        self.publish(layer, {table: (version, rows)}, publication_id=version)
+        return version
+
     # ------------------------------------------------------------ test results
     @property
     def test_results_dir(self) -> str:
