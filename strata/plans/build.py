@@ -63,6 +63,14 @@ def _gate(catalog: Catalog, tables: Mapping[str, DataFrame], layer: str, on_fail
          ("warn" if severity[r["test_name"]] == "warn" else "fail"), at) for r in rows]
     failed = sorted((r["test_name"], int(r["failures"])) for r in rows
                     if r["failures"] > 0 and severity[r["test_name"]] == "error")
+    if layer == "gold" and "stg_orders" in tables:
+        # The calendar stops at MAX_DAYS; later orders would silently leave
+        # the mart (inner join), so the truncation is reported (warn).
+        from strata.operators.calendar import truncation
+        from strata.plans.gold import date_bounds
+        cut = truncation(date_bounds(tables["stg_orders"])).count()
+        records.append((result.run_id, layer, "dim_date", "expression:dim_date.calendar_cap",
+                        "warn", int(cut), "pass" if cut == 0 else "warn", at))
     if check_freshness:
         for r in suite.freshness_report(tables, now=freshness_now).collect():   # one row per source
             name = f"freshness:{r['table_name']}._loaded_at"
@@ -127,7 +135,7 @@ def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame]
                                     {name: layered[name] for name in wave}, run_id,
                                     parallelism))
     gold = {name: written[name] for name in GOLD}
-    _gate(catalog, gold, "gold", on_failure, result)
+    _gate(catalog, {**gold, "stg_orders": written["stg_orders"]}, "gold", on_failure, result)
     result.published["gold"] = catalog.publish(
         "gold", {name: (run_id, None) for name in gold}, publication_id=run_id,
         descriptions=DESCRIPTIONS)

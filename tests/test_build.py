@@ -47,8 +47,10 @@ def test_warn_build_publishes_everything(spark, tmp_root):
     docs = {r.table_name: r.description for r in catalog.manifest().where("layer = 'gold'").collect()}
     assert docs["mart_daily_sales"]
     # 82 declared tests + 9 source freshness checks (the 2024 load is stale now)
+    # + the calendar-cap report
     r2 = catalog.test_results().where(F.col("run_id") == "r2")
-    assert r2.count() == 91
+    assert r2.count() == 92
+    assert r2.where("test_name = 'expression:dim_date.calendar_cap' and status = 'pass'").count() == 1
     assert r2.where("test_name like 'freshness:%' and status = 'fail'").count() == 9
 
 
