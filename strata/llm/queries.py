@@ -9,8 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup as ed
+from strata.llm import language_id as lid
+from strata.llm import license_scan as ls
+from strata.llm import line_dedup as ld
+from strata.llm import minhash_dedup as mh
+from strata.llm import mixing, packing
+from strata.llm import topk_search as tk
+from strata.llm import training_order as to
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +29,48 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lid.language_id(spark, table(spark, sf_dir, "documents"))
+
+
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence as it stands in the shards, with the checksum of its ids."""
+    shards = to.materialise(spark, table(spark, sf_dir, "documents"))
+    return to.read(spark, shards).select(
+        "slot", "shard", "byte", "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ld.line_dedup(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "epochs", "part")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tk.exact_top_k(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mh.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ls.by_license(ls.license_scan(spark, table(spark, sf_dir, "documents")))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup,)}
+    return {f.__name__: f for f in (
+        op1_exact_dedup, op2_language_id, op3_training_order, op4_line_dedup, op5_mixing,
+        op6_packing, op7_topk_search, op8_minhash_dedup, op9_license_scan)}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": ed.ORACLE}
+    return {"op1_exact_dedup": ed.ORACLE, "op4_line_dedup": ld.ORACLE, "op7_topk_search": tk.ORACLE}
