@@ -16,7 +16,7 @@ from strata.llm import language_id as lid
 from strata.llm import license_scan as ls
 from strata.llm import line_dedup as ld
 from strata.llm import minhash_dedup as mh
-from strata.llm import mixing, packing
+from strata.llm import mixing, packing, pii
 from strata.llm import topk_search as tk
 from strata.llm import training_order as to
 from strata.llm.common import table
@@ -66,10 +66,16 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ls.by_license(ls.license_scan(spark, table(spark, sf_dir, "documents")))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"),
+        "spans", "n_added")
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_exact_dedup, op2_language_id, op3_training_order, op4_line_dedup, op5_mixing,
-        op6_packing, op7_topk_search, op8_minhash_dedup, op9_license_scan)}
+        op6_packing, op7_topk_search, op8_minhash_dedup, op9_license_scan, op10_pii)}
 
 
 def all_oracles() -> dict[str, str]:
