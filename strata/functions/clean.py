@@ -30,8 +30,10 @@ def blank_to_null(c) -> Column:
 
 
 def zip5(c) -> Column:
-    """Left-pad to five characters with zeros; longer values are cut to five."""
-    return F.lpad(blank_to_null(c), 5, "0")
+    """Left-pad to five characters with zeros; longer values stay whole (cut,
+    two of them could become one)."""
+    value = blank_to_null(c)
+    return F.when(F.length(value) < 5, F.lpad(value, 5, "0")).otherwise(value)
 
 
 def upper_code(c) -> Column:
@@ -70,7 +72,3 @@ def key_concat(*cols) -> Column:
             parts.append(F.lit("-"))
         parts.append(_col(c).cast("string"))
     return F.concat(*parts)
-
-
-def cut(c, length: int = 4000) -> Column:
-    return F.substring(_col(c), 1, length)

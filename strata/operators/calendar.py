@@ -1,53 +1,32 @@
-"""Calendar spine: one row per day between two bounds, capped in length.
+"""Calendar spine: one row per day between two bounds.
 
 The bounds arrive as a one-row DataFrame (a global aggregate, computed by
 partial aggregation on every partition), and the days are generated with
 ``sequence`` + ``explode`` on that row: no global window, no cross join, no
-driver round trip.  The cap bounds the output, which is what makes the
-calendar safe to broadcast into fact joins.
+driver round trip.  The whole span is generated: a calendar that stopped early
+would drop the orders of the days it lacks from every model that joins it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import calendar_attributes
 
-# The calendar's capacity and the default span used when the
-# order table gives no dates.
-MAX_DAYS = 5000
+# The default span used when the order table gives no dates.
 DEFAULT_START = dt.date(2016, 1, 1)
 DEFAULT_END = dt.date(2018, 12, 31)
 
 
-def capped_stop(start: Column, end: Column, max_days: int = MAX_DAYS) -> Column:
-    return F.least(end, F.date_add(start, max_days - 1))
-
-
-def date_spine(bounds: DataFrame, start: str = "min_date", end: str = "max_date",
-               max_days: int = MAX_DAYS) -> DataFrame:
-    """Days ``start .. min(end, start + max_days - 1)``; no rows if end < start."""
+def date_spine(bounds: DataFrame, start: str = "min_date", end: str = "max_date") -> DataFrame:
+    """Days ``start .. end``; no rows if end < start."""
     s, e = F.col(start), F.col(end)
-    stop = capped_stop(s, e, max_days)
-    days = F.when(stop >= s, F.sequence(s, stop))
-    return bounds.select(F.explode(days).alias("date_day"))
+    return bounds.select(F.explode(F.when(e >= s, F.sequence(s, e))).alias("date_day"))
 
 
-def calendar(bounds: DataFrame, start: str = "min_date", end: str = "max_date",
-             max_days: int = MAX_DAYS) -> DataFrame:
+def calendar(bounds: DataFrame, start: str = "min_date", end: str = "max_date") -> DataFrame:
     """Calendar dimension rows for the span in ``bounds``."""
-    return date_spine(bounds, start, end, max_days).select(
-        *calendar_attributes(F.col("date_day")))
-
-
-def truncation(bounds: DataFrame, start: str = "min_date", end: str = "max_date",
-               max_days: int = MAX_DAYS) -> DataFrame:
-    """One row when the span exceeds the cap (days past the cap are lost)."""
-    s, e = F.col(start), F.col(end)
-    return (bounds.where(e > capped_stop(s, e, max_days))
-                  .select(s.alias("min_date"), e.alias("max_date"),
-                          (F.datediff(e, s) + 1).alias("span_days"),
-                          F.lit(max_days).alias("max_days")))
+    return date_spine(bounds, start, end).select(*calendar_attributes(F.col("date_day")))

@@ -6,9 +6,8 @@ Plan notes (what each join/aggregate costs at scale):
   *before* joining them to orders.  Each aggregate is hash-partitioned on
   ``order_id`` by its own exchange (after map-side partial aggregation), so the
   three left joins only shuffle the orders side once and never fan out.
-* ``dim_date`` is capped at ``MAX_DAYS`` rows: that cap is the proven size
-  bound that lets the mart broadcast it.
-* Other dimension joins are left to Spark's size-checked choice: AQE turns a
+* ``dim_date`` spans all order dates; joins with it and with the other
+  dimensions are left to Spark's size-checked choice: AQE turns a
   sort-merge join into a broadcast only when the measured side is below
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps the shuffle
   join otherwise.
@@ -102,8 +101,8 @@ def date_bounds(stg_orders: DataFrame) -> DataFrame:
         F.coalesce(F.max(last), F.lit(cal.DEFAULT_END)).alias("max_date"))
 
 
-def dim_date(stg_orders: DataFrame, max_days: int = cal.MAX_DAYS) -> DataFrame:
-    return cal.calendar(date_bounds(stg_orders), max_days=max_days)
+def dim_date(stg_orders: DataFrame) -> DataFrame:
+    return cal.calendar(date_bounds(stg_orders))
 
 
 def item_metrics(stg_order_items: DataFrame) -> DataFrame:
@@ -177,9 +176,8 @@ def mart_daily_sales(dim_date_df: DataFrame, fact_orders_df: DataFrame) -> DataF
     The fact is aggregated to the day first (map-side partial aggregation, a
     narrow integer shuffle key; the distinct customer count goes through the
     usual two-level plan on (day, customer)), then joined to the calendar.
-    The calendar is at most ``MAX_DAYS`` rows by construction, so that join is
-    a broadcast.  Orders whose day is not in the calendar (no purchase time,
-    or past the cap) are dropped by the inner join, as in the source model.
+    Both sides are one row per day.  Orders without a purchase time have no
+    day and are dropped by the inner join, as in the source model.
     """
     daily = fact_orders_df.groupBy(F.col("order_date_key").alias("date_key")).agg(
         F.count("order_id").alias("order_count"),
@@ -192,8 +190,7 @@ def mart_daily_sales(dim_date_df: DataFrame, fact_orders_df: DataFrame) -> DataF
         F.avg("average_review_score").alias("average_review_score"),
         F.avg("delivery_days").alias("average_delivery_days"),
         F.count_if(F.col("is_late_delivery")).alias("late_delivery_count"))
-    dates = F.broadcast(dim_date_df.select("date_key", "date_day", "year_number",
-                                           "month_number"))
+    dates = dim_date_df.select("date_key", "date_day", "year_number", "month_number")
     return daily.join(dates, "date_key", "inner").select(
         "date_key", "date_day", "year_number", "month_number", "order_count",
         "customer_count", "delivered_order_count", "item_count", "item_value",

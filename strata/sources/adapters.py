@@ -22,6 +22,8 @@ from strata.functions.clean import null_tokens
 from strata.sources.contracts import CONTRACTS, LOADED_AT, SOURCE_ROW, contract
 
 LOAD_TIME = dt.datetime(2024, 1, 1, 0, 0, 0)
+# Row numbers from (part, supplier): supplier keys stay below the step.
+PART_STEP = 1 << 31
 
 
 def _s(c) -> Column:
@@ -90,17 +92,19 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("l_quantity").cast("decimal(18,2)")).alias("freight_value"),
         "l_shipdate", "l_partkey", "l_suppkey")
     return _bronze(shaped, "raw_order_items", F.col("l_shipdate"),
-                   F.col("l_partkey") * 1000000 + F.col("l_suppkey"))
+                   F.col("l_partkey") * PART_STEP + F.col("l_suppkey"))
 
 
 def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order line: several payments per order, repeated
-    (order, sequence) pairs, and unparsable amounts on returned open lines."""
+    (order, sequence) pairs, unparsable amounts on returned open lines, and
+    chargebacks that make some orders' totals negative."""
     li = _read(spark, sf_dir, "lineitem")
     ptype = (F.when(F.col("l_returnflag") == "N", F.lit("CREDIT_CARD"))
               .when(F.col("l_returnflag") == "A", F.lit(" Boleto"))
               .otherwise(F.lit("voucher ")))
     value = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"), F.lit("n/a")) \
+             .when(F.col("l_partkey") % 97 == 0, F.lit("-999999.00")) \
              .otherwise(_s(F.col("l_extendedprice").cast("decimal(18,2)")))
     shaped = li.select(
         F.concat(F.lit(" "), _s("l_orderkey")).alias("order_id"),
@@ -110,19 +114,20 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         value.alias("payment_value"),
         "l_shipdate", "l_partkey", "l_suppkey")
     return _bronze(shaped, "raw_order_payments", F.col("l_shipdate"),
-                   F.col("l_partkey") * 1000000 + F.col("l_suppkey"))
+                   F.col("l_partkey") * PART_STEP + F.col("l_suppkey"))
 
 
 def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One review per order that left processing (pending orders have none);
+    """One review per order; those of pending orders have no score yet, and
     score 0 is out of the accepted range."""
-    o = _read(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
+    o = _read(spark, sf_dir, "orders")
     answered = F.when(F.col("o_orderstatus") == "F",
                       F.concat(_day("o_orderdate", 4), F.lit(" 10:00:00"))).otherwise(F.lit(""))
     shaped = o.select(
         F.concat(F.lit("r"), _s("o_orderkey")).alias("review_id"),
         F.concat(F.lit(" "), _s("o_orderkey")).alias("order_id"),
-        _s(F.col("o_custkey") % 6).alias("review_score"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(_s(F.col("o_custkey") % 6))
+         .alias("review_score"),
         F.lit("  ").alias("review_comment_title"),
         F.col("o_orderpriority").alias("review_comment_message"),
         _day("o_orderdate", 3).alias("review_creation_date"),
@@ -140,19 +145,27 @@ def _regional(df: DataFrame, spark: SparkSession, sf_dir: str, nation_key: str)
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with ZIP = nation * 37; building-segment customers use a ZIP
-    no other source has; every 50th ZIP is blank."""
+    no other source has, those of the machinery segment one of seven digits;
+    every 50th ZIP is blank.  Some customers arrive twice: every 40th with a
+    blank before its id, the next with the same id on a later row."""
     c = _regional(_read(spark, sf_dir, "customer"), spark, sf_dir, "c_nationkey")
     zip_code = (F.when(F.col("c_custkey") % 50 == 0, F.lit(" "))
                  .when(F.col("c_mktsegment") == "BUILDING", _s(F.col("c_nationkey") * 37 + 2))
+                 .when(F.col("c_mktsegment") == "MACHINERY", _s(F.col("c_nationkey") + 1234500))
                  .otherwise(_s(F.col("c_nationkey") * 37)))
     shaped = c.select(
         _s("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_unique_id"),
         zip_code.alias("customer_zip_code_prefix"),
         F.concat(F.lit("  "), F.col("n_name")).alias("customer_city"),
-        F.lower(F.substring("r_name", 1, 2)).alias("customer_state"),
+        F.lower("r_name").alias("customer_state"),
         "c_custkey")
-    return _bronze(shaped, "raw_customers", F.lit(LOAD_TIME), F.col("c_custkey") + 1)
+    again = F.when(F.col("c_custkey") % 40 < 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    twice = shaped.withColumn("copy", F.explode(again)).withColumn(
+        "customer_id", F.when((F.col("copy") == 1) & (F.col("c_custkey") % 40 == 0),
+                              F.concat(F.lit(" "), "customer_id")).otherwise(F.col("customer_id")))
+    return _bronze(twice, "raw_customers", F.lit(LOAD_TIME),
+                   F.col("c_custkey") + 1 + F.col("copy") * PART_STEP)
 
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +175,7 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s("s_suppkey").alias("seller_id"),
         _s(F.col("s_nationkey") * 37 + F.col("s_suppkey") % 2).alias("seller_zip_code_prefix"),
         F.col("n_name").alias("seller_city"),
-        F.upper(F.substring("r_name", 1, 2)).alias("seller_state"),
+        F.upper("r_name").alias("seller_state"),
         "s_suppkey")
     return _bronze(shaped, "raw_sellers", F.lit(LOAD_TIME), F.col("s_suppkey") + 1)
 
@@ -178,7 +191,7 @@ def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("s_nationkey") * 37).alias("geolocation_zip_code_prefix"),
         lat.alias("geolocation_lat"), lng.alias("geolocation_lng"),
         F.lower(F.col("n_name")).alias("geolocation_city"),
-        F.lower(F.substring("r_name", 1, 2)).alias("geolocation_state"),
+        F.lower("r_name").alias("geolocation_state"),
         "s_suppkey")
     return _bronze(shaped, "raw_geolocation", F.lit(LOAD_TIME), F.col("s_suppkey") + 1)
 
@@ -203,10 +216,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_product_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Translations for every product type but the promotional one."""
-    p = _read(spark, sf_dir, "part").where(F.col("p_type") != "PROMO")
+    """A row for every product type; the promotional one has no translation."""
+    p = _read(spark, sf_dir, "part")
     shaped = (p.select(F.lower("p_type").alias("product_category_name"),
-                       F.concat("p_type", F.lit("_EN")).alias("product_category_name_english"))
+                       F.when(F.col("p_type") != "PROMO", F.concat("p_type", F.lit("_EN")))
+                        .alias("product_category_name_english"))
                .distinct())
     return _bronze(shaped, "raw_product_category_translation", F.lit(LOAD_TIME), F.lit(1))
 

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from strata.functions.clean import cut
 from strata.sources import fs
 
 MANIFEST_SCHEMA = StructType([
@@ -85,9 +84,8 @@ RUN_EVENT_SCHEMA = StructType([
     StructField("event_at", TimestampType(), False),
 ])
 
-# Run states and the error-text limit.
+# Run states.
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
-ERROR_TEXT_LIMIT = 4000
 
 
 @dataclass(frozen=True)
@@ -283,8 +281,6 @@ class Catalog:
                          loaded_files: int, expected_rows: int, loaded_rows: int,
                          started_at: dt.datetime, completed_at: dt.datetime | None = None,
                          error_message: str | None = None) -> None:
-        if error_message is not None:
-            error_message = error_message[:ERROR_TEXT_LIMIT]
         row = (load_id, seq, status, expected_files, loaded_files, expected_rows,
                loaded_rows, started_at, completed_at, error_message, now_utc())
         (self.spark.createDataFrame([row], RUN_EVENT_SCHEMA)
@@ -307,7 +303,7 @@ class Catalog:
         return latest.select("load_id", "s.*").drop("event_at").select(
             "load_id", "status", "expected_files", "loaded_files", "expected_rows",
             "loaded_rows", "started_at", "completed_at",
-            cut(F.col("error_message"), ERROR_TEXT_LIMIT).alias("error_message"),
+            "error_message",
             F.when(published, F.col("loaded_files")).otherwise(F.lit(0)).alias("published_files"),
             F.when(published, F.col("loaded_rows")).otherwise(F.lit(0)).alias("published_rows"))
 
