@@ -255,18 +255,18 @@ def extension_queries() -> dict[str, Query]:
                            F.col("right_items").alias("fact_items"))
 
     def ex_stream_dedup(spark, sf_dir):
-        """Events redelivered twice, streamed with a watermark, deduplicated
-        within it and upserted batch by batch into a table partitioned by
-        event day (each batch rewrites only the days it touches)."""
+        """Events delivered twice, in files that mix all event times, streamed
+        and upserted file by file into a table partitioned by event day (each
+        batch rewrites only the days it touches)."""
         from strata.sources.catalog import Catalog
-        from strata.streaming.ingest import UpsertSink, deduplicated_stream, run_available
+        from strata.streaming.ingest import UpsertSink, event_stream, run_available
         root = scratch_path(spark, "stream")
         events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-        for copy in ("first", "redelivered"):
-            events.write.parquet(f"{root}/source/{copy}")
+        for n, copy in enumerate(("first", "redelivered"), 4):
+            (events.repartition(n, F.xxhash64("event_id", F.lit(copy)))
+             .write.parquet(f"{root}/source/{copy}"))
         src = f"{root}/source/*"
-        stream = (deduplicated_stream(spark, src, events.schema, ["event_id"], "ts",
-                                      watermark="2 hours", files_per_trigger=1)
+        stream = (event_stream(spark, src, events.schema, "ts", files_per_trigger=3)
                   .withColumn("event_day", F.to_date("ts")))
         catalog = Catalog(spark, f"{root}/warehouse")
         sink = UpsertSink(catalog, "silver", "events", ["event_id"], partition_by="event_day")

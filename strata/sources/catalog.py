@@ -11,9 +11,17 @@ A publication appends the rows ``(layer, seq, table, version, ...)`` of *all*
 its tables as one single-file Spark write: the output committer moves that one
 file into place at job commit, so readers see every table of a publication or
 none (on HDFS/POSIX a rename; on object stores use a committer with atomic
-single-file commit).  Readers take, per table, the row of the highest ``seq``.
+single-file commit).  Readers take, per table, the rows of the highest ``seq``.
 A failure before that write leaves the previous versions current.
 
+Publishers take turns: the next number is claimed by creating its claim file,
+which fails if another publisher has it; that one's publication is then waited
+for, and what a new state keeps of the old one is read after the claim.
+
+A segment of a table is a version directory, or one partition directory of a
+version: a batch that touches a few partitions publishes those anew and keeps
+the other segments as they are.
+
 All data moves through Spark writers/readers; the driver only handles the
 manifest rows (one per table and publication).
 """
@@ -21,8 +29,10 @@ manifest rows (one per table and publication).
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,11 +103,15 @@ class Published:
     table: str
     version: str
     paths: tuple[str, ...]         # one segment per path (full refresh: one)
-    rows: int | None
+    counts: tuple[int | None, ...]
 
     @property
-    def path(self) -> str:
-        return self.paths[0]
+    def rows(self) -> int | None:
+        return None if None in self.counts else sum(self.counts)
+
+
+class ManifestError(RuntimeError):
+    """The manifest is being written by another publisher, or contradicts itself."""
 
 
 def now_utc() -> dt.datetime:
@@ -167,21 +181,35 @@ class Catalog:
         m = self.manifest().where(F.col("layer") == layer)
         latest = m.groupBy("table_name").agg(F.max("seq").alias("seq"))
         rows = (m.join(latest, ["table_name", "seq"])
-                 .select("table_name", "version", "path", "row_count")
+                 .select("table_name", "version", "path", "row_count", "publication_id")
                  .orderBy("table_name", "path").collect())
         by_table: dict[str, list] = {}
         for r in rows:
             by_table.setdefault(r["table_name"], []).append(r)
+        for t, rs in by_table.items():
+            if len({r["publication_id"] for r in rs}) > 1:
+                raise ManifestError(f"{layer}.{t}: two publications have the same number")
         return {t: Published(t, rs[0]["version"], tuple(x["path"] for x in rs),
-                             None if any(x["row_count"] is None for x in rs)
-                             else sum(x["row_count"] for x in rs))
+                             tuple(x["row_count"] for x in rs))
                 for t, rs in by_table.items()}
 
+    def load(self, layer: str, table: str, paths: tuple[str, ...]) -> DataFrame:
+        """The segments ``paths`` of a table as one DataFrame."""
+        start = len(f"{self.layer_dir(layer)}/{table}/")
+        by_version: dict[str, list[str]] = {}
+        for p in paths:
+            by_version.setdefault(p[:start] + p[start:].split("/")[0], []).append(p)
+        whole = [v for v, own in by_version.items() if own == [v]]
+        parts = [self.spark.read.parquet(*whole)] if whole else []
+        parts += [self.spark.read.option("basePath", v).parquet(*own)  # partitions of a version
+                  for v, own in by_version.items() if own != [v]]
+        return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
     def read(self, layer: str, table: str) -> DataFrame:
         cur = self.current(layer)
         if table not in cur:
             raise KeyError(f"{layer}.{table} has no published version")
-        return self.spark.read.parquet(*cur[table].paths)
+        return self.load(layer, table, cur[table].paths)
 
     def reader(self, layer: str) -> "LayerReader":
         return LayerReader(self, layer)
@@ -190,28 +218,59 @@ class Catalog:
         row = self.manifest().agg(F.max("seq").alias("s")).collect()[0]
         return (row["s"] or 0) + 1
 
+    def _claim(self, publication_id: str, wait_seconds: float, stale_seconds: float) -> int:
+        """The next number, claimed.  A claim that another publisher holds is
+        waited for; one left behind by a dead publisher is taken over."""
+        until = time.monotonic() + wait_seconds
+        while True:
+            seq = self.next_seq()
+            path = f"{self.root}/_claims/seq={seq}"
+            if fs.create_new(self.spark, path, publication_id):
+                if self.next_seq() == seq:
+                    return seq
+                fs.delete(self.spark, path)  # published meanwhile
+                continue
+            age = fs.age_seconds(self.spark, path)
+            if age is not None and age > stale_seconds:
+                fs.delete(self.spark, path)
+            elif time.monotonic() > until:
+                raise ManifestError(f"publication {seq} is being written by another publisher")
+            else:
+                time.sleep(0.2)
+
     def publish(self, layer: str, tables: dict[str, tuple[str, int | None]],
                 publication_id: str | None = None,
                 descriptions: dict[str, str] | None = None,
-                kept_segments: dict[str, tuple[str, ...]] | None = None) -> int:
+                append: tuple[str, ...] = (),
+                replace_partitions: dict[str, str] | None = None,
+                wait_seconds: float = 300.0, stale_seconds: float = 3600.0) -> int:
         """Make ``{table: (version, rows)}`` current together, atomically.
 
-        ``kept_segments`` lists, per table, segments of the previous state
-        that stay part of the new one (an incremental append publishes the old
-        segments plus the new version; nothing is copied)."""
-        seq = self.next_seq()
+        Tables in ``append`` keep all their segments beside the new version.
+        ``replace_partitions`` names, per table, the column its versions are
+        partitioned by: the new version's partitions replace those of the same
+        value, the others stay.  Nothing is copied."""
         pub = publication_id or str(uuid.uuid4())
+        seq = self._claim(pub, wait_seconds, stale_seconds)
         at = now_utc()
-        docs = descriptions or {}
-        kept = kept_segments or {}
+        docs, split = descriptions or {}, replace_partitions or {}
+        before = self.current(layer) if append or split else {}
         rows = []
         for t, (v, n) in sorted(tables.items()):
-            rows.append((layer, seq, pub, t, v, self.version_path(layer, t, v),
-                         None if n is None else int(n), at, docs.get(t)))
-            rows += [(layer, seq, pub, t, v, old, None, at, docs.get(t))
-                     for old in kept.get(t, ())]
-        (self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
-             .coalesce(1).write.mode("append").parquet(self.manifest_dir))
+            path = self.version_path(layer, t, v)
+            old = dict(zip(before[t].paths, before[t].counts, strict=True)) if t in before else {}
+            if t in split:
+                new = {f"{path}/{e}": None for e in fs.list_dir(self.spark, path)
+                       if e.startswith(f"{split[t]}=")}
+                names = {p.rsplit("/", 1)[-1] for p in new}
+                new |= {p: c for p, c in old.items() if p.rsplit("/", 1)[-1] not in names}
+            else:
+                new = {path: None if n is None else int(n)} | (old if t in append else {})
+            rows += [(layer, seq, pub, t, v, p, c, at, docs.get(t)) for p, c in new.items()]
+        if rows:
+            (self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
+                 .coalesce(1).write.mode("append").parquet(self.manifest_dir))
+        fs.delete(self.spark, f"{self.root}/_claims/seq={seq}")
         return seq
 
     def compact(self, layer: str, table: str, version: str | None = None,
@@ -223,7 +282,7 @@ class Catalog:
         if cur is None or len(cur.paths) <= max_segments:
             return None
         version = version or f"compact-{uuid.uuid4().hex[:12]}"
-        self.write_version(self.spark.read.parquet(*cur.paths), layer, table, version)
+        self.write_version(self.load(layer, table, cur.paths), layer, table, version)
         rows = self.spark.read.parquet(self.version_path(layer, table, version)).count()
         if cur.rows is not None and rows != cur.rows:
             raise ValueError(f"compaction of {layer}.{table} lost rows: {cur.rows} -> {rows}")
@@ -315,24 +374,36 @@ class Catalog:
 
     # ------------------------------------------------------------ retention
     def cleanup(self, layer: str, keep_publications: int = 2) -> list[str]:
-        """Drop staging areas and versions not named by the last publications
-        (non-fatal: returns the removed paths)."""
+        """Remove, per table, published versions that neither its current state
+        nor its last ``keep_publications`` publications name, and what finished
+        runs have left unpublished.  Versions and staging areas of runs that
+        are not known to be finished stay.  Returns the removed paths; a path
+        that cannot be removed does not fail the load."""
         m = self.manifest().where(F.col("layer") == layer)
-        top = m.agg(F.max("seq").alias("s")).collect()[0]["s"] or 0
-        keep = {r["path"] for r in m.where(F.col("seq") > top - keep_publications)
-                .select("path").distinct().collect()}
-        named = {r["table_name"] for r in m.select("table_name").distinct().collect()}
+        named: dict[str, dict[str, int]] = {}
+        for r in m.groupBy("table_name", "path").agg(F.max("seq").alias("seq")).collect():
+            named.setdefault(r["table_name"], {})[r["path"]] = r["seq"]
+        seqs: dict[str, list[int]] = {}
+        for r in m.select("table_name", "seq").distinct().collect():
+            seqs.setdefault(r["table_name"], []).append(r["seq"])
+        finished = {r["load_id"] for r in self.run_audit()
+                    .where(F.col("status") != RUNNING).select("load_id").collect()}
         removed = []
-        for table in named:
+        for table, paths in named.items():
             tdir = f"{self.layer_dir(layer)}/{table}"
-            for entry in fs.list_dir(self.spark, tdir):
-                path = f"{tdir}/{entry}"
-                if entry == "_staging" or (entry.startswith("v=") and path not in keep):
-                    try:
-                        if fs.delete(self.spark, path):
-                            removed.append(path)
-                    except Exception:  # retention never fails a load
-                        pass
+            last = sorted(seqs[table])[-max(1, keep_publications):][0]
+            keep = {p[len(tdir) + 1:].split("/")[0] for p, seq in paths.items() if seq >= last}
+            known = {p[len(tdir) + 1:].split("/")[0] for p in paths}
+            gone = [e for e in fs.list_dir(self.spark, tdir) if e.startswith("v=") and e not in keep
+                    and (e in known or e[2:] in finished)]
+            gone += [f"_staging/{e}" for e in fs.list_dir(self.spark, f"{tdir}/_staging")
+                     if e.startswith("v=") and e[2:] in finished]
+            for entry in gone:
+                try:
+                    if fs.delete(self.spark, f"{tdir}/{entry}"):
+                        removed.append(f"{tdir}/{entry}")
+                except Exception:  # retention never fails a load
+                    pass
         return removed
 
 
@@ -346,7 +417,7 @@ class LayerReader:
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._current:
             raise KeyError(f"{self.layer}.{table} has no published version")
-        return self.catalog.spark.read.parquet(*self._current[table].paths)
+        return self.catalog.load(self.layer, table, self._current[table].paths)
 
     def __contains__(self, table: str) -> bool:
         return table in self._current

@@ -3,6 +3,8 @@ stores and local paths alike), so paths are the same ones Spark reads."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -18,11 +20,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def is_file(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
@@ -46,11 +43,25 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
                   if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it exists (no silent overwrite)."""
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it is there already."""
     fs, p = _fs_path(spark, path)
-    out = fs.create(p, False)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:
+        if "AlreadyExists" in str(e):
+            return False
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    return True
+
+
+def age_seconds(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file was written; None if it is gone."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return None
+    return max(0.0, time.time() - fs.getFileStatus(p).getModificationTime() / 1000)

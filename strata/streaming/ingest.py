@@ -1,11 +1,13 @@
-"""Streaming ingest with late-data handling and an idempotent upsert sink.
+"""Streaming ingest with an idempotent upsert sink that loses no late row.
 
-``readStream`` (file source) -> event time as ``timestamp`` (``withWatermark``
-does not accept ``timestamp_ntz``) -> ``withWatermark`` ->
-``dropDuplicatesWithinWatermark(key)`` (redelivered copies are dropped, with
-state kept only inside the watermark) -> ``foreachBatch``: upsert of the
-micro-batch into the current version of the target table, written as a new
-version and published through the manifest.
+``readStream`` (file source) -> event time as ``timestamp`` -> ``foreachBatch``:
+upsert of the micro-batch into the current state of the target table, written
+as a new version and published through the manifest.
+
+There is no watermark before the sink.  Files arrive in any order of event
+time, so a watermark would pass rows that are still to come and drop them; the
+upsert finds redelivered copies by their key however late they are, and the
+state it needs is the table itself.
 
 The sink is idempotent: a micro-batch whose publication is already in the
 manifest (a replay after a failure) is skipped, and a partial attempt leaves
@@ -23,23 +25,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.operators.incremental import upsert
+from strata.operators.incremental import touched_partitions, upsert
 from strata.sources.catalog import Catalog
 
 EVENT_TIME = "_event_time"
 BATCH = "_batch_id"
 
 
-def deduplicated_stream(spark: SparkSession, source_dir: str, schema: StructType,
-                        key: Sequence[str], event_time: str, watermark: str = "1 hour",
-                        files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, source_dir: str, schema: StructType, event_time: str,
+                 files_per_trigger: int | None = None) -> DataFrame:
+    """The files of ``source_dir`` as a stream with an event-time column."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return (reader.parquet(source_dir)
-                  .withColumn(EVENT_TIME, F.col(event_time).cast("timestamp"))
-                  .withWatermark(EVENT_TIME, watermark)
-                  .dropDuplicatesWithinWatermark(list(key)))
+    return reader.parquet(source_dir).withColumn(EVENT_TIME, F.col(event_time).cast("timestamp"))
 
 
 class UpsertSink:
@@ -47,9 +46,10 @@ class UpsertSink:
 
     Unpartitioned, each micro-batch writes the whole new state as a new
     version (simple, O(table) per batch).  With ``partition_by`` (a column the
-    key never moves across, e.g. the event day), only the partitions a batch
-    touches are read, upserted, staged and swapped in with a dynamic partition
-    overwrite, so a batch costs O(touched partitions), not O(table).
+    key never moves across, e.g. the event day), a batch reads the partitions
+    it touches, writes their new state as a version of its own and publishes
+    that in their place: O(touched partitions), and readers see the state
+    before or after the batch, never in between.
     """
 
     def __init__(self, catalog: Catalog, layer: str, table: str, key: Sequence[str],
@@ -69,51 +69,27 @@ class UpsertSink:
         if self.already_applied(batch_id):
             return
         # The micro-batch is used twice (touched partitions, upsert): keep it
-        # instead of recomputing the source and the dedup state.
+        # instead of recomputing the source.
         incoming = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
+            base = (self.catalog.read(self.layer, self.table)
+                    if self.table in self.catalog.current(self.layer) else incoming.limit(0))
+            if self.partition_by:
+                base = base.join(touched_partitions(incoming, [self.partition_by]),
+                                 self.partition_by, "left_semi")
+            state = upsert(base, incoming, self.key, [EVENT_TIME, BATCH])
+            version = f"b{batch_id}-{uuid.uuid4().hex[:8]}"
             if self.partition_by:
-                version = self._apply_partitions(incoming, batch_id)
+                path = self.catalog.version_path(self.layer, self.table, version)
+                state.write.partitionBy(self.partition_by).parquet(path)
             else:
-                version = self._apply_full(incoming, batch_id)
+                self.catalog.write_version(state, self.layer, self.table, version)
         finally:
             incoming.unpersist()
-        self.catalog.publish(self.layer, {self.table: (version, None)},
-                             publication_id=self.publication_id(batch_id))
-
-    def _apply_full(self, incoming: DataFrame, batch_id: int) -> str:
-        current = self.catalog.current(self.layer)
-        base = (self.catalog.read(self.layer, self.table) if self.table in current
-                else incoming.limit(0))
-        state = upsert(base, incoming, self.key, [EVENT_TIME, BATCH])
-        version = f"b{batch_id}-{uuid.uuid4().hex[:8]}"
-        self.catalog.write_version(state, self.layer, self.table, version)
-        return version
-
-    def _apply_partitions(self, incoming: DataFrame, batch_id: int) -> str:
-        from strata.sources import fs
-        spark = incoming.sparkSession
-        part = self.partition_by
-        live = self.catalog.version_path(self.layer, self.table, "live")
-        if fs.exists(spark, live):
-            touched = incoming.select(part).distinct()
-            # Partition filter on the live table: only touched partitions are read.
-            base = spark.read.parquet(live).join(touched, part, "left_semi")
-        else:
-            base = incoming.limit(0)
-        state = upsert(base, incoming, self.key, [EVENT_TIME, BATCH])
-        # Stage first: a job may not overwrite the partitions it is reading.
-        staging = self.catalog.staging_path(self.layer, self.table,
-                                            f"b{batch_id}-{uuid.uuid4().hex[:8]}")
-        state.write.partitionBy(part).parquet(staging)
-        # Explicit schema: a batch of only duplicates stages no file at all,
-        # and then overwrites no partition.
-        (spark.read.schema(state.schema).parquet(staging).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic")
-              .partitionBy(part).parquet(live))
-        fs.delete(spark, staging)
-        return "live"
+        self.catalog.publish(
+            self.layer, {self.table: (version, None)}, publication_id=self.publication_id(batch_id),
+            replace_partitions={self.table: self.partition_by} if self.partition_by else None)
 
 
 def run_available(stream: DataFrame, sink: UpsertSink, checkpoint_dir: str) -> None:
