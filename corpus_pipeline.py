@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import exact_dedup, language_id, minhash_dedup, mixing, packing
-from strata.llm.common import stage, table
+from strata.llm.common import stage, table, workers_find_package
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,6 +47,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workers_find_package(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (_, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -80,3 +82,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
         return x ^ (x >> U64(31))
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers of local sessions import this package from where the
+    driver has it.  On a cluster it is installed or sent with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))

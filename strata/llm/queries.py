@@ -19,7 +19,7 @@ from strata.llm import minhash_dedup as mh
 from strata.llm import mixing, packing, pii
 from strata.llm import topk_search as tk
 from strata.llm import training_order as to
-from strata.llm.common import table
+from strata.llm.common import table, workers_find_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,7 +73,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (
+    def ready(query: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_find_package(spark)
+            return query(spark, sf_dir)
+        return run
+
+    return {f.__name__: ready(f) for f in (
         op1_exact_dedup, op2_language_id, op3_training_order, op4_line_dedup, op5_mixing,
         op6_packing, op7_topk_search, op8_minhash_dedup, op9_license_scan, op10_pii)}
 
