@@ -17,9 +17,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from strata.operators.dedup import latest_by
 from strata.sources.contracts import Contract
 
-# Default look-back window and the oldest possible watermark.
+# Fixed value: default look-back window.
 LOOKBACK_HOURS = 24
-EPOCH_FLOOR = dt.datetime(1900, 1, 1)
 # binaryFile reads a whole file into one row; above this, ids come from rows.
 MAX_WHOLE_FILE_BYTES = 2 * 1024 ** 3 - 1
 
@@ -76,17 +75,17 @@ def touched_partitions(incoming: DataFrame, partition_cols: Sequence[str]) -> Da
 # ---------------------------------------------------------------- look-back (EX6)
 def lookback_filter(source: DataFrame, target: DataFrame, column: str,
                     hours: int = LOOKBACK_HOURS) -> DataFrame:
-    """Source rows at or after the target's newest ``column`` minus a window.
+    """Source rows at or after the target's newest ``column`` minus a window;
+    an empty target takes every row.
 
-    The target bound is a one-row global aggregate cross-joined into the
-    filter (a scalar broadcast: one row by construction).
+    The bound is read first (one value) and becomes a literal of the column's
+    own type, so that partitions and row groups of the source are pruned.
     """
-    bound = target.agg(F.coalesce(F.max(F.col(column)).cast("timestamp"),
-                                  F.lit(EPOCH_FLOOR).cast("timestamp")).alias("_bound"))
-    limit = F.col("_bound") - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return (source.crossJoin(F.broadcast(bound))
-                  .where(F.col(column).cast("timestamp") >= limit)
-                  .drop("_bound"))
+    newest = target.agg(F.max(F.col(column))).first()[0]
+    if newest is None:
+        return source
+    limit = F.lit(newest - dt.timedelta(hours=int(hours))).cast(source.schema[column].dataType)
+    return source.where(F.col(column) >= limit)
 
 
 # ---------------------------------------------------------------- schema policy (EX9)

@@ -63,6 +63,15 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str)
                  .join(keys, F.col(column) == F.col("_parent_key"), "left_anti"))
 
 
+def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """The values that ``relationships`` finds, with the rows that hold each
+    (``n_records``).  The child is aggregated before the join, so that a value
+    that many rows hold is one row in it."""
+    held = (child.where(F.col(column).isNotNull()).groupBy(column)
+                 .agg(F.count(F.lit(1)).alias("n_records")))
+    return relationships(held, column, parent, field)
+
+
 def expression(df: DataFrame, violation: Column, *select: str) -> DataFrame:
     """Rows for which ``violation`` is true (a singular business assertion)."""
     out = df.where(violation)

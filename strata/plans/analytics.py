@@ -1,10 +1,9 @@
 """Analytic queries over the Gold schema.
 
 Join order is written deliberately (Spark does not reorder joins without CBO
-statistics): the fact-to-fact join on ``order_id`` comes first, where both
-sides are already hash-partitioned by ``order_id``, and dimension lookups come
-after, where AQE broadcasts the dimension if its measured size is under the
-threshold and keeps a shuffle join otherwise.
+statistics): dimensions are joined with each other first, where they are small,
+so that the items meet one lookup by their own key (product, seller) and are
+never shuffled by a key of few values (category, geography).
 """
 
 from __future__ import annotations
@@ -38,11 +37,11 @@ def category_quality(fact_order_items: DataFrame, dim_product: DataFrame,
     """
     items = fact_order_items.select("order_id", "product_key", "price")
     orders = fact_orders.select("order_id", "delivery_days", "average_review_score")
-    product = dim_product.select("product_key", "product_category_key")
     category = dim_product_category.select("product_category_key", "category_name_english")
-    joined = (items.join(orders, "order_id", "inner")
-                   .join(product, "product_key", "inner")
-                   .join(category, "product_category_key", "left"))
+    product = (dim_product.select("product_key", "product_category_key")
+               .join(category, "product_category_key", "left")
+               .select("product_key", "category_name_english"))
+    joined = items.join(orders, "order_id", "inner").join(product, "product_key", "inner")
     return (joined.groupBy("category_name_english")
                   .agg(F.countDistinct("order_id").alias("orders"),
                        F.sum("price").cast(MONEY_SUM).alias("item_value"),
@@ -55,10 +54,10 @@ def seller_geography(fact_order_items: DataFrame, dim_seller: DataFrame,
                      dim_geography: DataFrame) -> DataFrame:
     """Seller performance by the seller's geography (AQ4)."""
     items = fact_order_items.select("order_id", "seller_key", "gross_item_value")
-    seller = dim_seller.select("seller_key", "geography_key")
     geo = dim_geography.select("geography_key", "state_code", "city")
-    joined = (items.join(seller, "seller_key", "inner")
-                   .join(geo, "geography_key", "left"))
+    seller = (dim_seller.select("seller_key", "geography_key").join(geo, "geography_key", "left")
+              .select("seller_key", "state_code", "city"))
+    joined = items.join(seller, "seller_key", "inner")
     return (joined.groupBy("state_code", "city")
                   .agg(F.countDistinct("seller_key").alias("sellers"),
                        F.countDistinct("order_id").alias("orders"),

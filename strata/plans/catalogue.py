@@ -116,7 +116,11 @@ def quality_queries() -> dict[str, Query]:
         return s.negative_amounts(layers(spark, sf_dir)["fact_orders"])
 
     def dq_freshness(spark, sf_dir):
-        return s.freshness_report(layers(spark, sf_dir))
+        """Load freshness of every source at three clocks after the load."""
+        t = layers(spark, sf_dir)
+        parts = [s.freshness_report(t, now=clock).withColumn("checked_at", F.lit(str(clock)))
+                 for clock in _clocks()]
+        return reduce(lambda x, y: x.unionByName(y), parts)
 
     def dq_parse_failures(spark, sf_dir):
         """Per parsed raw column: values present in Bronze that Silver turns
@@ -159,7 +163,7 @@ def quality_oracles() -> dict[str, str]:
         "dq_accepted_values": o.accepted_values_sql(s.select(kind="accepted_values")[0]),
         "dq_delivery_before_purchase": o.DQ_DELIVERY,
         "dq_negative_amounts": o.DQ_NEGATIVE,
-        "dq_freshness": o.freshness_sql(s.FRESHNESS_SOURCES),
+        "dq_freshness": o.freshness_sql(s.FRESHNESS_SOURCES, _clocks()),
         "dq_parse_failures": o.PARSE_FAILURES,
     }
 
@@ -170,6 +174,21 @@ def _scratch_catalog(spark: SparkSession, name: str):
     return Catalog(spark, scratch_path(spark, name))
 
 
+def _clocks() -> list:
+    """Fixed clocks: the load is fresh, late, and too late."""
+    import datetime as dt
+
+    from strata.sources.adapters import LOAD_TIME
+    return [LOAD_TIME + dt.timedelta(hours=h) for h in (1, 13, 25)]
+
+
+def _land_lines(lines: DataFrame, path: str, c, mode: str = "errorifexists") -> None:
+    """Lines of text as landing files of a contract, its header in each."""
+    (lines.toDF(",".join(c.columns)).write.mode(mode).option("header", True)
+     .option("sep", "\u0001").option("quote", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def _contracts():
     from strata.sources.contracts import CONTRACTS
     return CONTRACTS
@@ -193,12 +212,53 @@ def build_queries() -> dict[str, Query]:
         build(spark, catalog, _published_bronze(spark, catalog, sf_dir), on_failure="warn")
         return catalog.read("gold", "mart_daily_sales")
 
-    return {"warehouse_build": warehouse_build}
+    def gate_stops_build(spark, sf_dir):
+        """A build that must stop: the raw customers arrive twice, so the Bronze
+        gate fails and nothing is published.  Returns the tests that failed and
+        the number of tables published after them."""
+        from pyspark.sql import functions as F
+
+        from strata.plans.build import GateFailed, build
+        catalog = _scratch_catalog(spark, "gate")
+        try:
+            build(spark, catalog, _published_bronze(spark, catalog, sf_dir), on_failure="raise",
+                  run_id="gated", check_freshness=False)
+        except GateFailed:
+            pass
+        published = len(catalog.current("silver")) + len(catalog.current("gold"))
+        return (catalog.test_results().where(F.col("status") == "fail")
+                .select("layer", "table_name", "test_name", "severity", "failures",
+                        F.lit(published).cast("bigint").alias("published_tables")))
+
+    def table_descriptions(spark, sf_dir):
+        """The descriptions that a published Silver layer carries, read back
+        with the rows of each table."""
+        from functools import reduce
+
+        from pyspark.sql import functions as F
+
+        from strata.plans.layers import DESCRIPTIONS
+        catalog, t = _scratch_catalog(spark, "described"), layers(spark, sf_dir)
+        names = ("stg_customers", "stg_products", "stg_sellers")
+        for name in names:
+            catalog.write_version(t[name], "silver", name, "v1")
+        catalog.publish("silver", {n: ("v1", None) for n in names}, descriptions=DESCRIPTIONS)
+        rows = reduce(lambda x, y: x.unionByName(y), [
+            catalog.read("silver", n).agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("table_name", F.lit(n)) for n in names])
+        return catalog.manifest().select("table_name", "description").join(rows, "table_name")
+
+    return {f.__name__: f for f in (warehouse_build, gate_stops_build, table_descriptions)}
 
 
 def build_oracles() -> dict[str, str]:
     from strata import oracle as o
-    return {"warehouse_build": o.model("mart_daily_sales")}
+    from strata.plans import suite as s
+    from strata.plans.layers import DESCRIPTIONS
+    return {"warehouse_build": o.model("mart_daily_sales"),
+            "gate_stops_build": o.gate_sql(s.select("bronze")),
+            "table_descriptions": o.descriptions_sql(
+                {n: DESCRIPTIONS[n] for n in ("stg_customers", "stg_products", "stg_sellers")})}
 
 
 # ---------------------------------------------------------------- extensions
@@ -243,16 +303,50 @@ def extension_queries() -> dict[str, Query]:
         return inc.lookback_filter(events, target, "ts", 24)
 
     def ex_reconcile(spark, sf_dir):
-        """Orders whose raw item rows and fact item count differ (dedup loss)."""
+        """Orders whose raw items and order fact differ in count or value."""
         t = layers(spark, sf_dir)
-        from strata.functions.clean import blank_to_null
+        from strata.functions.clean import blank_to_null, parse_decimal
         raw = (t["raw_order_items"].groupBy(blank_to_null("order_id").alias("order_id"))
-               .agg(F.count(F.lit(1)).alias("raw_items")))
-        fact = t["fact_orders"].select("order_id", F.col("item_count").alias("fact_items"))
-        diff = inc.reconcile(raw.withColumnRenamed("raw_items", "items"),
-                             fact.withColumnRenamed("fact_items", "items"), ["order_id"], ["items"])
-        return diff.select("order_id", F.col("left_items").alias("raw_items"),
-                           F.col("right_items").alias("fact_items"))
+               .agg(F.count(F.lit(1)).alias("items"),
+                    F.sum(parse_decimal("price")).cast("decimal(38,2)").alias("value")))
+        fact = t["fact_orders"].select("order_id", F.col("item_count").alias("items"),
+                                       F.col("item_value").cast("decimal(38,2)").alias("value"))
+        return inc.reconcile(raw, fact, ["order_id"], ["items", "value"]).select(
+            "order_id", F.col("left_items").alias("raw_items"),
+            F.col("right_items").alias("fact_items"), F.col("left_value").alias("raw_value"),
+            F.col("right_value").alias("fact_value"))
+
+    def ex_reconcile_kpis(spark, sf_dir):
+        """The day's order count and sales, from the order fact and from the
+        mart: days on which the two differ, and the totals of both layers."""
+        t = layers(spark, sf_dir)
+        fact, mart = t["fact_orders"], t["mart_daily_sales"]
+
+        def totals(df, layer, orders, day):
+            return df.where(F.col(day).isNotNull()).agg(
+                F.sum(orders).cast("bigint").alias("orders"),
+                F.sum("item_value").cast("decimal(38,2)").alias("item_value"),
+                F.sum("payment_value").cast("decimal(38,2)").alias("payment_value"),
+                F.countDistinct(day).alias("days")).withColumn("layer", F.lit(layer))
+        return totals(fact.withColumn("one", F.lit(1)), "fact", "one", "order_date_key").unionByName(
+            totals(mart, "mart", "order_count", "date_key"))
+
+    def ex_schema_policy(spark, sf_dir):
+        """Orders of a later load that brings a new column and lacks another,
+        taken into the table under each of the accepting policies."""
+        current = layers(spark, sf_dir)["stg_orders"]
+        incoming = (stg_orders(adapters.raw_orders_changes(spark, sf_dir))
+                    .drop("approved_at").withColumn("channel", F.lit("web")))
+        parts = []
+        for policy in ("append_new_columns", "sync_all_columns"):
+            taken = inc.apply_schema_policy(incoming, current, policy)
+            parts.append(taken.agg(
+                F.count(F.lit(1)).alias("rows"), F.count("channel").alias("channels"),
+                F.count("purchased_at").alias("purchases")).select(
+                    F.lit(policy).alias("policy"),
+                    F.lit(",".join(sorted(taken.columns))).alias("columns"),
+                    "rows", "channels", "purchases"))
+        return parts[0].unionByName(parts[1])
 
     def ex_stream_dedup(spark, sf_dir):
         """Events delivered twice, in files that mix all event times, streamed
@@ -274,28 +368,32 @@ def extension_queries() -> dict[str, Query]:
         return catalog.read("silver", "events").select(*events.columns)
 
     def ex_quarantine(spark, sf_dir):
-        """Sellers landed twice, once well-formed and once with a column
-        missing: the malformed rows are quarantined, not loaded."""
+        """Sellers landed in files that hold, after each whole row, one that
+        lacks its last column: the malformed rows are quarantined with their
+        text, not loaded, and the whole ones are."""
         root = scratch_path(spark, "quarantine")
         c = contract("raw_sellers")
-        sellers = adapters.raw_sellers(spark, sf_dir)
-        ci.landing_from_frames({c.name: sellers}, f"{root}/good", [c])
-        (sellers.select(*c.columns[:-1]).write.option("header", False)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .csv(f"{root}/ragged"))
-        good, _ = inc.read_with_quarantine(spark, f"{root}/good/{c.file}", c, f"{root}/s1")
-        _, bad = inc.read_with_quarantine(spark, f"{root}/ragged", c, f"{root}/s2", header=False)
-        return good.agg(F.count(F.lit(1)).alias("good_rows")).crossJoin(
-            bad.agg(F.count(F.lit(1)).alias("quarantined_rows")))
+        lines = adapters.raw_sellers(spark, sf_dir).select(F.explode(F.array(
+            F.concat_ws(",", *c.columns), F.concat_ws(",", *c.columns[:-1]))).alias("line"))
+        _land_lines(lines, f"{root}/{c.file}", c)
+        good, bad = inc.read_with_quarantine(spark, f"{root}/{c.file}", c, f"{root}/parsed")
+        return good.select(F.lit("good").alias("kind"), F.col("seller_id").alias("seller_id"),
+                           F.col("seller_state").alias("state"), F.lit(None).cast("string").alias("text")
+                           ).unionByName(bad.select(
+                               F.lit("quarantined").alias("kind"), F.lit(None).cast("string").alias("seller_id"),
+                               F.lit(None).cast("string").alias("state"), F.col(inc.CORRUPT).alias("text")))
 
     def ex_business_freshness(spark, sf_dir):
         """Freshness of the business event time (newest purchase), apart from
-        the load time."""
+        the load time, at three clocks after the load."""
+        from functools import reduce
+
         from strata.operators.quality import freshness
         orders = layers(spark, sf_dir)["stg_orders"]
-        return freshness(orders, "purchased_at").select(
-            F.lit("stg_orders").alias("table_name"),
-            F.col("max_loaded_at").alias("max_purchased_at"), "status")
+        return reduce(lambda x, y: x.unionByName(y), [
+            freshness(orders, "purchased_at", now=clock).select(
+                F.lit("stg_orders").alias("table_name"), F.lit(str(clock)).alias("checked_at"),
+                F.col("max_loaded_at").alias("max_purchased_at"), "status") for clock in _clocks()])
 
     def ex_replay(spark, sf_dir):
         """Load the same orders extract twice: the Silver result of the rerun
@@ -334,7 +432,8 @@ def extension_queries() -> dict[str, Query]:
 
     return {f.__name__: f for f in (ex_record_id, ex_upsert, ex_lookback, ex_reconcile,
                                     ex_stream_dedup, ex_quarantine, ex_business_freshness,
-                                    ex_replay, ex_incremental_load)}
+                                    ex_replay, ex_incremental_load, ex_reconcile_kpis,
+                                    ex_schema_policy)}
 
 
 def extension_oracles() -> dict[str, str]:
@@ -342,12 +441,16 @@ def extension_oracles() -> dict[str, str]:
     return {"ex_record_id": o.EX_RECORD_ID, "ex_upsert": o.EX_UPSERT,
             "ex_lookback": o.EX_LOOKBACK, "ex_reconcile": o.EX_RECONCILE,
             "ex_stream_dedup": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE,
-            "ex_business_freshness": o.EX_BUSINESS_FRESHNESS, "ex_replay": o.EX_REPLAY,
-            "ex_incremental_load": o.EX_INCREMENTAL}
+            "ex_business_freshness": o.business_freshness_sql(_clocks()), "ex_replay": o.EX_REPLAY,
+            "ex_incremental_load": o.EX_INCREMENTAL, "ex_reconcile_kpis": o.EX_RECONCILE_KPIS,
+            "ex_schema_policy": o.EX_SCHEMA_POLICY}
 
 
 # ---------------------------------------------------------------- Bronze ingest
-def _ingest_roundtrip(spark: SparkSession, sf_dir: str, fail_second: bool = False):
+HISTORY = ("raw_customers", "raw_products", "raw_sellers")
+
+
+def _ingest_roundtrip(spark: SparkSession, sf_dir: str):
     from strata.session import scratch_path
     from strata.sources import csv_ingest as ci
     from strata.sources.catalog import Catalog
@@ -359,11 +462,6 @@ def _ingest_roundtrip(spark: SparkSession, sf_dir: str, fail_second: bool = Fals
     ci.landing_from_frames({c.name: bronze[c.name] for c in CONTRACTS}, landing)
     catalog = Catalog(spark, f"{root}/warehouse")
     ci.ingest(spark, catalog, landing)
-    if fail_second:
-        try:
-            ci.ingest(spark, catalog, landing, fail_before_publish=True)
-        except RuntimeError:
-            pass
     return catalog
 
 
@@ -400,13 +498,61 @@ def ingest_queries() -> dict[str, Query]:
                 "distinct_first_column", "bad_files"))
         return reduce(lambda x, y: x.unionByName(y), parts)
 
+    def _two_loads(spark, sf_dir):
+        """Three datasets loaded once, in two files each, and once more with a
+        file of rows that lack a column among the sellers."""
+        from strata.session import scratch_path
+        from strata.sources import csv_ingest as ci
+        from strata.sources.catalog import Catalog
+        root, bronze = scratch_path(spark, "history"), Bronze(spark, sf_dir)
+        loaded = [c for c in CONTRACTS if c.name in HISTORY]
+        ci.landing_from_frames({c.name: bronze[c.name] for c in loaded}, f"{root}/landing", loaded,
+                               files_per_dataset=2)
+        catalog = Catalog(spark, f"{root}/warehouse")
+        ci.ingest(spark, catalog, f"{root}/landing", loaded, load_id="load-1")
+        sellers = next(c for c in loaded if c.name == "raw_sellers")
+        _land_lines(bronze["raw_sellers"].select(F.concat_ws(",", *sellers.columns[:-1])),
+                    f"{root}/landing/{sellers.file}", sellers, mode="append")
+        try:
+            ci.ingest(spark, catalog, f"{root}/landing", loaded, load_id="load-2")
+        except Exception as e:
+            if "MALFORMED" not in str(e):
+                raise
+        return catalog
+
     def load_run_history(spark, sf_dir):
-        """Run history after one published load and one that failed before
-        publication (AQ1)."""
-        catalog = _ingest_roundtrip(spark, sf_dir, fail_second=True)
-        return a.load_run_history(catalog.run_audit())
+        """Run history after a published load and one that a ragged file
+        stopped (AQ1).  The times of the runs are left out."""
+        history = a.load_run_history(_two_loads(spark, sf_dir).run_audit())
+        return history.select("load_id", "status", "expected_files", "loaded_files", "expected_rows",
+                              "loaded_rows", F.col("error_message").isNotNull().alias("has_error"),
+                              (F.col("completed_at") >= F.col("started_at")).alias("has_ended"))
+
+    def file_audit(spark, sf_dir):
+        """The audited files of the published load, counted per table (the
+        names of the files differ from run to run)."""
+        audit = _two_loads(spark, sf_dir).file_audit()
+        return audit.groupBy("load_id", "target_table").agg(
+            F.countDistinct("source_file").alias("files"),
+            F.sum("loaded_rows").cast("bigint").alias("loaded_rows"))
+
+    def ingest_gzip(spark, sf_dir):
+        """Products landed as gzip files, ingested strictly and profiled."""
+        from strata.session import scratch_path
+        from strata.sources import csv_ingest as ci
+        from strata.sources.catalog import Catalog
+        root, bronze = scratch_path(spark, "gzip"), Bronze(spark, sf_dir)
+        c = next(c for c in CONTRACTS if c.name == "raw_products")
+        (bronze[c.name].select(*c.columns).write.option("header", True).option("escape", '"')
+         .option("nullValue", "").option("compression", "gzip").csv(f"{root}/landing/{c.file}"))
+        catalog = Catalog(spark, f"{root}/warehouse")
+        ci.ingest(spark, catalog, f"{root}/landing", [c], load_id="gz")
+        df = catalog.read("bronze", c.name)
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("product_id").alias("products"),
+                      F.count("product_category_name").alias("with_category"),
+                      F.countDistinct("_source_file", "_source_row_number").alias("places"))
 
-    return {"ingest_csv_roundtrip": ingest_csv_roundtrip, "load_run_history": load_run_history}
+    return {f.__name__: f for f in (ingest_csv_roundtrip, load_run_history, file_audit, ingest_gzip)}
 
 
 def ingest_oracles() -> dict[str, str]:
@@ -420,7 +566,9 @@ def ingest_oracles() -> dict[str, str]:
                      f"count(distinct {c.columns[0]}) as distinct_first_column, "
                      f"cast(0 as bigint) as bad_files from {c.name}")
     return {"ingest_csv_roundtrip": o.query("\nunion all\n".join(parts),
-                                            *[c.name for c in CONTRACTS])}
+                                            *[c.name for c in CONTRACTS]),
+            "load_run_history": o.RUN_HISTORY, "file_audit": o.FILE_AUDIT,
+            "ingest_gzip": o.INGEST_GZIP}
 
 
 def all_queries() -> dict[str, Query]:

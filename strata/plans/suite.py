@@ -3,8 +3,8 @@
 A ``Check`` names a kind, a table and its columns; ``violations`` turns it into
 the DataFrame of failing rows.  ``summary`` computes all failure counts of a
 selection in one Spark job (all not-null tests of a table share one aggregate
-pass), ``gate`` raises when a selected layer fails, which is how a layer is
-tested before the next layer reads it.
+pass); ``plans.build`` stops at a layer that fails them before the next layer
+reads it.
 """
 
 from __future__ import annotations
@@ -163,6 +163,10 @@ def select(layer: str | Iterable[str] | None = None, kind: str | None = None,
 def _failures(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     # Failures = rows the test returns (for unique / accepted_values: the
     # offending values, each with its n_records).
+    if check.kind == "relationships":
+        parent, fld = check.parent
+        found = q.orphans(tables[check.table], check.columns[0], tables[parent], fld)
+        return found.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
     return violations(check, tables).agg(F.count(F.lit(1)).alias("failures"))
 
 
@@ -231,19 +235,6 @@ def summary(tables: Mapping[str, DataFrame], checks: list[Check] | None = None)
     return reduce(DataFrame.unionByName, parts)
 
 
-def gate(tables: Mapping[str, DataFrame], layer: str) -> list[tuple[str, int]]:
-    """Raise if any test of ``layer`` fails; return the (test, failures) list.
-
-    The collected result is one row per declared test (bounded by the suite).
-    """
-    rows = summary(tables, select(layer)).where(F.col("failures") > 0).collect()
-    failed = [(r["test_name"], int(r["failures"])) for r in rows]
-    if failed:
-        lines = "\n".join(f"- {t}: {n} failing rows" for t, n in sorted(failed))
-        raise AssertionError(f"Data-quality gate for layer {layer!r} failed:\n{lines}")
-    return failed
-
-
 def freshness_report(tables: Mapping[str, DataFrame], sources=FRESHNESS_SOURCES,
                      now=None) -> DataFrame:
     parts = [q.freshness(tables[t], LOADED_AT, now=now)

@@ -7,7 +7,6 @@ when that setting is unset (unit tests, local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,7 +54,10 @@ def shared_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    # Unset: tests and local runs only.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and "
+                           "all executors share")
+    # Unset in a single-process session: tests and local runs.
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -63,16 +65,3 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared folder."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)

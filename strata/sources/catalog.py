@@ -324,9 +324,8 @@ class Catalog:
         return ledger.join(published, "load_id", "left_semi")
 
     # ------------------------------------------------------------ audit
-    def append_file_audit(self, rows: list[tuple]) -> None:
-        (self.spark.createDataFrame(rows, FILE_AUDIT_SCHEMA)
-             .coalesce(1).write.mode("append").parquet(self.file_audit_dir))
+    def append_file_audit(self, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(self.file_audit_dir)
 
     def file_audit(self) -> DataFrame:
         """File audit rows of *published* loads only."""
