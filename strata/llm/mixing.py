@@ -172,7 +172,9 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, seed: int = 0, cap: fl
     document is taken.  The document of a source at which the budget ends is
     cut to its first words, joined by single spaces.  Texts are not shuffled,
     but for those of the cell where a source's budget ends."""
-    full = _drawn(docs, seed, None)
+    # the whole row as one column, so that its names clash with none of the plan's
+    full = _drawn(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_doc")),
+                  seed, None)
     light = stage(spark, full.select("doc_id", "source", "_mix_size", "_mix_key"), "op5-keys")
     rows = _placed(full, _plan(spark, light, weights, cap, cell_rows))
     cut = F.array_join(F.slice(F.split(F.trim(collapsed(F.col("text"))), " "),
@@ -181,5 +183,5 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, seed: int = 0, cap: fl
         F.array(F.when(F.col("part") < F.col("_mix_size"), cut).otherwise(F.col("text"))))
     texts = F.concat(F.array_repeat(F.col("text"), F.col("epochs").cast("int")), once_more)
     return (rows.where(F.col("_mix_size") > 0).withColumn("_taken", F.explode(texts))
-            .select(*[F.col("_taken").alias("text") if c == "text" else F.col(c)
+            .select(*[F.col("_taken").alias("text") if c == "text" else F.col("_doc")[c].alias(c)
                       for c in docs.columns]))

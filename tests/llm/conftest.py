@@ -20,5 +20,9 @@ def docs_of(spark):
         return df.repartition(3).withColumns({
             "key": F.lit("x"), "kept": F.lit(1), "label": F.lit(None).cast("string"),
             "size": F.lit("s"), "row": F.lit(2.0), "node": F.lit("n"), "start": F.lit("q"),
+            "part": F.lit("p"), "target": F.lit(0), "epochs": F.lit("e"), "held": F.lit(1.5),
+            "source_size": F.lit(None).cast("int"), "keep_id": F.lit("k"), "component_id": F.lit(3),
+            "rank": F.lit("r"), "gone": F.lit("g"), "weight": F.lit("w"), "cell": F.lit(1),
+            "band": F.lit("b"), "digest": F.lit("d"), "context": F.lit("c"), "value": F.lit(9),
             "h": F.lit(True), "tie": F.lit("t"), "score": F.lit("z")})
     return make
