@@ -10,7 +10,8 @@ Groups of copies never become all their pairs.  Equal sets are one *class*, of
 which one document stands for all.  Classes of a bucket are first held against
 one hub; what the hub joins is one component and needs no more pairs inside.
 Only where a bucket still spans components are members outside its largest
-component held against the others, in chunks, by their signatures.
+component held against the others, chunk by chunk, by signatures of 1024
+minima, so that few pairs below the threshold are left to confirm.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +32,13 @@ SHINGLE = 5
 PERCENT = 75             # links have 100 * intersection >= 75 * union
 N_MIN, ROWS = 128, 4     # minima; minima of a band
 LOW_BITS = 4             # kept of each minimum
-SLACK = 0.15             # an estimate may be so far below: over 3.5 deviations
+WIDE = 1024              # minima of the signatures that settle open buckets
+DEVIATIONS = 4.5         # an estimate may be so many standard deviations below a link
 HUB_ROUNDS = 2
 CHUNK = 512
 SLICE = 4 << 20
 
-_ODD = mixed(np.arange(1, N_MIN + 1, dtype=U64)) | U64(1)
+_ODD = mixed(np.arange(1, WIDE + 1, dtype=U64)) | U64(1)
 _POWERS = mixed(np.arange(1001, 1001 + SHINGLE, dtype=U64)) | U64(1)
 
 
@@ -64,15 +66,22 @@ def shingle_sets(text: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    low = np.full(N_MIN, np.iinfo(U64).max, U64)
+def minima(shingles: np.ndarray, n: int = N_MIN) -> np.ndarray:
+    low = np.full(n, np.iinfo(U64).max, U64)
+    step = max(1, (1 << 17) // n)
     with np.errstate(over="ignore"):
-        for at in range(0, len(shingles), 1024):
-            part = shingles[at:at + 1024]
-            np.minimum(low, (part[None, :] * _ODD[:, None]).min(axis=1), out=low)
+        for at in range(0, len(shingles), step):
+            part = shingles[at:at + step]
+            np.minimum(low, (part[None, :] * _ODD[:n, None]).min(axis=1), out=low)
     return low
 
 
+def _packed(low: np.ndarray) -> bytes:
+    """The low bits of the minima, two to a byte."""
+    bits = (mixed(low) & U64((1 << LOW_BITS) - 1)).astype(np.uint8)
+    return (bits[0::2] << 4 | bits[1::2]).tobytes()
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", SLICE):
@@ -86,8 +95,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 low = minima(shingles)
                 digest.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-                bits = (mixed(low) & U64((1 << LOW_BITS) - 1)).astype(np.uint8)
-                packed.append((bits[0::2] << 4 | bits[1::2]).tobytes())
+                packed.append(_packed(low))
                 of = low.reshape(-1, ROWS)
                 key = np.arange(len(of), dtype=U64)
                 for k in range(ROWS):
@@ -113,11 +121,28 @@ def _nibbles(packed: list[bytes]) -> np.ndarray:
     return np.concatenate([b >> 4, b & 15], axis=1)
 
 
-def similarity(match: np.ndarray) -> np.ndarray:
-    """Estimate from the number of matching low bits: different minima agree in
-    them by chance once in 2**LOW_BITS."""
-    chance = 2.0 ** -LOW_BITS
-    return (match / N_MIN - chance) / (1 - chance)
+CHANCE = 2.0 ** -LOW_BITS    # with which different minima agree in their low bits
+
+
+def similarity(match: np.ndarray, n: int = N_MIN) -> np.ndarray:
+    """Estimate from the number of matching low bits of ``n``."""
+    return (match / n - CHANCE) / (1 - CHANCE)
+
+
+def _least(n: int) -> float:
+    """The smallest estimate, from ``n`` minima, of what may be a link."""
+    link = PERCENT / 100
+    agree = CHANCE + (1 - CHANCE) * link
+    return link - DEVIATIONS * (agree * (1 - agree) / n) ** 0.5 / (1 - CHANCE)
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = batch.column("shingles")
+        wide = [_packed(minima(np.frombuffer(sets[i].as_buffer(), U64), WIDE))
+                for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(wide, pa.binary())],
+                                         ["node", "wide"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +150,7 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             x, y = (_nibbles(batch.column(c).to_pylist()) for c in ("pa", "pb"))
-            near = similarity((x == y).sum(axis=1)) >= PERCENT / 100 - SLACK
+            near = similarity((x == y).sum(axis=1)) >= _least(N_MIN)
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
@@ -157,6 +182,7 @@ class _Search:
         band = F.explode("bands").alias("band")
         every = classes.select("node", band)
         shared = every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = stage(spark, shared.select("band"), "op8-shared")
         self.members = stage(spark, every.join(shared, "band"), "op8-members")
         involved = stage(spark, self.members.select("node").distinct(), "op8-involved")
         self.sets = stage(spark, sources.join(involved, sources["doc_id"] == involved["node"])
@@ -172,8 +198,9 @@ class _Search:
         else:
             now = (self.members.join(self.labels, "node", "left")
                    .withColumn("label", F.coalesce("label", "node")))
-        open_ = (now.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("lo < hi").select("band"))
+        open_ = stage(self.spark, now.groupBy("band")
+                      .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                      .where("lo < hi").select("band"), "op8-spanning")
         return now.join(open_, "band")
 
     def confirm(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -208,58 +235,73 @@ def _hub_round(search: _Search, turn: int) -> None:
     else:
         spread = F.xxhash64(F.lit(turn), "node")
         hub = (now.groupBy("band").agg(F.min(F.struct(spread.alias("h"), "node", "label")).alias("hub")))
+    hub = stage(search.spark, hub, f"op8-hubs{turn}")
     pairs = (now.join(hub, "band").where(F.col("label") != F.col("hub.label"))
              .select(*_ordered("node", "hub.node")).distinct())
     search.add(search.confirm(search.estimated(pairs), f"hub{turn}"))
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (place, out, node, label, packed) come sorted by place, those that
-    are outside the largest component (``out``) first."""
-    at, outside = None, []
+    """Pairs of different labels, similar by their wide signatures.  Rows come
+    sorted by place (band, i, j), those to hold against (``out``) first."""
+    least, at, outside, table = _least(WIDE), None, [], None
     for batch in batches:
-        cols = {c: batch.column(c).to_pylist() for c in batch.schema.names}
-        bits = _nibbles(cols["packed"]) if batch.num_rows else None
+        cols = {c: batch.column(c).to_pylist() for c in ("band", "i", "j", "out", "node", "label")}
+        bits = _nibbles(batch.column("wide").to_pylist()) if batch.num_rows else None
         a, b = [], []
-        for i, place in enumerate(zip(cols["band"], cols["chunk"], strict=True)):
+        for row, place in enumerate(zip(cols["band"], cols["i"], cols["j"], strict=True)):
             if place != at:
                 at, outside, table = place, [], None
-            if cols["out"][i]:
-                outside.append((cols["node"][i], cols["label"][i], bits[i]))
+            node, label = cols["node"][row], cols["label"][row]
+            if cols["out"][row]:
+                outside.append((node, label, bits[row]))
                 continue
             if not outside:
                 continue
             if table is None:
                 table = (np.array([o[0] for o in outside]), np.array([o[1] for o in outside]),
                          np.stack([o[2] for o in outside]))
-            near = ((similarity((table[2] == bits[i]).sum(axis=1)) >= PERCENT / 100 - SLACK)
-                    & (table[1] != cols["label"][i]))
+            near = ((similarity((table[2] == bits[row]).sum(axis=1), WIDE) >= least)
+                    & (table[1] != label))
             for other in table[0][near].tolist():
-                a.append(min(other, cols["node"][i]))
-                b.append(max(other, cols["node"][i]))
+                a.append(min(other, node))
+                b.append(max(other, node))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _rest(search: _Search) -> None:
-    """All remaining pairs of different components in a bucket.  Members are
-    dealt into chunks of a bounded size; those outside the bucket's largest
-    component go to every chunk, the others to their own."""
-    now = stage(search.spark, search.labelled(), "op8-open")
+    """All remaining pairs of different components in a bucket.  The members of
+    a bucket are dealt into chunks i, those outside its largest component into
+    chunks j; a task compares the members of a place (band, i, j), two bounded
+    chunks."""
+    spark = search.spark
+    now = stage(spark, search.labelled(), "op8-open")
     if now.isEmpty():
         return
+    wide = stage(spark, search.sets.join(now.select("node").distinct(), "node")
+                 .mapInArrow(_widened, "node bigint, wide binary"), "op8-wide")
     count = now.groupBy("band", "label").agg(F.count(F.lit(1)).alias("m"))
-    largest = (count.groupBy("band").agg(F.max(F.struct("m", "label")).alias("top"))
-               .select("band", F.col("top.label").alias("top")))
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    dealt = (now.join(largest, "band").join(search.classes.select("node", "packed"), "node")
-             .withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int"))
-             .withColumn("chunks", chunks))
-    own = dealt.select("band", F.col("own").alias("chunk"), F.lit(0).alias("out"), "node", "label", "packed")
-    out = (dealt.where("label != top")
-           .select("band", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-                   F.lit(1).alias("out"), "node", "label", "packed"))
-    pairs = (own.unionByName(out).repartition("band", "chunk")
-             .sortWithinPartitions("band", "chunk", F.desc("out"))
+    deal = stage(spark, count.groupBy("band")
+                 .agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("n"))
+                 .select("band", F.col("top.label").alias("top"),
+                         F.ceil(F.col("n") / CHUNK).cast("int").alias("own_chunks"),
+                         F.ceil((F.col("n") - F.col("top.m")) / CHUNK).cast("int").alias("out_chunks")),
+                 "op8-deal")
+    member = now.select("band", "node", "label").join(deal, "band")
+
+    def chunk(of: str) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(of)), F.col(of)).cast("int")
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+
+    own = member.select("band", chunk("own_chunks").alias("i"), every("out_chunks").alias("j"),
+                        F.lit(0).alias("out"), "node", "label")
+    out = member.where("label != top").select(
+        "band", every("own_chunks").alias("i"), chunk("out_chunks").alias("j"),
+        F.lit(1).alias("out"), "node", "label")
+    pairs = (own.unionByName(out).join(wide, "node").repartition("band", "i", "j")
+             .sortWithinPartitions("band", "i", "j", F.desc("out"))
              .mapInArrow(_near, _PAIR).distinct())
     search.add(search.confirm(pairs, "rest"))
 
