@@ -242,27 +242,32 @@ def _hub_round(search: _Search, turn: int) -> None:
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different labels, similar by their wide signatures.  Rows come
-    sorted by place (band, i, j), those to hold against (``out``) first."""
+    """Pairs of different labels, similar by their wide signatures, each in the
+    first band that the two have in common.  Rows come sorted by place (band, i,
+    j), those to hold against (``out`` 2) first; two members outside the largest
+    component (``out`` 1) meet twice and count once."""
     least, at, outside, table = _least(WIDE), None, [], None
     for batch in batches:
         cols = {c: batch.column(c).to_pylist() for c in ("band", "i", "j", "out", "node", "label")}
         bits = _nibbles(batch.column("wide").to_pylist()) if batch.num_rows else None
+        keys = np.asarray(batch.column("bands").flatten()).reshape(batch.num_rows, -1)
         a, b = [], []
         for row, place in enumerate(zip(cols["band"], cols["i"], cols["j"], strict=True)):
             if place != at:
                 at, outside, table = place, [], None
             node, label = cols["node"][row], cols["label"][row]
-            if cols["out"][row]:
-                outside.append((node, label, bits[row]))
+            if cols["out"][row] == 2:
+                outside.append((node, label, bits[row], keys[row]))
                 continue
             if not outside:
                 continue
             if table is None:
                 table = (np.array([o[0] for o in outside]), np.array([o[1] for o in outside]),
-                         np.stack([o[2] for o in outside]))
+                         np.stack([o[2] for o in outside]), np.stack([o[3] for o in outside]))
+            first = keys[row][(table[3] == keys[row]).argmax(axis=1)] == place[0]
             near = ((similarity((table[2] == bits[row]).sum(axis=1), WIDE) >= least)
-                    & (table[1] != label))
+                    & (table[1] != label) & first
+                    & ((table[0] > node) | (cols["out"][row] == 0)))
             for other in table[0][near].tolist():
                 a.append(min(other, node))
                 b.append(max(other, node))
@@ -279,7 +284,8 @@ def _rest(search: _Search) -> None:
     if now.isEmpty():
         return
     wide = stage(spark, search.sets.join(now.select("node").distinct(), "node")
-                 .mapInArrow(_widened, "node bigint, wide binary"), "op8-wide")
+                 .mapInArrow(_widened, "node bigint, wide binary")
+                 .join(search.classes.select("node", "bands"), "node"), "op8-wide")
     count = now.groupBy("band", "label").agg(F.count(F.lit(1)).alias("m"))
     deal = stage(spark, count.groupBy("band")
                  .agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("n"))
@@ -296,13 +302,13 @@ def _rest(search: _Search) -> None:
         return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
 
     own = member.select("band", chunk("own_chunks").alias("i"), every("out_chunks").alias("j"),
-                        F.lit(0).alias("out"), "node", "label")
+                        (F.col("label") != F.col("top")).cast("int").alias("out"), "node", "label")
     out = member.where("label != top").select(
         "band", every("own_chunks").alias("i"), chunk("out_chunks").alias("j"),
-        F.lit(1).alias("out"), "node", "label")
+        F.lit(2).alias("out"), "node", "label")
     pairs = (own.unionByName(out).join(wide, "node").repartition("band", "i", "j")
              .sortWithinPartitions("band", "i", "j", F.desc("out"))
-             .mapInArrow(_near, _PAIR).distinct())
+             .mapInArrow(_near, _PAIR))
     search.add(search.confirm(pairs, "rest"))
 
 
