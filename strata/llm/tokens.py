@@ -43,11 +43,13 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         return np.array(self._encode(text), np.uint32)
 
-    def _words(self, found: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    def _words(self, found: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
         """The ids of the words, each with a space before it, and their numbers."""
         ids, sizes = [], []
         for at in range(0, len(found), RUN):
-            run = self.encode(" " + " ".join(found[at:at + RUN]))
+            part = found.slice(at, RUN)
+            run = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
+            run = self.encode(" " + pc.binary_join(run, " ")[0].as_py())
             starts = np.flatnonzero(self.opens[run])
             ids.append(run)
             sizes.append(np.diff(starts, append=len(run)))
@@ -62,10 +64,13 @@ class Encoder:
         coded = pc.dictionary_encode(flat)
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        index, found = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_pylist()
-        cut = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in found), bool, len(found))
+        index, found = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+        # white space at an end, or nothing: not to be cut there
+        cut = np.asarray(pc.or_(pc.equal(found, ""), pc.or_(
+            pc.not_equal(found, pc.utf8_trim_whitespace(found)),
+            pc.match_substring_regex(found, "^[\\x1c-\\x1f]|[\\x1c-\\x1f]$"))))
         safe = np.flatnonzero(~cut)
-        ids, sizes = self._words([found[i] for i in safe])
+        ids, sizes = self._words(found.take(pa.array(safe)))
         size_of = np.zeros(len(found), np.int64)
         size_of[safe] = sizes
         n = len(offsets) - 1
@@ -76,8 +81,9 @@ class Encoder:
         firsts = []
         for i in np.flatnonzero(whole):
             firsts.append((i, self.encode(text[int(i)].as_py())))
-        for i in np.flatnonzero(~whole):
-            firsts.append((i, self.encode(found[index[offsets[i]]])))
+        rest = np.flatnonzero(~whole)
+        for i, word in zip(rest, found.take(pa.array(index[offsets[rest]])).to_pylist(), strict=True):
+            firsts.append((i, self.encode(word)))
         firsts.sort(key=lambda x: x[0])
         # places: the first part of a text, then its words; texts encoded whole have no words
         keep = np.ones(len(index), bool)

@@ -142,7 +142,7 @@ def materialise(spark: SparkSession, docs: DataFrame, key: str = "order-0",
     ranks_path = ranks_path or public_ranks()
     own = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text")
     counts = sorted(own.mapInArrow(_counted(ranks_path, seq_len), "stream bigint, n bigint")
-                    .toLocalIterator(prefetchPartitions=True))  # a row per task
+                    .collect())  # a row per task
     first, total = {}, 0
     for stream, n in counts:
         first[stream] = (total, n)
