@@ -33,7 +33,7 @@ SET_SIZE = 4             # languages of a document, at most
 STEPS = 8
 PENALTY = 3.0            # of a further language, and once more the log of the words
 UNKNOWN = "und"
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 RESULT = T.StructType([
     T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()),

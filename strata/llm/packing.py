@@ -35,7 +35,7 @@ from strata.llm.tokens import encoder, public_ranks
 SEQ_LEN = 2048
 END = 1
 BLOCK = 1 << 20
-SLICE = 8 << 20
+SLICE = 4 << 20
 SENTENCE, INSIDE = 16, 256      # penalties, in tokens of padding
 STREAM_BITS = 32
 
