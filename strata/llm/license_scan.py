@@ -1,17 +1,18 @@
-"""License scan: winnowed fingerprints and banded alignment.
-
-The templates are few and fixed.  Their word trigrams are hashed and winnowed
-(of every window of hashes the smallest is kept) into an inverted index that
-every task holds.  A document looks up its trigrams there; hits of a template
-on neighbouring diagonals are a candidate, and a banded alignment of the
-template's words with the document's words around it gives the part of the
-template that is there and where it begins and ends.
+"""License scan: words that an occurrence must have, and bit-parallel alignment.
+
+An occurrence of a template is a stretch of a text that has a given part of the
+template's words in order.  It lacks at most e of them, so of any e + 1 words of
+the template it has one: the e + 1 that are rarest in a slice of the documents
+are looked up, and only where a stretch around one of them has enough words of
+the template is it aligned.  No occurrence is lost by that.  The alignment is a
+longest common subsequence whose rows are the bits of an integer.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,7 @@ from strata.llm.common import U64, mixed, slices, words
 GRAM, WINDOW = 3, 4
 COVERAGE = 0.8           # of a template's words, to be reported
 SLACK = 4                # words that a match may shift, at least; and a quarter of the template
+STRETCH = 3              # times the template's words that an occurrence may take, at least
 MAX_TEMPLATES = 10_000   # bounds the index that is broadcast; more is an error
 SLICE = 4 << 20
 
@@ -95,22 +97,105 @@ def winnowed(grams: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The templates' words and the inverted index of their fingerprints."""
+    """The templates' words, by their place in the sorted vocabulary of all."""
 
-    def __init__(self, templates: list[tuple[str, str]]):
-        self.names, self.words, posting = [], [], []
+    def __init__(self, templates: list[tuple[str, str]], coverage: float = COVERAGE):
+        self.names, hashed = [], []
         for name, text in templates:
             plain = [w for w in _plain(_WORD.findall((text or "").encode())) if w]
             if len(plain) < GRAM:
                 raise ValueError(f"template {name} has fewer than {GRAM} words")
-            h = _hashes(plain)
-            grams = _grams(h)
-            posting += [(int(grams[at]), len(self.names), int(at)) for at in winnowed(grams)]
+            hashed.append(_hashes(plain))
             self.names.append(name)
-            self.words.append(h)
-        posting.sort()
-        self.keys = np.array([p[0] for p in posting], U64)
-        self.posting = posting
+        self.vocabulary = np.unique(np.concatenate(hashed)) if hashed else np.empty(0, U64)
+        self.templates = [Template(np.searchsorted(self.vocabulary, h), coverage) for h in hashed]
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """The place in the vocabulary of each hash, -1 for others."""
+        if not len(self.vocabulary):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == h, at, -1)
+
+
+class Template:
+    def __init__(self, words: np.ndarray, coverage: float):
+        self.words = words
+        self.own, self.times = np.unique(words, return_counts=True)
+        n = len(words)
+        self.need = next(k for k in range(n + 2) if k > 0 and (k >= coverage * n or k > n))
+        self.width = max(n + 2 * (SLACK + n // 4), STRETCH * n)
+        self.forward: dict[int, int] = dict.fromkeys(self.own.tolist(), 0)
+        self.backward = dict(self.forward)
+        for i, w in enumerate(words.tolist()):
+            self.forward[w] |= 1 << i
+            self.backward[w] |= 1 << n - 1 - i
+
+    def rarest(self, counts: np.ndarray) -> np.ndarray:
+        """Words that make up one more place of the template than may be missing,
+        as rare by ``counts`` as can be; those without any count are left out."""
+        n = counts[self.own]
+        order = np.argsort(n, kind="stable")
+        spare = len(self.words) - self.need
+        chosen = order[:int(np.searchsorted(np.cumsum(self.times[order]), spare, side="right")) + 1]
+        return self.own[chosen[n[chosen] > 0]]
+
+    def possible(self, found: list[int], need: int) -> bool:
+        """Whether ``found`` has as many words of the template, in any order."""
+        n = Counter(found)
+        return sum(min(n[w], int(k)) for w, k in zip(self.own.tolist(), self.times, strict=True)) >= need
+
+    def first(self, place: list[int], found: list[int], lo: int, hi: int,
+              need: int) -> tuple[int, int] | None:
+        """Of the words ``found`` at ``place`` from ``lo`` to before ``hi``, the
+        stretch that ends first with ``need`` words of the template in order, and
+        is no longer than the width; of those the one that begins last."""
+        n = len(self.words)
+        full = (1 << n) - 1
+        while hi - lo >= need:
+            rest, end = full, -1
+            for k in range(lo, hi):
+                hit = rest & self.forward[found[k]]
+                rest = (rest + hit | rest - hit) & full
+                if n - rest.bit_count() >= need:
+                    end = k
+                    break
+            if end < 0:
+                return None
+            rest = full
+            for k in range(end, lo - 1, -1):
+                hit = rest & self.backward[found[k]]
+                rest = (rest + hit | rest - hit) & full
+                if n - rest.bit_count() >= need:
+                    if place[end] - place[k] < self.width:
+                        return k, end
+                    break
+            # what begins here is too long; what ends later begins later
+            lo = bisect_left(place, place[end] - self.width + 1, lo, hi)
+        return None
+
+    def occurrences(self, place: list[int], found: list[int]) -> list[tuple[int, int, int]]:
+        """Matched words, first and last place of the occurrences among the words
+        ``found`` of the template at ``place``: as many as there are without
+        overlap, each with as many words as fit between its neighbours."""
+        shortest, at = [], 0
+        while (one := self.first(place, found, at, len(found), self.need)) is not None:
+            shortest.append(one)
+            at = one[1] + 1
+        out, lo = [], 0
+        for i in range(len(shortest)):
+            hi = shortest[i + 1][0] if i + 1 < len(shortest) else len(found)
+            best, n = shortest[i], self.need
+            # what is longer and lies between the neighbours overlaps the shortest
+            lo = bisect_left(place, place[best[0]] - self.width + 1, lo)
+            hi = bisect_left(place, place[best[1]] + self.width, lo, hi)
+            for more in range(len(self.words), self.need, -1):
+                if self.possible(found[lo:hi], more) and (one := self.first(place, found, lo, hi, more)):
+                    best, n = one, more
+                    break
+            out.append((n, place[best[0]], place[best[1]]))
+            lo = best[1] + 1
+        return out
 
 
 def aligned(template: np.ndarray, text: np.ndarray, band: int, shift: int) -> tuple[int, int, int]:
@@ -142,39 +227,45 @@ def aligned(template: np.ndarray, text: np.ndarray, band: int, shift: int) -> tu
     return best[0], span[0], span[1]
 
 
-def _matches(index: Index, h: np.ndarray, hits: np.ndarray, grams: np.ndarray,
-             coverage: float) -> list[tuple[int, float, int, int, int]]:
-    """(template, coverage, matched words, first and last word) in a document."""
-    diagonals: dict[int, list[int]] = defaultdict(list)
-    for d in hits.tolist():
-        key = int(grams[d])
-        at = int(np.searchsorted(index.keys, grams[d]))
-        while at < len(index.posting) and index.posting[at][0] == key:
-            diagonals[index.posting[at][1]].append(d - index.posting[at][2])
-            at += 1
-    out = []
-    for t, found in diagonals.items():
-        template = index.words[t]
-        band = SLACK + len(template) // 4
-        found = sorted(set(found))
-        groups, group = [], [found[0]]
-        for x in found[1:]:
-            if x - group[-1] > band:
-                groups.append(group)
-                group = []
-            group.append(x)
-        groups.append(group)
-        for group in groups:
-            middle = (group[0] + group[-1]) // 2
-            lo = max(0, group[0] - band)
-            hi = min(len(h), group[-1] + len(template) + band)
-            n, a, b = aligned(template, h[lo:hi], band + (group[-1] - group[0] + 1) // 2, middle - lo)
-            if n >= coverage * len(template):
-                out.append((t, n / len(template), n, lo + a, lo + b))
-    return sorted(set(out), key=lambda x: (x[3], x[0]))
-
-
-def _scanned(sent, coverage: float):
+def _matches(index: Index, v: np.ndarray, at: np.ndarray) -> dict[int, list]:
+    """Per document with any, (template, coverage, matched words, first and last
+    word) of its occurrences.  ``v`` has the places in the vocabulary of the
+    words of all documents, ``at`` the first word of each document and the end."""
+    known = np.flatnonzero(v >= 0)
+    known = known[np.argsort(v[known], kind="stable")]
+    counts = np.bincount(v[known], minlength=len(index.vocabulary))
+    begin = np.concatenate([[0], np.cumsum(counts)])
+
+    def occur(some: np.ndarray) -> np.ndarray:
+        return np.sort(np.concatenate([known[begin[w]:begin[w + 1]] for w in some]))
+    out: dict[int, list] = {}
+    for t, template in enumerate(index.templates):
+        if np.minimum(counts[template.own], template.times).sum() < template.need:
+            continue
+        rare = template.rarest(counts)
+        if not len(rare):
+            continue
+        hit, own = occur(rare), occur(template.own)
+        doc = np.searchsorted(at, hit, side="right") - 1
+        lo = np.searchsorted(own, np.maximum(hit - template.width + 1, at[doc]))
+        hi = np.searchsorted(own, np.minimum(hit + template.width, at[doc + 1]))
+        enough = hi - lo >= template.need
+        doc, lo, hi = doc[enough], lo[enough], hi[enough]
+        if not len(lo):
+            continue
+        # hits whose surroundings overlap are one region
+        new = np.flatnonzero(np.concatenate([[True], (lo[1:] >= hi[:-1]) | (doc[1:] != doc[:-1])]))
+        for d, a, b in zip(doc[new].tolist(), lo[new].tolist(),
+                           hi[np.append(new[1:], len(lo)) - 1].tolist(), strict=True):
+            place = own[a:b]
+            found = v[place].tolist()
+            if template.possible(found, template.need):
+                for n, first, last in template.occurrences((place - at[d]).tolist(), found):
+                    out.setdefault(d, []).append((t, n / len(template.words), n, first, last))
+    return {d: sorted(x, key=lambda x: (x[3], x[0])) for d, x in out.items()}
+
+
+def _scanned(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = sent.value
         for batch in batches:
@@ -182,17 +273,14 @@ def _scanned(sent, coverage: float):
                 found, place, offsets = words(part.column("text"))
                 plain = _plain(found)
                 keep = np.fromiter(map(bool, plain), bool, len(plain))[place] if found else np.empty(0, bool)
-                h = _hashes(plain)[place] if found else np.empty(0, U64)
+                v = index.places(_hashes(plain))[place] if found else np.empty(0, np.int64)
                 at = np.concatenate([[0], np.cumsum(keep)])[offsets]
-                nth = np.arange(len(h)) - np.repeat(offsets[:-1], np.diff(offsets))
-                h, nth = h[keep], nth[keep]    # words with a letter or digit, and which of all words
-                grams = _grams(h)
-                hit = np.flatnonzero(np.isin(grams, index.keys))
+                nth = np.arange(len(v)) - np.repeat(offsets[:-1], np.diff(offsets))
+                v, nth = v[keep], nth[keep]    # words with a letter or digit, and which of all words
+                matches = _matches(index, v, at)
                 out: list = []
                 for i in range(part.num_rows):
-                    lo, hi = int(at[i]), int(at[i + 1])
-                    own = hit[np.searchsorted(hit, lo):np.searchsorted(hit, max(lo, hi - GRAM + 1))]
-                    rows = _matches(index, h[lo:hi], own - lo, grams[lo:hi], coverage) if len(own) else []
+                    rows, lo = matches.get(i, []), int(at[i])
                     if rows:
                         raw = part.column("text")[i].as_py().encode()
                         spans = [m.span() for m in _WORD.finditer(raw)]
@@ -216,9 +304,12 @@ def license_scan(spark: SparkSession, docs: DataFrame, templates: DataFrame | No
 
     ``templates`` (template, text) replaces the built-in ones; a template needs
     three words.  Words are compared in lower case without punctuation at their
-    ends.  Every occurrence counts, and templates may overlap.  Null and empty
-    texts have no matches, repeated rows the same ones; an empty table gives an
-    empty result.
+    ends.  An occurrence may have other words in between: it takes up to
+    STRETCH times as many words as the template, or twice the shift more if that
+    is longer.  As many occurrences of a template are given as there are without
+    overlap; those of different templates may overlap.  Null and empty texts
+    have no matches, repeated rows the same ones; an empty table gives an empty
+    result.
     """
     known = TEMPLATES
     if templates is not None:
@@ -226,8 +317,8 @@ def license_scan(spark: SparkSession, docs: DataFrame, templates: DataFrame | No
         if len(rows) > MAX_TEMPLATES:
             raise ValueError(f"more than {MAX_TEMPLATES} templates")
         known = [(r["template"], r["text"]) for r in rows]
-    sent = spark.sparkContext.broadcast(Index(known))
-    return docs.select("doc_id", "text").mapInArrow(_scanned(sent, coverage), T.StructType([
+    sent = spark.sparkContext.broadcast(Index(known, coverage))
+    return docs.select("doc_id", "text").mapInArrow(_scanned(sent), T.StructType([
         docs.schema["doc_id"], T.StructField("matches", T.ArrayType(_STRUCT))]))
 
 

@@ -1,5 +1,6 @@
 """Top-k search, license scan, language identification."""
 
+import itertools
 import random
 import zlib
 
@@ -152,6 +153,67 @@ def test_winnowing_keeps_a_hash_of_every_window():
         assert any(j in kept and grams[j] == grams[i:i + ls.WINDOW].min() for j in window)
 
 
+def test_every_variant_at_the_coverage_is_found(spark, docs_of):
+    """Each choice of words that may be changed or left out, of each short
+    template, alone and next to another occurrence."""
+    rows, expected = [], []
+    for name, text in ls.TEMPLATES:
+        words = text.split()
+        spare = len(words) - int(np.ceil(ls.COVERAGE * len(words)))
+        choices = list(itertools.combinations(range(len(words)), spare)) if len(words) <= 16 else \
+            [range(k, len(words), 5)[:spare] for k in range(5)]
+        for gone in choices:
+            changed = " ".join("Foo" if i in gone else w for i, w in enumerate(words))
+            fewer = " ".join(w for i, w in enumerate(words) if i not in gone)
+            rows += [(len(rows), f"aa {changed} zz"), (len(rows) + 1, fewer),
+                     (len(rows) + 2, f"{fewer} {fewer} {text} {text}")]
+            expected += [(name, 1), (name, 1), (name, 4)]
+    got = found(spark, docs_of, rows)
+    for (i, text), (name, n) in zip(rows, expected, strict=True):
+        own = [m for m in got[i] if m[0] == name]
+        assert len(own) == n, (name, text)
+        assert all(a[3] <= b[2] for a, b in zip(own, own[1:], strict=False)), (name, text)
+        if n == 4:
+            assert [m[1] for m in own[2:]] == [1.0, 1.0] and own[3][3] == len(text)
+
+
+def test_occurrences_equal_brute_force():
+    """Number and coverage against common subsequences of all stretches."""
+    rng = random.Random(8)
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(max(row[j + 1], new[j], row[j] + (x == y)))
+            row = new
+        return row[-1]
+    seen = 0
+    for _ in range(300):
+        words = [rng.randint(0, 5) for _ in range(rng.randint(3, 7))]
+        template = ls.Template(np.array(words), 0.8)
+        text = []
+        for _ in range(rng.randint(1, 4)):
+            text += [w if rng.random() < 0.9 else rng.randint(0, 12) for w in words if rng.random() < 0.95]
+            text += [rng.randint(0, 40) for _ in range(rng.randint(0, 4))]
+        own = [j for j, w in enumerate(text) if w in words]
+        got = template.occurrences(own, [text[j] for j in own])
+        stretches = {(a, b): common(words, text[a:b]) for a in range(len(text))
+                     for b in range(a + 1, min(len(text), a + template.width) + 1)}
+        most = [0] * (len(text) + 1)
+        for b in range(1, len(text) + 1):
+            most[b] = max([most[b - 1]] + [most[a] + 1 for a in range(b)
+                                           if stretches.get((a, b), 0) >= template.need])
+        assert len(got) == most[-1]
+        edges = [-1, *[x for n, a, b in got for x in (a, b)], len(text)]
+        for k, (n, a, b) in enumerate(got):
+            assert edges[2 * k] < a <= b < edges[2 * k + 3]
+            assert stretches[a, b + 1] == n >= template.need
+        seen += len(got)
+    assert seen > 300
+
+
 # ------------------------------------------------------------------ languages
 EN = "the quick brown fox jumps over the lazy dog and then it runs with the other dogs to the house"
 DE = "der schnelle braune fuchs springt über den faulen hund und dann läuft er mit den anderen zum haus"
