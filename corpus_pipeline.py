@@ -15,7 +15,7 @@ from strata.llm.common import stage, table, workers_find_package
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter in any language go."""
+    """Documents without a letter go, whether or not any has a label."""
     return language_id.spoken(spark, docs)
 
 

@@ -229,11 +229,27 @@ def language_id(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     "language.shares"))
 
 
+@F.arrow_udf(T.BooleanType())
+def _lettered(column: pa.Array) -> pa.Array:
+    """Whether a text has a letter."""
+    out = [np.empty(0, bool)]
+    for part in slices(pa.RecordBatch.from_arrays([column], ["text"]), "text", SLICE):
+        found, index, offsets = words(part.column("text"))
+        has = np.fromiter(map(bool, _letters(found)), bool, len(found))
+        out.append(np.diff(np.concatenate([[0], np.cumsum(has[index])])[offsets]) > 0)
+    return pa.array(np.concatenate(out))
+
+
 def spoken(spark: SparkSession, docs: DataFrame, least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` in a known language, with all their columns: those
     without letters go, and, with ``least``, those in which no language has
-    such a proportion."""
+    such a proportion.  Where no document to fit on has a label, no language is
+    known and all with a letter stay; ``least`` is an error then."""
     model = fit(spark, docs.where(~held_out(F.col("doc_id"))))
+    if not model.languages:
+        if least > 0:
+            raise ValueError("no labelled document to fit on, so no language has a proportion")
+        return docs.where(_lettered(F.col("text")))
     found = identified(spark, docs, model, name="_language")
     return (found.where((F.col("_language.lang") != UNKNOWN) & (F.col("_language.score") >= least))
             .select(*docs.columns))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -96,3 +97,17 @@ def test_run_and_registration(spark):
 def test_empty_corpus(spark, docs_of, tmp_root):
     docs_of([]).select(*COLUMNS).write.parquet(f"{tmp_root}/documents.parquet")
     assert cp.run(spark, tmp_root).count() == 0
+
+
+@pytest.mark.parametrize("held_out_label", [False, True])
+def test_corpus_without_a_label_to_learn_from(spark, docs_of, tmp_root, held_out_label):
+    """No label at all, or one that is kept apart from fitting (crc32 of the id)."""
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    rows = [(i, " ".join(f"w{i}ord{k}" for k in range(40)), "en" if held_out_label and i == held else None)
+            for i in range(30)] + [(40, None, None), (41, "", None), (42, "12 -- 34", None), (43, "日本", None)]
+    docs = docs_of(rows)
+    kept = cp.language(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(30), 43]
+    docs.select(*COLUMNS).write.parquet(f"{tmp_root}/documents.parquet")
+    assert len({r["doc_id"] for r in cp.run(spark, tmp_root).collect()}) > 20
