@@ -3,12 +3,15 @@
 Each language has a model of byte trigrams of words, fitted on a bounded sample
 of labelled documents.  A document's words are explained by a mixture of the
 languages: expectation-maximisation over the trigram likelihoods of the words
-estimates the proportions, for the one, two, ... most likely languages, and a
-penalty for each further language selects the set.  The prediction is the
-language with the largest proportion, which is also its score.
+estimates the proportions.  The set grows from the most likely language: the one
+that raises the likelihood most is added as long as it outweighs a penalty for a
+further language.  The prediction is the language with the largest proportion,
+which is also its score.
 
 Distinct words of a batch are scored once, and the steps of the estimation run
-over all documents of a slice together.
+over all documents of a slice together that are not settled.  The likelihood is
+concave in the proportions, so its slope bounds what more steps, or a further
+language, can gain; what cannot outweigh the penalty is not tried further.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ MAX_LANGUAGES = 1000     # bounds the model that is broadcast; more is an error
 BUCKETS = 1 << 15        # of hashed trigrams
 SMOOTHING = 0.1
 TEMPER = 0.5             # the trigrams of a word overlap
-SET_SIZE = 4             # languages of a document, at most
-STEPS = 8
+STEPS = 8                # of estimation between two tests of convergence
+TOLERANCE = 0.01         # of a log-likelihood, below its maximum
 PENALTY = 3.0            # of a further language, and once more the log of the words
 UNKNOWN = "und"
 SLICE = 2 << 20
@@ -132,16 +135,110 @@ def _likelihoods(found: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarr
     return has, out
 
 
-def _estimate(r: np.ndarray, doc: np.ndarray, starts: np.ndarray, n: np.ndarray,
-              share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions and log-likelihood of the documents whose words have the
-    likelihoods ``r``, from the first guess ``share``."""
+def _estimate(r: np.ndarray, doc: np.ndarray, starts: np.ndarray, n: np.ndarray, share: np.ndarray,
+              times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions and log-likelihood of the documents whose words, each as often
+    as ``times``, have the likelihoods ``r``, some steps after the guess ``share``."""
     share = share / share.sum(axis=1, keepdims=True)
+    times = np.ones(len(r)) if times is None else times
     for _ in range(STEPS):
         p = r * share[doc]
-        p /= p.sum(axis=1, keepdims=True)
+        p *= (times / p.sum(axis=1))[:, None]
         share = np.add.reduceat(p, starts, axis=0) / n[:, None]
-    return share, np.add.reduceat(np.log((r * share[doc]).sum(axis=1)), starts)
+    return share, np.add.reduceat(times * np.log((r * share[doc]).sum(axis=1)), starts)
+
+
+def _runs(starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of runs of ``size`` from ``starts``, one after the other, the
+    run of each, and where each begins."""
+    begin = np.cumsum(size) - size
+    run = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(run)) - begin[run] + starts[run], run, begin
+
+
+def _maximised(r: np.ndarray, starts: np.ndarray, size: np.ndarray, n: np.ndarray, share: np.ndarray,
+               times: np.ndarray, bar: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions and log-likelihood at its maximum, to the tolerance, of the
+    documents whose words are the runs of ``r``; -inf where it is not above ``bar``."""
+    log = np.full(len(n), -np.inf)
+    share = share.astype(np.float64)
+    left = np.arange(len(n))
+    while len(left):
+        at, doc, begin = _runs(starts[left], size[left])
+        own, weight = r[at], times[at]
+        share[left], now = _estimate(own, doc, begin, n[left], share[left], weight)
+        slope = np.add.reduceat(own * (weight / (own * share[left][doc]).sum(axis=1))[:, None], begin, axis=0)
+        gap = slope.max(axis=1) - n[left]  # at most so much below the maximum
+        passed = now + gap > bar[left]
+        done = passed & (gap <= TOLERANCE)
+        log[left[done]] = now[done]
+        left = left[passed & ~done]
+    return share, log
+
+
+def _grown(table: np.ndarray, word: np.ndarray, times: np.ndarray, starts: np.ndarray,
+           n: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Per document, the number of words that favour each language, the selected
+    languages and their proportions.  A document has the words (rows of
+    ``table``) from its start to the next one's, each so many ``times``."""
+    n_doc, n_lang = len(starts), table.shape[1]
+    size = np.diff(starts, append=len(word))
+
+    def summed(of: np.ndarray, at: np.ndarray, begin: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        step = max(1, 4_000_000 // max(1, len(at)))
+        return np.concatenate([np.add.reduceat(of[word[at], k:k + step] * weight[:, None], begin, axis=0)
+                               for k in range(0, n_lang, step)], axis=1)
+    whole, log_table = np.arange(len(word)), np.log(table)
+    votes = summed(table / table.sum(axis=1, keepdims=True), whole, starts, times)
+    by_votes = np.argsort(-votes, axis=1, kind="stable")
+    alone = summed(log_table, whole, starts, times)
+    pick = np.take_along_axis(alone, by_votes, axis=1).argmax(axis=1)
+    first = by_votes[np.arange(n_doc), pick]
+    best = alone[np.arange(n_doc), first]      # penalised log-likelihood of the set
+    languages, shares = [first[i:i + 1] for i in range(n_doc)], [np.ones(1)] * n_doc
+    penalty = PENALTY + np.log(n)
+    active, member, share = np.arange(n_doc), first[:, None], np.ones((n_doc, 1))
+    while len(active) and member.shape[1] < n_lang:
+        at, doc, begin = _runs(starts[active], size[active])
+        mix = (table[word[at, None], member[doc]] * share[doc]).sum(axis=1)
+        slope = summed(table, at, begin, times[at] / mix) - n[active, None]
+        within = np.take_along_axis(slope, member, axis=1).max(axis=1)
+        gain = slope + np.maximum(within, 0)[:, None]
+        if member.shape[1] == 1:               # nor more than if each word had the better of the two
+            for k in range(n_lang):
+                more = log_table[word[at], k] - log_table[word[at], member[doc, 0]]
+                gain[:, k] = np.minimum(gain[:, k], np.add.reduceat(times[at] * np.maximum(more, 0.0), begin))
+        np.put_along_axis(gain, member, -np.inf, axis=1)
+        which, new = np.nonzero(gain > penalty[active, None])
+        k = member.shape[1]
+        value = np.full((len(active), n_lang), -np.inf)
+        found = {}
+        cost = np.cumsum(size[active[which]] * (k + 1))
+        block = cost // 1_000_000 if len(cost) else cost
+        for b in np.unique(block):
+            own = np.flatnonzero(block == b)
+            d, lang = active[which[own]], new[own]
+            some = np.concatenate([member[which[own]], lang[:, None]], axis=1)
+            place, run, start = _runs(starts[d], size[d])
+            r = table[word[place, None], some[run]].astype(np.float64)
+            old = (r[:, :k] * share[which[own]][run]).sum(axis=1)
+            guess = np.add.reduceat(times[place] * r[:, k] / (r[:, k] + old), start) / n[d]
+            guess = np.clip(guess, 1e-9, 1 - 1e-9)[:, None]
+            bar = best[d] + k * penalty[d]
+            final, log = _maximised(r, start, size[d], n[d], np.concatenate(
+                [share[which[own]] * (1 - guess), guess], axis=1), times[place], bar)
+            value[which[own], lang] = log - k * penalty[d]
+            for i in np.flatnonzero(log > bar):
+                found[int(which[own[i]]), int(lang[i])] = final[i]
+        top = value.argmax(axis=1)
+        grows = np.flatnonzero(value[np.arange(len(active)), top] > best[active])
+        best[active[grows]] = value[grows, top[grows]]
+        member = np.concatenate([member[grows], top[grows, None]], axis=1)
+        share = np.array([found[int(i), int(top[i])] for i in grows]).reshape(len(grows), k + 1)
+        active = active[grows]
+        for i, m, s in zip(active.tolist(), member, share, strict=True):
+            languages[i], shares[i] = m, s
+    return votes, languages, shares
 
 
 def predict(text: pa.Array, model: Model) -> pa.Array:
@@ -161,30 +258,16 @@ def predict(text: pa.Array, model: Model) -> pa.Array:
         n = np.diff(offsets)[rows]
         starts = offsets[:-1][rows]
         if len(rows):
-            doc = np.repeat(np.arange(len(rows)), n)
-            votes = np.add.reduceat((table / table.sum(axis=1, keepdims=True))[index], starts, axis=0)
-            k = min(SET_SIZE, n_lang)
-            top = np.argsort(-votes, axis=1, kind="stable")[:, :k]
-            r = table[index[:, None], top[doc]]
-            alone = np.add.reduceat(np.log(r), starts, axis=0)
-            best = alone.max(axis=1)
-            chosen = np.zeros((len(rows), k))
-            chosen[np.arange(len(rows)), alone.argmax(axis=1)] = 1
-            guess = np.take_along_axis(votes, top, axis=1) + 1e-6
-            for size in range(2, k + 1):
-                share, log = _estimate(r[:, :size], doc, starts, n, guess[:, :size])
-                value = log - (size - 1) * (PENALTY + np.log(n))
-                better = value > best
-                best = np.where(better, value, best)
-                chosen[better] = 0
-                chosen[better, :size] = share[better]
-            first = chosen.argmax(axis=1)
+            own = np.repeat(np.arange(len(rows)), n) * len(found) + index
+            own, times = np.unique(own, return_counts=True)
+            doc, word = np.divmod(own, len(found))
+            votes, chosen, proportion = _grown(table, word, times.astype(np.float64),
+                                               np.searchsorted(doc, np.arange(len(rows))), n)
             names = np.array(model.languages, object)
-            lang[rows] = names[top[np.arange(len(rows)), first]]
-            score[rows] = np.clip(chosen.max(axis=1), 0, 1)
-            for i, t, c in zip(rows.tolist(), top, chosen, strict=True):
-                order = [j for j in np.argsort(-c, kind="stable") if c[j] > 0]
+            for i, v, t, c in zip(rows.tolist(), votes, chosen, proportion, strict=True):
+                order = np.lexsort((t, -v[t], -c))
                 langs[i], shares[i] = names[t[order]].tolist(), c[order].tolist()
+                lang[i], score[i] = langs[i][0], min(1.0, shares[i][0])
     return pa.StructArray.from_arrays(
         [pa.array(lang.tolist(), pa.string()), pa.array(score), pa.array(langs, pa.list_(pa.string())),
          pa.array(shares, pa.list_(pa.float64()))], names=RESULT.names)

@@ -291,3 +291,54 @@ def test_models_of_a_slice_equal_those_of_a_whole():
     texts = pa.array([EN, DE, None, "", FR])
     whole = lid.predict(texts, model).to_pylist()
     assert whole == [lid.predict(texts.slice(i, 1), model).to_pylist()[0] for i in range(5)]
+
+
+def test_all_languages_of_a_document_are_selected():
+    """Seven languages that share no trigram, as many words of each, and a set
+    that is no prefix of the order of votes."""
+    names = "abcdefg"
+    words = {x: [x + y + x for y in "hijklmnopqrstuv"] for x in names}
+    counts = np.full((lid.BUCKETS, 7), lid.SMOOTHING)
+    for k, x in enumerate(names):
+        bucket, _ = lid._trigrams([w.encode() for w in words[x]])
+        np.add.at(counts[:, k], bucket, 100)
+    model = lid.Model(list(names), np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    rng = random.Random(3)
+    text = [w for k, x in enumerate(names) for w in rng.choices(words[x], k=100 + 20 * k)]
+    got = lid.predict(pa.array([" ".join(text)]), model).to_pylist()[0]
+    assert got["langs"] == list("gfedcba") and got["lang"] == "g"
+    assert got["shares"] == pytest.approx([(220 - 20 * k) / 1120 for k in range(7)], abs=0.01)
+
+
+def test_sets_grow_as_by_plain_loops():
+    """The penalised likelihood of the set against greedy growth with plain
+    estimation to convergence."""
+    rng = np.random.default_rng(7)
+    sets = set()
+    for _ in range(40):
+        n, n_lang = int(rng.integers(5, 120)), 6
+        own = rng.integers(0, n_lang, rng.integers(1, 5))
+        log = rng.normal(-4, 2, (n, n_lang))
+        log[np.arange(n), rng.choice(own, n)] += 6
+        table = np.exp(np.maximum(log - log.max(axis=1, keepdims=True), -30)).astype(np.float32)
+        times = rng.integers(1, 4, n).astype(float)
+        total = times.sum()
+
+        def fitted(some, table=table, times=times, total=total):
+            r = table[:, some].astype(float)
+            share = np.full(len(some), 1 / len(some))
+            for _ in range(5000):
+                p = r * share
+                share = (p / p.sum(axis=1, keepdims=True) * times[:, None]).sum(axis=0) / total
+            return (times * np.log((r * share).sum(axis=1))).sum() - (len(some) - 1) * (lid.PENALTY + np.log(total))
+        some, value = [], -np.inf
+        while len(some) < n_lang:
+            best, new = max((fitted([*some, k]), k) for k in range(n_lang) if k not in some)
+            if best <= value:
+                break
+            some, value = [*some, new], best
+        _, got, share = lid._grown(table, np.arange(n), times, np.array([0]), np.array([total]))
+        assert fitted(got[0].tolist()) == pytest.approx(value, abs=0.02)
+        assert share[0].sum() == pytest.approx(1) and (share[0] > 0).all()
+        sets.add(len(some))
+    assert len(sets) > 2
