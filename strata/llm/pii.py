@@ -2,7 +2,8 @@ r"""Personal data by patterns, and by contexts learnt from them.
 
 Base spans are matches of four fixed patterns (e-mail, IP, card, phone) that
 pass their checks.  They are the seeds of a bootstrap: every word with a digit
-or an @ is a *mention*, the two words before it its context.  Contexts and the
+or an @ is a *mention*, the two words before it its context (a mark stands for a
+mention there, another for the beginning of the text).  Contexts and the
 identifiers they occur with form a bipartite graph.  In each round a context is
 as reliable as the share of its distinct identifiers that are known to be of
 one kind, and an identifier not known yet is of a kind by the contexts that
@@ -38,8 +39,9 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 MENTION = rf"(?<![^{WHITE}])[^{WHITE}0-9@]*+[0-9@][^{WHITE}]*+"
-CONTEXT = rf"([^{WHITE}]+[{WHITE}]+[^{WHITE}]+)[{WHITE}]*$"
-CONTEXT_CHARS = 64
+# entered at the beginning of a word only, and without a way back: linear for long words as well
+CONTEXT = rf"(?<![^{WHITE}])([^{WHITE}]++[{WHITE}]++[^{WHITE}]++)[{WHITE}]*+$"
+BEFORE, BEGIN = SEP, DOT  # in a context: a mention, the beginning of the text; no text has them
 
 ROUNDS = 2
 MIN_SEEDS = 5            # distinct known identifiers of a reliable context
@@ -93,8 +95,7 @@ def _sum(numbers: Column) -> Column:
 
 def _located(df: DataFrame, name: str, pattern: str) -> DataFrame:
     """``df`` with the matches of ``pattern`` in the column ``x_<name>`` (null:
-    none) as an array of start, end, value and ``ahead``, the text between the
-    match before and this one."""
+    none) as an array of start, end and value; mentions with their context."""
     x, m, g, n, b = (f"{p}_{name}" for p in "xmgnb")
     none = F.array().cast("array<string>")
     df = df.withColumns({
@@ -111,8 +112,13 @@ def _located(df: DataFrame, name: str, pattern: str) -> DataFrame:
         ahead = F.element_at(F.col(g), i + 1)
         start = (_sum(F.slice(F.col(b), F.lit(1), block))
                  + _sum(F.slice(F.col(n), block * BLOCK + 1, i % BLOCK)) + F.length(ahead))
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"),
-                        value.alias("value"), ahead.alias("ahead"))
+        own = [start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value")]
+        if name == "mention":  # its last two words are within the texts around the match before
+            head = F.concat(F.when(i > 1, BEFORE).otherwise(BEGIN + " "), F.when(
+                i > 0, F.concat(F.get(F.col(g), i - 1), F.lit(BEFORE))).otherwise(BEGIN + " "), ahead)
+            two = F.regexp_extract(head, CONTEXT, 1)
+            own.append(F.lower(F.regexp_replace(two, f"[{WHITE}]+", " ")).alias("context"))
+        return F.struct(*own)
     return df.withColumn(f"at_{name}", F.transform(F.col(m), place)).drop(x, m, g, n, b)
 
 
@@ -146,8 +152,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         return F.struct(
             start.alias("start"), end.alias("end"),
             F.substr(s["value"], opened + 1, F.greatest(size, F.lit(0))).alias("value"),
-            F.lower(F.regexp_extract(F.right(s["ahead"], F.lit(CONTEXT_CHARS)), CONTEXT, 1))
-            .alias("context"), kind.alias("kind"))
+            s["context"], kind.alias("kind"))
     return df.select("doc_id", "row", *KINDS, F.filter(
         F.transform("at_mention", mention), lambda s: s["end"] > s["start"]).alias("mentions"))
 
@@ -155,7 +160,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
 def bootstrapped(spark: SparkSession, mentions: DataFrame) -> DataFrame:
     """Of ``mentions`` (row, start, end, value, context, kind) those without a
     kind that the graph gives one: row, start, end, kind."""
-    edges = stage(spark, mentions.where("context != ''").groupBy("context", "value")
+    edges = stage(spark, mentions.groupBy("context", "value")
                   .agg(F.max("kind").alias("seed")), "op10-edges")
     known = edges.where("seed is not null").groupBy("value").agg(
         F.max("seed").alias("kind"), F.lit(1.0).alias("conf"))

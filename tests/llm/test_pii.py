@@ -79,6 +79,25 @@ def test_a_context_of_mixed_kinds_vouches_for_nothing(spark, docs_of):
     assert got[99]["spans"] == ""
 
 
+def test_contexts_reach_over_other_mentions_and_to_the_beginning(spark, docs_of):
+    long = "x" * 90
+    rows = [(i, f"Email: user{i}@site.org") for i in range(30)]
+    rows += [(100 + i, f"reach u{i}@site.org\n v{i}@site.org w{i}@site.org") for i in range(30)]
+    rows += [(200 + i, f"our order {i}, account a{i}@site.org") for i in range(30)]
+    rows += [(300 + i, f"n{i}@site.org wrote") for i in range(30)]
+    rows += [(400 + i, f"so y{long} is m{i}@site.org") for i in range(30)]
+    rows += [(1000, "Email: joe@intranet"), (1001, "reach joe@in  ann@in sue@in"),
+             (1002, "the order 12, account AB-x9"), (1003, "kim@intranet wrote"),
+             (1004, f"so y{long} is joe@lan"), (1005, f"so z{long} is joe@far")]
+    got = {r["doc_id"]: r["spans"] for r in pii.pii(spark, docs_of(rows)).collect()}
+    assert got[1000] == "email:7:19"
+    assert got[1001] == "email:6:12,email:14:20,email:21:27"
+    assert got[1002] == "email:22:27"
+    assert got[1003] == "email:0:12"
+    assert got[1004] == f"email:{len(long) + 8}:{len(long) + 15}"
+    assert got[1005] == ""
+
+
 def test_repeated_rows_and_empty_table(spark, docs_of):
     got = pii.pii(spark, docs_of([(1, "a@b.cd"), (1, "a@b.cd"), (None, "a@b.cd")])).collect()
     assert [r["base"] for r in got] == ["email:0:6"] * 3
