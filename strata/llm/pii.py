@@ -7,7 +7,8 @@ mention there, another for the beginning of the text).  Contexts and the
 identifiers they occur with form a bipartite graph.  In each round a context is
 as reliable as the share of its distinct identifiers that are known to be of
 one kind, and an identifier not known yet is of a kind by the contexts that
-vouch for it (noisy or).  Mentions of such identifiers in reliable contexts are
+vouch for it (noisy or); then it counts as known in the next round, until nothing
+is added.  An identifier keeps its kind, so scores only rise.  Mentions of such identifiers in reliable contexts are
 added to the base spans.
 
 Only DataFrame functions are used.  Spark's regular expressions give matches
@@ -43,7 +44,7 @@ MENTION = rf"(?<![^{WHITE}])[^{WHITE}0-9@]*+[0-9@][^{WHITE}]*+"
 CONTEXT = rf"(?<![^{WHITE}])([^{WHITE}]++[{WHITE}]++[^{WHITE}]++)[{WHITE}]*+$"
 BEFORE, BEGIN = SEP, DOT  # in a context: a mention, the beginning of the text; no text has them
 
-ROUNDS = 2
+SETTLED = 1e-3           # of the sum of all scores, between two rounds
 MIN_SEEDS = 5            # distinct known identifiers of a reliable context
 MIN_CONTEXT = 0.8
 MIN_INSTANCE = 0.8
@@ -162,28 +163,35 @@ def bootstrapped(spark: SparkSession, mentions: DataFrame) -> DataFrame:
     kind that the graph gives one: row, start, end, kind."""
     edges = stage(spark, mentions.groupBy("context", "value")
                   .agg(F.max("kind").alias("seed")), "op10-edges")
-    known = edges.where("seed is not null").groupBy("value").agg(
+    seeds = edges.where("seed is not null").groupBy("value").agg(
         F.max("seed").alias("kind"), F.lit(1.0).alias("conf"))
-    reliable = found = None
-    for _ in range(ROUNDS):
+    known, found, last = seeds, None, (0, 0, 0.0)
+    while True:
         scored = edges.join(known, "value", "left").groupBy("context", "kind").agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("conf"), F.lit(0.0)).alias("sure"),
-            F.count("seed").alias("seeds"))
+            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("conf"), F.lit(0.0)).alias("sure"))
         best = scored.groupBy("context").agg(
-            F.sum("n").alias("n"), F.max(F.struct("sure", "kind", "seeds")).alias("best"))
-        reliable = stage(spark, best.where((F.col("best.seeds") >= MIN_SEEDS)
-                                           & (F.col("best.sure") / (F.col("n") + 1) >= MIN_CONTEXT))
-                         .select("context", F.col("best.kind").alias("kind"),
-                                 (F.col("best.sure") / (F.col("n") + 1)).alias("trust")), "op10-contexts")
+            F.sum("n").alias("n"), F.max(F.when(F.col("kind").isNotNull(), F.struct(
+                "sure", "kind", F.col("n").alias("known")))).alias("best"))
+        trust = F.col("best.sure") / (F.col("n") + 1)
+        reliable = stage(spark, best.where((F.col("best.known") >= MIN_SEEDS) & (trust >= MIN_CONTEXT))
+                         .select("context", F.col("best.kind").alias("kind"), trust.alias("trust")),
+                         "op10-contexts")
         vouched = (edges.where("seed is null").join(reliable, "context").groupBy("value", "kind")
                    .agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("conf"))
-                   .groupBy("value").agg(F.max(F.struct("conf", "kind")).alias("best"))
-                   .where(F.col("best.conf") >= MIN_INSTANCE)
-                   .select("value", F.col("best.kind").alias("kind"), F.col("best.conf").alias("conf")))
-        found = stage(spark, vouched, "op10-instances")
-        known = (edges.where("seed is not null").groupBy("value")
-                 .agg(F.max("seed").alias("kind"), F.lit(1.0).alias("conf"))
-                 .unionByName(found))
+                   .where(F.col("conf") >= MIN_INSTANCE))
+        if found is None:
+            vouched = vouched.withColumn("kept", F.lit(False))
+        else:
+            vouched = (vouched.join(found.select("value", F.col("kind").alias("old")), "value", "left")
+                       .withColumn("kept", F.col("old").eqNullSafe(F.col("kind"))))
+        found = stage(spark, vouched.groupBy("value").agg(F.max(F.struct("kept", "conf", "kind")).alias("best"))
+                      .select("value", "best.kind", "best.conf"), "op10-instances")
+        known = seeds.unionByName(found.join(seeds, "value", "left_anti"))
+        total = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("conf"), F.lit(0.0))).first()
+        now = (reliable.count(), total[0], total[1])
+        if now[:2] == last[:2] and now[2] - last[2] < SETTLED:
+            break
+        last = now
     return (mentions.where("kind is null").drop("kind").join(found.select("value", "kind"), "value")
             .join(reliable.select("context", "kind"), ["context", "kind"])
             .select("row", "start", "end", "kind"))

@@ -98,6 +98,20 @@ def test_contexts_reach_over_other_mentions_and_to_the_beginning(spark, docs_of)
     assert got[1005] == ""
 
 
+def test_discovered_identifiers_support_further_contexts(spark, docs_of):
+    """The last identifier is reached in the fourth round, over two contexts that
+    no base pattern matches in."""
+    texts = [f"please mail to u{i}@site{i}.org" for i in range(2000)]
+    texts += [f"please mail to d{i}@intra" for i in range(200)]
+    texts += [f"kindly send for d{i}@intra" for i in range(200)]
+    texts += [f"kindly send for e{i}@intra" for i in range(20)]
+    texts += [f"notes kept by e{i}@intra" for i in range(20)]
+    texts += ["notes kept by f@intra", "nothing known by f2@intra"]
+    got = {r["doc_id"]: r["spans"] for r in pii.pii(spark, docs_of(list(enumerate(texts)))).collect()}
+    assert got[2000] == "email:15:23" and got[2200] == "email:16:24" and got[2400] == "email:16:24"
+    assert got[len(texts) - 2] == "email:14:21" and got[len(texts) - 1] == ""
+
+
 def test_repeated_rows_and_empty_table(spark, docs_of):
     got = pii.pii(spark, docs_of([(1, "a@b.cd"), (1, "a@b.cd"), (None, "a@b.cd")])).collect()
     assert [r["base"] for r in got] == ["email:0:6"] * 3
