@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup as ed
 from strata.llm import language_id as lid
+from strata.llm import lexical_search as lx
 from strata.llm import license_scan as ls
 from strata.llm import line_dedup as ld
 from strata.llm import minhash_dedup as mh
 from strata.llm import mixing, packing, pii
+from strata.llm import periodic_runs as pr
 from strata.llm import topk_search as tk
 from strata.llm import training_order as to
 from strata.llm.common import table, workers_find_package
@@ -72,6 +74,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "spans", "n_added")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lx.ranked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the periods that the contract plants in texts by their ids."""
+    return pr.periodic_runs(table(spark, sf_dir, "documents"), pr.repeating).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("div(1000 * top.length, top.period)").alias("exponent_milli"),
+        F.sha2(pr.described(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     def ready(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,8 +96,10 @@ def all_queries() -> dict[str, Query]:
 
     return {f.__name__: ready(f) for f in (
         op1_exact_dedup, op2_language_id, op3_training_order, op4_line_dedup, op5_mixing,
-        op6_packing, op7_topk_search, op8_minhash_dedup, op9_license_scan, op10_pii)}
+        op6_packing, op7_topk_search, op8_minhash_dedup, op9_license_scan, op10_pii,
+        op11_lexical_search, op12_periodic_runs)}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": ed.ORACLE, "op4_line_dedup": ld.ORACLE, "op7_topk_search": tk.ORACLE}
+    return {"op1_exact_dedup": ed.ORACLE, "op4_line_dedup": ld.ORACLE, "op7_topk_search": tk.ORACLE,
+            "op11_lexical_search": lx.ORACLE}
