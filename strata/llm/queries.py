@@ -19,6 +19,7 @@ from strata.llm import line_dedup as ld
 from strata.llm import minhash_dedup as mh
 from strata.llm import mixing, packing, pii
 from strata.llm import periodic_runs as pr
+from strata.llm import suffix_dedup as sd
 from strata.llm import topk_search as tk
 from strata.llm import training_order as to
 from strata.llm.common import table, workers_find_package
@@ -87,6 +88,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sd.without_repeats(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     def ready(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,9 +104,10 @@ def all_queries() -> dict[str, Query]:
     return {f.__name__: ready(f) for f in (
         op1_exact_dedup, op2_language_id, op3_training_order, op4_line_dedup, op5_mixing,
         op6_packing, op7_topk_search, op8_minhash_dedup, op9_license_scan, op10_pii,
-        op11_lexical_search, op12_periodic_runs)}
+        op11_lexical_search, op12_periodic_runs, op13_suffix_dedup)}
 
 
 def all_oracles() -> dict[str, str]:
     return {"op1_exact_dedup": ed.ORACLE, "op4_line_dedup": ld.ORACLE, "op7_topk_search": tk.ORACLE,
-            "op11_lexical_search": lx.ORACLE}
+            "op11_lexical_search": lx.ORACLE,
+            "op13_suffix_dedup": sd.ORACLE}
