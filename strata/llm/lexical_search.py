@@ -101,11 +101,28 @@ class Tree:
     maxima: np.ndarray       # of the coordinates of each node's rows
 
 
+def _halves(own: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rows ordered from one of two clusters to the other, and where the
+    second begins; neither has under an eighth of the rows."""
+    middle = own.mean(axis=0)
+    one = own[np.argmin(own @ middle)]
+    two = own[np.argmin(own @ one)]
+    for _ in range(2):
+        nearer = own @ (one - two) > 0
+        if nearer.all() or not nearer.any():
+            break
+        one, two = own[nearer].mean(axis=0), own[~nearer].mean(axis=0)
+    side = own @ (one - two)
+    eighth = max(1, len(own) // 8)
+    return np.argsort(-side, kind="stable"), int(np.clip((side > 0).sum(), eighth, len(own) - eighth))
+
+
 def build(rows: np.ndarray, weight: np.ndarray, leaf: int) -> Tree:
-    """A tree over ``rows``: a node is halved by rank along the coordinate that
-    varies most, by ``weight``, among its rows."""
+    """A tree over ``rows``: a node is parted into two clusters by direction,
+    along the coordinates that vary most by ``weight``."""
     splits = np.argsort(-(rows.std(axis=0) * weight), kind="stable")[:SPLITS]
-    narrow, weight = rows[:, splits], weight[splits]
+    narrow = rows[:, splits] * weight[splits]
+    narrow /= np.maximum(1e-9, np.sqrt((narrow * narrow).sum(axis=1)))[:, None]
     order = np.arange(len(rows))
     span, child = [(0, len(rows))], [0]
     todo = [0]
@@ -114,14 +131,11 @@ def build(rows: np.ndarray, weight: np.ndarray, leaf: int) -> Tree:
         lo, hi = span[node]
         if hi - lo <= leaf:
             continue
-        own = narrow[order[lo:hi]]
-        wide = int(np.argmax(own.std(axis=0) * weight)) if len(splits) else 0
-        if len(splits):
-            order[lo:hi] = order[lo:hi][np.argsort(-own[:, wide], kind="stable")]
-        half = (lo + hi) // 2
+        by, first = _halves(narrow[order[lo:hi]])
+        order[lo:hi] = order[lo:hi][by]
         child[node] = len(span)
         todo += [len(span), len(span) + 1]
-        span += [(lo, half), (half, hi)]
+        span += [(lo, lo + first), (lo + first, hi)]
         child += [0, 0]
     maxima = np.zeros((len(span), rows.shape[1]))
     for node in range(len(span) - 1, -1, -1):
@@ -160,6 +174,7 @@ def search(items: Tree, weights: np.ndarray, docs: Tree, vectors: np.ndarray, id
     """Adds to ``best`` the shard's documents; returns how many pairs of an item
     and a document were scored."""
     least = np.array([ids[docs.order[lo:hi]].min() for lo, hi in docs.span])
+    has = [np.flatnonzero(m) for m in items.maxima]
 
     def weakest(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The weakest kth score of the nodes' items, and the largest id that may tie with it."""
@@ -176,8 +191,7 @@ def search(items: Tree, weights: np.ndarray, docs: Tree, vectors: np.ndarray, id
         out = np.empty(len(i))
         for node in np.unique(i).tolist():
             own = np.flatnonzero(i == node)
-            has = np.flatnonzero(items.maxima[node])
-            out[own] = docs.maxima[np.ix_(d[own], has)] @ items.maxima[node][has]
+            out[own] = docs.maxima[d[own][:, None], has[node]] @ items.maxima[node][has[node]]
         return out
 
     i, d = np.zeros(1, np.int64), np.zeros(1, np.int64)
@@ -204,8 +218,7 @@ def search(items: Tree, weights: np.ndarray, docs: Tree, vectors: np.ndarray, id
         for node, leaf in zip(i[ok].tolist(), d[ok].tolist(), strict=True):
             who = items.order[slice(*items.span[node])]
             rows = docs.order[slice(*docs.span[leaf])]
-            has = np.flatnonzero(items.maxima[node])
-            scores = (vectors[np.ix_(rows, has)] @ weights[np.ix_(who, has)].T).astype(np.int64)
+            scores = (vectors[rows[:, None], has[node]] @ weights[who[:, None], has[node]].T).astype(np.int64)
             scored += scores.size
             for column, item in enumerate(who.tolist()):
                 best.add(item, scores[:, column], ids[rows])
