@@ -40,7 +40,7 @@ GRAM = 20                # bytes of an anchor
 WIDTH = SPAN - GRAM + 1  # grams, and at most as many strings of a piece
 FIRST = 8                # bytes of the initial buckets
 SLICE = 4 << 20
-WINDOWS = 1 << 18        # strings whose anchors are found at once
+WINDOWS = 1 << 16        # strings whose anchors are found at once
 OWNER_BYTES = 64 << 20   # of text to an owner
 HOT_SLICES = 1 << 12     # an anchor in more slices is split by strings
 PIECES = 1 << 14         # pieces refined at once
@@ -194,7 +194,8 @@ def _anchors(owners: int):
                 if not len(code):
                     continue
                 of = stands[own.text]
-                seen = np.unique(number[of] * len(stands) + own.text[of])
+                seen = np.sort(number[of] * len(stands) + own.text[of])
+                seen = seen[np.append(True, seen[1:] != seen[:-1])] if len(seen) else seen
                 many = np.bincount(seen // len(stands), minlength=len(code)) > 1
                 owner = (code >> U64(32)).astype(np.int64)
                 cut = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
@@ -222,7 +223,7 @@ def _shared(hot_slices: int):
         if not owner:
             return
         flat = np.concatenate(codes).astype(np.int64) | np.repeat(owner, [len(c) for c in codes]) << 32
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat)
         head = np.append(True, flat[order][1:] != flat[order][:-1])
         group = np.cumsum(head) - 1
         n = np.bincount(group)[group]
@@ -298,7 +299,7 @@ def refined(data: np.ndarray, room: np.ndarray, depth: int = SPAN) -> np.ndarray
     padded = np.append(data, np.zeros(FIRST, np.uint8))
     for k in range(FIRST):
         wide = wide << U64(8) | padded[k:k + n].astype(U64)
-    order = np.argsort(wide, kind="stable")
+    order = np.argsort(wide)
     head = np.append(True, wide[order][1:] != wide[order][:-1])
     pointer = np.empty(n, np.int64)
     pointer[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
@@ -310,7 +311,7 @@ def refined(data: np.ndarray, room: np.ndarray, depth: int = SPAN) -> np.ndarray
         if not len(live):
             break
         key = pointer[live] << 32 | pointer[live + step]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, live = key[order], live[order]
         bucket = np.append(True, key[1:] >> 32 != key[:-1] >> 32)
         part = np.append(True, key[1:] != key[:-1])
@@ -330,7 +331,7 @@ def first_strings(spans: list[bytes], rank: np.ndarray) -> np.ndarray:
     pointer = refined(data, room)
     string = np.flatnonzero(room >= SPAN)
     piece = np.repeat(np.arange(len(spans)), size - SPAN + 1)
-    order = np.argsort(pointer[string], kind="stable")
+    order = np.argsort(pointer[string])
     sorted_ = pointer[string][order]
     head = np.append(True, sorted_[1:] != sorted_[:-1])
     least = np.minimum.reduceat(rank[piece][order], np.flatnonzero(head))
@@ -344,37 +345,42 @@ def first_strings(spans: list[bytes], rank: np.ndarray) -> np.ndarray:
 def _refinement(most: int):
     """An owner's pieces, refined, and for each slice those with first strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list] = {}     # code, rank, and who has it: slice, text, place
+        number: dict[bytes, int] = {}    # of the distinct pieces
+        codes: list[int] = []
+        least: list[int] = []
+        who: list = []                   # slice, text and place of those with the least rank
         for batch in batches:
             for row in batch.to_pylist():
-                code = np.frombuffer(_full(row["codes"]), np.uint32).tolist()
-                size = np.frombuffer(_full(row["sizes"]), np.uint8).tolist()
-                rank = np.frombuffer(_full(row["ranks"]), np.int64).tolist()
-                text = np.frombuffer(_full(row["texts"]), np.int32).tolist()
-                place = np.frombuffer(_full(row["places"]), np.int64).tolist()
-                raw, at, top = _full(row["bytes"]), 0, row["owner"] << 32
-                for k in range(len(code)):
-                    span = raw[at:at + size[k]]
-                    at += size[k]
-                    who = (row["slice"], text[k], place[k])
-                    other = held.get(span)
-                    if other is None or rank[k] < other[1]:
-                        held[span] = [top | code[k], rank[k], who]
-                    elif rank[k] == other[1]:
-                        other.append(who)
-        every = sorted(held.items(), key=lambda item: item[1][0])
+                code, size, rank, text, place = (
+                    np.frombuffer(_full(row[c]), of).tolist() for c, of in
+                    (("codes", np.uint32), ("sizes", np.uint8), ("ranks", np.int64), ("texts", np.int32),
+                     ("places", np.int64)))
+                raw, at, slice_ = _full(row["bytes"]), 0, row["slice"]
+                for k, n in enumerate(size):
+                    span = raw[at:at + n]
+                    at += n
+                    j = number.setdefault(span, len(codes))
+                    if j == len(codes):
+                        codes.append(code[k])
+                        least.append(rank[k])
+                        who.append((slice_, text[k], place[k]))
+                    elif rank[k] < least[j]:
+                        least[j], who[j] = rank[k], (slice_, text[k], place[k])
+                    elif rank[k] == least[j]:
+                        who[j] = (*who[j], slice_, text[k], place[k])
+        spans, order = list(number), np.argsort(np.array(codes, np.int64))
+        sorted_ = np.array(codes, np.int64)[order]
         answers: dict[int, list[tuple[int, int, int]]] = {}
         lo = 0
-        while lo < len(every):
-            hi = min(lo + most, len(every))
-            while hi < len(every) and every[hi][1][0] == every[hi - 1][1][0]:
-                hi += 1                  # an anchor's pieces stay together
-            part = every[lo:hi]
-            first = first_strings([s for s, _ in part], np.array([h[1] for _, h in part], np.int64))
-            for (_, own), bits in zip(part, first.tolist(), strict=True):
+        while lo < len(order):
+            # An anchor's pieces stay together.
+            hi = int(np.searchsorted(sorted_, sorted_[min(lo + most, len(order)) - 1], side="right"))
+            part = order[lo:hi].tolist()
+            first = first_strings([spans[j] for j in part], np.array([least[j] for j in part], np.int64))
+            for j, bits in zip(part, first.tolist(), strict=True):
                 if bits:
-                    for slice_, text, place in own[2:]:
-                        answers.setdefault(slice_, []).append((text, place, bits))
+                    for k in range(0, len(who[j]), 3):
+                        answers.setdefault(who[j][k], []).append((*who[j][k + 1:k + 3], bits))
             lo = hi
         for slice_, rows in answers.items():
             text, place, bits = (np.array(x, np.int64) for x in zip(*rows, strict=True))
@@ -419,32 +425,31 @@ def _slice_result(row: dict, owners: int) -> pa.RecordBatch:
                     np.int64)
     gone = ((~bits[:, None] >> np.arange(WIDTH)) & 1).astype(bool) & (np.arange(WIDTH) < own.count[:, None])
     which, number = np.nonzero(gone)
-    start = own.at[which] + number
-    n = len(own.data)
-    change = np.bincount(start, minlength=n + 1)[:n + 1] - np.bincount(start + SPAN, minlength=n + 1)[:n + 1]
-    # A text with a copy of smaller id goes whole, if it is long enough for a string.
-    copy = (own.rank > np.array(row["low"], np.int64)) & (own.lengths >= SPAN)
-    np.add.at(change, begin[copy], 1)
-    np.add.at(change, own.ends[copy], -1)
-    removed = np.cumsum(change[:n]) > 0
-    left = np.concatenate([[0], np.cumsum(~removed)])
+    order = np.argsort(own.at[which] + number)
+    start, text = (own.at[which] + number)[order], own.text[which][order]
+    # Strings that overlap or touch are one run; so is a whole text with a copy of smaller id.
+    opens = np.ones(len(start), bool)
+    opens[1:] = (start[1:] > start[:-1] + SPAN) | (text[1:] != text[:-1])
+    last = np.append(opens[1:], True) if len(opens) else opens
+    copy = np.flatnonzero((own.rank > np.array(row["low"], np.int64)) & (own.lengths >= SPAN))
+    lo = np.concatenate([start[opens], begin[copy]])
+    hi = np.concatenate([start[last] + SPAN, own.ends[copy]])
+    order = np.argsort(lo)
+    lo, hi = lo[order], hi[order]
+    text = np.searchsorted(own.ends, lo, side="right")
+    change = np.zeros(len(own.data) + 1, np.int8)
+    change[lo] += 1
+    change[hi] -= 1
+    left = own.data[np.cumsum(change[:-1], dtype=np.int8) == 0]
+    n_removed = np.bincount(text, hi - lo, len(own.ids)).astype(np.int64)
     kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(own.ids), [
-        None, pa.py_buffer(left[np.append(0, own.ends)].astype(np.int64)), pa.py_buffer(own.data[~removed])])
-    # Runs of removed bytes, cut where a text ends.
-    inner = np.zeros(n + 1, bool)
-    inner[:n] = removed
-    opens = np.flatnonzero(inner[:n] & ~np.append(False, inner[:n - 1])) if n else np.empty(0, np.int64)
-    cuts = begin[(own.lengths > 0) & (begin > 0)]
-    cuts = cuts[inner[cuts] & inner[cuts - 1]]
-    opens = np.union1d(opens, cuts)
-    closes = np.union1d(np.flatnonzero(~inner[1:] & inner[:-1]) + 1, cuts)
-    text = np.searchsorted(own.ends, opens, side="right")
+        None, pa.py_buffer(np.append(0, np.cumsum(own.lengths - n_removed))), pa.py_buffer(left)])
     bounds = np.searchsorted(text, np.arange(len(own.ids) + 1))
     spans = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.StructArray.from_arrays(
-        [pa.array(opens - begin[text]), pa.array(closes - begin[text])], fields=list(_SPAN)))
+        [pa.array(lo - begin[text]), pa.array(hi - begin[text])], fields=list(_SPAN)))
     return pa.RecordBatch.from_arrays(
-        [pa.array(own.ids, pa.int64()), pa.array(own.lengths),
-         pa.array(own.lengths - np.diff(left[np.append(0, own.ends)])), spans, kept.cast(pa.binary())],
+        [pa.array(own.ids, pa.int64()), pa.array(own.lengths), pa.array(n_removed), spans,
+         kept.cast(pa.binary())],
         ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
