@@ -41,6 +41,23 @@ def collapsed(text: Column) -> Column:
                             rf"\x20[{WHITE}]+|[\x09-\x0D][{WHITE}]*", " ")
 
 
+def without_rows(docs: DataFrame, key: Column, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those that ``gone`` names, and of those that
+    ``repeated`` names one each.  Both have doc_id and key, a row for each pair,
+    where ``key`` is the hash that rows of ``docs`` have; a null doc_id is a
+    value like others.  A row travels as one column, so that its names clash
+    with none of these."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), key.alias("key"))
+
+    def named(by: DataFrame, how: str) -> DataFrame:
+        by = by.select(F.col("doc_id").alias("by_id"), F.col("key").alias("by_key"))
+        return rows.join(by, F.col("id").eqNullSafe(F.col("by_id")) & (F.col("key") == F.col("by_key")), how)
+
+    single = named(gone.select("doc_id", "key").unionByName(repeated.select("doc_id", "key")), "left_anti")
+    one = named(repeated, "left_semi").dropDuplicates(["id", "key"])
+    return single.select("row.*").unionByName(one.select("row.*"))
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows with about ``max_bytes`` of ``column``, at least
     a row each, so that a task's memory does not follow the batch size.  Between

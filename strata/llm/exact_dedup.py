@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import collapsed, stage
+from strata.llm.common import collapsed, stage, without_rows
 
 CAPACITY = 1 << 15      # entries in a bucket before it splits
 SPARE_BITS = 4          # the directory's finest cells: 2**4 to a full bucket
@@ -109,13 +109,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY,
 
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that exact_dedup keeps, with all their columns."""
-    kept = (exact_dedup(spark, docs).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")))
-    keyed = docs.withColumn("_key", F.xxhash64(collapsed(F.col("text"))))
-    return (keyed.join(kept.withColumnRenamed("_key", "_kept_key"),
-                       F.col("doc_id").eqNullSafe(F.col("_id"))
-                       & (F.col("_key") == F.col("_kept_key")), "left_semi")
-            .dropDuplicates(["doc_id", "_key"]).select(*docs.columns))
+    judged = stage(spark, exact_dedup(spark, docs).groupBy("doc_id", "key")
+                   .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "op1-judged")
+    return without_rows(docs, F.xxhash64(collapsed(F.col("text"))), judged.where("not kept"),
+                        stage(spark, judged.where("kept and n > 1"), "op1-repeated"))
 
 
 ORACLE = r"""

@@ -96,20 +96,21 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(spark: SparkSession, labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """A model of the languages of ``labelled`` (text, lang).  Rows without one
     of the two are left out.  At most ``sample_docs`` documents of a language,
-    those with the smallest hash of their text, are used; what the driver
-    gathers is a table of trigrams per language."""
+    those with the smallest hash of their text, are used, each text once; what
+    the driver gathers is a table of trigrams per language."""
     own = labelled.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = own.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    own = own.withColumn("h", F.xxhash64("text"))
+    sizes = own.groupBy("lang").agg(F.count_distinct("h").alias("texts")).limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), np.float32))
-    share = spark.createDataFrame([(r["lang"], min(1.0, 2.0 * sample_docs / r["count"])) for r in sizes],
+    share = spark.createDataFrame([(r["lang"], min(1.0, 2.0 * sample_docs / r["texts"])) for r in sizes],
                                   "lang string, share double")
-    h = F.xxhash64("text")
     first = Window.partitionBy("lang").orderBy("h")
-    sample = (own.withColumn("h", h).join(F.broadcast(share), "lang")  # a row per language
+    sample = (own.join(F.broadcast(share), "lang")  # a row per language
               .where(F.shiftrightunsigned("h", 11) / float(1 << 53) < F.col("share"))
+              .dropDuplicates(["lang", "h"])
               .withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample_docs))
     counts: dict[str, np.ndarray] = {r["lang"]: np.zeros(BUCKETS) for r in sizes}
     for row in sample.select("text", "lang").mapInArrow(_counted, "lang string, counts binary").collect():
@@ -333,6 +334,7 @@ def spoken(spark: SparkSession, docs: DataFrame, least: float = 0.0) -> DataFram
         if least > 0:
             raise ValueError("no labelled document to fit on, so no language has a proportion")
         return docs.where(_lettered(F.col("text")))
-    found = identified(spark, docs, model, name="_language")
-    return (found.where((F.col("_language.lang") != UNKNOWN) & (F.col("_language.score") >= least))
-            .select(*docs.columns))
+    # the whole row as one column, so that its names clash with none of these
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    found = identified(spark, rows, model, name="language")
+    return found.where((F.col("language.lang") != UNKNOWN) & (F.col("language.score") >= least)).select("row.*")

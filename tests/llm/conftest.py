@@ -24,5 +24,8 @@ def docs_of(spark):
             "source_size": F.lit(None).cast("int"), "keep_id": F.lit("k"), "component_id": F.lit(3),
             "rank": F.lit("r"), "gone": F.lit("g"), "weight": F.lit("w"), "cell": F.lit(1),
             "band": F.lit("b"), "digest": F.lit("d"), "context": F.lit("c"), "value": F.lit(9),
-            "h": F.lit(True), "tie": F.lit("t"), "score": F.lit("z")})
+            "h": F.lit(True), "tie": F.lit("t"), "score": F.lit("z"), "_key": F.lit(7),
+            "_id": F.lit("i"), "_kept_key": F.lit(8), "_gone": F.lit(None).cast("double"),
+            "_language": F.lit("none"), "language": F.lit(2), "id": F.lit("j"), "by_id": F.lit(1),
+            "_doc": F.lit("d"), "of": F.lit(0), "first": F.lit("f"), "n": F.lit(4)})
     return make

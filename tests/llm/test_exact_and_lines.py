@@ -70,6 +70,7 @@ def test_kept_documents_keep_their_columns(spark, docs_of):
     want = sorted((r[0] for r in brute_exact(ROWS) if r[3]), key=str)
     # rows without any id, of equal text, are one document
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == want
+    assert {(r._key, r._id, r._kept_key, r.key, r.kept) for r in kept.collect()} == {(7, "i", 8, "x", 1)}
     assert ed.exact_dedup(spark, docs_of([])).count() == 0
 
 

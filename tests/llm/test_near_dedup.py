@@ -114,6 +114,50 @@ def test_missing_and_repeated_ids(spark, docs_of):
     docs = docs_of(rows)
     kept = mh.without_near_duplicates(spark, docs)
     assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r._gone, r._key) for r in kept.collect()), key=str) == sorted(
+        [(5, "a b c d e f", None, 7), (None, "only this one here now", None, 7), (None, None, None, 7),
+         (7, None, None, 7)], key=str)
+
+
+def test_links_of_an_id_with_several_texts(spark, docs_of):
+    """A doc_id with two texts is one node; rows without an id keep one of their class."""
+    rng = random.Random(2)
+    a, b, c = (rng.choices([f"w{i}" for i in range(999)], k=90) for _ in range(3))
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, " ".join(edited(rng, a, 0.01))),
+            (9, " ".join(edited(rng, b, 0.01))), (None, " ".join(edited(rng, b, 0.01))),
+            (None, " ".join(c)), (None, " ".join(c)), (None, " ".join(edited(rng, c, 0.01)))]
+    got = [(r.doc_id, r.component_id) for r in mh.near_duplicates(spark, docs_of(rows)).collect()]
+    assert sorted(got, key=str) == sorted([(5, 5), (5, 5), (7, 5), (9, 5), (None, 5)] + [(None, None)] * 3, key=str)
+    kept = mh.without_near_duplicates(spark, docs_of(rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 5), (True, None)]
+    assert {r.text for r in kept} <= {t for _, t in rows}
+
+
+def test_rows_grow_with_the_members_of_a_group(spark, docs_of, monkeypatch):
+    """Copies of one text at the threshold: what is shuffled and confirmed grows
+    in proportion to the group, not with its pairs."""
+    counted = {}
+    write = mh.stage
+
+    def counting(session, df, name, *by):
+        out = write(session, df, name, *by)
+        counted[name] = counted.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(mh, "stage", counting)
+    steps = {}
+    for n in (200, 400, 800):
+        rng = random.Random(n)
+        words = rng.choices([f"w{i}" for i in range(3000)], k=200)
+        rows = [(i, " ".join(edited(rng, words, 0.033))) for i in range(n)]
+        counted.clear()
+        mh.near_duplicates(spark, docs_of(rows)).count()
+        steps[n] = {k: v for k, v in counted.items() if not k.endswith("labels")}
+    for n, rows in steps.items():
+        assert rows["op8-met0"] <= n and rows["op8-hub0"] <= n
+        assert rows["op8-open"] <= 32 * n and rows["op8-suspects"] <= 2 * rows["op8-open"]
+        assert rows["op8-joining"] < max(1, rows["op8-suspects"])
+        assert sum(rows.values()) < 200 * n
 
 
 def test_long_chains_of_links(spark):
