@@ -44,25 +44,27 @@ class GateFailed(AssertionError):
 
 
 def _gate(catalog: Catalog, tables: Mapping[str, DataFrame], layer: str, on_failure: str,
-          result: BuildResult, freshness_now=None, check_freshness: bool = False) -> None:
+          result: BuildResult, freshness_now=None, check_freshness: bool = False,
+          limits: Mapping[str, Mapping[str, object]] | None = None) -> None:
     """Run the layer's tests (one job), store every result with its severity,
-    and stop the build on a failing error-severity test when asked to.
+    and stop the build when asked to if a test fails: one of error severity with
+    more failures than its limit.
 
     For Bronze, source freshness follows the tests (newest load older than
     12 h warns, older than 24 h is an error), as the source pipeline orders it.
     """
     if on_failure == "skip":
         return
-    checks = suite.select(layer)
-    severity = {c.test_name: c.severity for c in checks}
-    rows = suite.summary(tables, checks).collect()          # one row per declared test
+    checks = {c.test_name: c for c in suite.with_limits(suite.select(layer), limits or {})}
+    rows = suite.summary(tables, list(checks.values())).collect()          # one row per declared test
     at = now_utc()
-    records = [
-        (result.run_id, r["layer"], r["table_name"], r["test_name"], severity[r["test_name"]],
-         int(r["failures"]), "pass" if r["failures"] == 0 else
-         ("warn" if severity[r["test_name"]] == "warn" else "fail"), at) for r in rows]
-    failed = sorted((r["test_name"], int(r["failures"])) for r in rows
-                    if r["failures"] > 0 and severity[r["test_name"]] == "error")
+    records, failed = [], []
+    for r in sorted(rows, key=lambda r: r["test_name"]):
+        check, n = checks[r["test_name"]], int(r["failures"])
+        records.append((result.run_id, r["layer"], r["table_name"], check.test_name, check.severity, n,
+                        check.status(n), at))
+        if check.status(n) == "fail":
+            failed.append((check.test_name, n))
     if check_freshness:
         for r in suite.freshness_report(tables, now=freshness_now).collect():   # one row per source
             name = f"freshness:{r['table_name']}._loaded_at"
@@ -95,8 +97,8 @@ def _write_layer(spark: SparkSession, catalog: Catalog, layer: str,
 
 def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame],
           on_failure: str = "raise", run_id: str | None = None,
-          parallelism: int = 4, check_freshness: bool = True,
-          freshness_now=None) -> BuildResult:
+          parallelism: int = 4, check_freshness: bool = True, freshness_now=None,
+          limits: Mapping[str, Mapping[str, object]] | None = None) -> BuildResult:
     """Build, test and publish Silver then Gold.
 
     ``on_failure="raise"`` stops at the first layer whose tests fail (nothing
@@ -104,18 +106,20 @@ def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame]
     ``"skip"`` runs no tests (the caller runs the suite itself).
     ``check_freshness`` adds source freshness to the Bronze gate (on by
     default, as in the source pipeline); ``freshness_now`` fixes its clock.
+    ``limits`` gives tests another severity or limits of their own for this
+    build: {test name: {"severity": .., "warn_above": .., "error_above": ..}}.
     """
     run_id = run_id or str(uuid.uuid4())
     result = BuildResult(run_id)
 
     bronze_tables = {name: bronze[name] for _, name in SILVER.values()}
     _gate(catalog, bronze_tables, "bronze", on_failure, result,
-          freshness_now=freshness_now, check_freshness=check_freshness)
+          freshness_now=freshness_now, check_freshness=check_freshness, limits=limits)
 
     base = Layers(bronze)
     silver = _write_layer(spark, catalog, "silver",
                           {name: base[name] for name in SILVER}, run_id, parallelism)
-    _gate(catalog, silver, "silver", on_failure, result)
+    _gate(catalog, silver, "silver", on_failure, result, limits=limits)
     result.published["silver"] = catalog.publish(
         "silver", {name: (run_id, None) for name in silver}, publication_id=run_id,
         descriptions=DESCRIPTIONS)
@@ -127,7 +131,7 @@ def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame]
                                     {name: layered[name] for name in wave}, run_id,
                                     parallelism))
     gold = {name: written[name] for name in GOLD}
-    _gate(catalog, gold, "gold", on_failure, result)
+    _gate(catalog, gold, "gold", on_failure, result, limits=limits)
     result.published["gold"] = catalog.publish(
         "gold", {name: (run_id, None) for name in gold}, publication_id=run_id,
         descriptions=DESCRIPTIONS)

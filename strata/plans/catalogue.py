@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans.layers import GOLD, SILVER, Layers
-from strata.sources.adapters import Bronze
+from strata.sources.adapters import Bronze, land_files, land_lines, land_rows, landing_from_frames
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,13 +182,6 @@ def _clocks() -> list:
     return [LOAD_TIME + dt.timedelta(hours=h) for h in (1, 13, 25)]
 
 
-def _land_lines(lines: DataFrame, path: str, c, mode: str = "errorifexists") -> None:
-    """Lines of text as landing files of a contract, its header in each."""
-    (lines.toDF(",".join(c.columns)).write.mode(mode).option("header", True)
-     .option("sep", "\u0001").option("quote", "")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-
-
 def _contracts():
     from strata.sources.contracts import CONTRACTS
     return CONTRACTS
@@ -230,6 +223,32 @@ def build_queries() -> dict[str, Query]:
                 .select("layer", "table_name", "test_name", "severity", "failures",
                         F.lit(published).cast("bigint").alias("published_tables")))
 
+    def gate_severities(spark, sf_dir):
+        """Two builds over the same dirty data: in the first, uniqueness, accepted
+        values and business rules only warn, and it publishes all layers; in the
+        second the order lines may repeat no key, which stops it at Silver.  The
+        tests that did not pass, with the failures of the run before, and the
+        layers that the run has published."""
+        from pyspark.sql import functions as F
+
+        from strata.plans import suite as s
+        from strata.plans.build import GateFailed, build
+        catalog = _scratch_catalog(spark, "severities")
+        bronze = _published_bronze(spark, catalog, sf_dir)
+        lax = {c.test_name: {"severity": "warn"} for c in s.CHECKS if c.kind != "not_null"}
+        strict = {k: v for k, v in lax.items() if k != "unique:stg_order_items.order_id+order_item_id"}
+        for run, limits in (("1-lax", lax), ("2-strict", strict)):
+            try:
+                build(spark, catalog, bronze, on_failure="raise", run_id=run, check_freshness=False, limits=limits)
+            except GateFailed:
+                pass
+        published = (catalog.manifest().where("layer <> 'bronze'")
+                     .groupBy(F.col("publication_id").alias("run_id"))
+                     .agg(F.countDistinct("layer").alias("published_layers")))
+        return (s.trend(catalog.test_results()).where("failures > 0").join(published, "run_id", "left")
+                .select("run_id", "layer", "test_name", "severity", "status", "failures", "failures_before",
+                        "runs_not_passed", F.coalesce("published_layers", F.lit(0)).alias("published_layers")))
+
     def table_descriptions(spark, sf_dir):
         """The descriptions that a published Silver layer carries, read back
         with the rows of each table."""
@@ -248,7 +267,8 @@ def build_queries() -> dict[str, Query]:
             .withColumn("table_name", F.lit(n)) for n in names])
         return catalog.manifest().select("table_name", "description").join(rows, "table_name")
 
-    return {f.__name__: f for f in (warehouse_build, gate_stops_build, table_descriptions)}
+    return {f.__name__: f for f in (warehouse_build, gate_stops_build, gate_severities,
+                                    table_descriptions)}
 
 
 def build_oracles() -> dict[str, str]:
@@ -257,6 +277,7 @@ def build_oracles() -> dict[str, str]:
     from strata.plans.layers import DESCRIPTIONS
     return {"warehouse_build": o.model("mart_daily_sales"),
             "gate_stops_build": o.gate_sql(s.select("bronze")),
+            "gate_severities": o.severities_sql(s.select("bronze"), s.select("silver"), s.select("gold")),
             "table_descriptions": o.descriptions_sql(
                 {n: DESCRIPTIONS[n] for n in ("stg_customers", "stg_products", "stg_sellers")})}
 
@@ -265,6 +286,8 @@ def build_oracles() -> dict[str, str]:
 def extension_queries() -> dict[str, Query]:
     from pyspark.sql import functions as F
 
+    from functools import reduce
+
     from strata.operators import incremental as inc
     from strata.plans.silver import stg_orders
     from strata.session import scratch_path
@@ -272,22 +295,137 @@ def extension_queries() -> dict[str, Query]:
     from strata.sources import csv_ingest as ci
     from strata.sources.contracts import contract
 
+    def landed_by_month(spark, sf_dir, name):
+        """Orders landed as a file per month; the contract and the folder."""
+        root, c = scratch_path(spark, name), contract("raw_orders")
+        rows = adapters.raw_orders(spark, sf_dir)
+        land_rows(rows, f"{root}/{c.file}", c, month_of("order_purchase_timestamp"))
+        return c, root
+
+    def month_of(column):
+        return F.date_format(F.col(column).cast("timestamp_ntz"), "yyyyMM")
+
+    def ex_batch_id(spark, sf_dir):
+        """Content ids of landed files: a digest tree over their lines."""
+        from strata.sources.records import content_ids
+        c, root = landed_by_month(spark, sf_dir, "batches")
+        return content_ids(spark, f"{root}/{c.file}").select(
+            F.regexp_extract("uri", "part=([0-9]+)", 1).alias("month"), "lines", "batch_id")
+
     def ex_record_id(spark, sf_dir):
-        """Deterministic ids: SHA-256 of each landed file's content, then
-        SHA-256(batch_id || '-' || file row number) per Bronze record."""
+        """Deterministic ids of all records: SHA-256(batch id || '-' || row
+        number in the file) of files that were ingested."""
         from strata.sources.catalog import Catalog
-        root = scratch_path(spark, "ids")
-        c = contract("raw_orders")
-        ci.landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, root, [c])
-        expected = ci.check_landing(spark, root, [c])
-        prepared = ci.prepare(spark, Catalog(spark, f"{root}/warehouse"), c, f"{root}/{c.file}",
-                              "ids", ci.now_utc(), expected[c.name])
-        files = inc.batch_ids(spark, f"{root}/{c.file}", "*.csv").select(
-            F.element_at(F.split("source_file", "/"), -1).alias(ci.SOURCE_FILE), "batch_id")
-        keyed = spark.read.parquet(prepared.path).join(files, ci.SOURCE_FILE)
-        recs = keyed.select(inc.record_id("batch_id", ci.SOURCE_ROW).alias("record_id"))
-        return recs.agg(F.count(F.lit(1)).alias("records"),
-                        F.countDistinct("record_id").alias("distinct_record_ids"))
+        c, root = landed_by_month(spark, sf_dir, "ids")
+        catalog = Catalog(spark, f"{root}/warehouse")
+        ci.ingest_increment(spark, catalog, root, [c], load_id="ids")
+        batches = catalog.batch_ledger().select(
+            F.regexp_extract("source_file", "part=([0-9]+)", 1).alias("month"), "batch_id")
+        rows = catalog.read("bronze", c.name).withColumn("month", month_of("order_purchase_timestamp"))
+        return rows.join(batches, "month").select(
+            "order_id", inc.record_id("batch_id", ci.SOURCE_ROW).alias("record_id"))
+
+    def ex_ledger(spark, sf_dir):
+        """Three runs over one landing folder: the second finds every file known
+        by its stamp and reads none; before the third all files are delivered
+        again under other names, and some corrected orders.  After each run: its
+        status, the files the ledger knows and the rows loaded so far."""
+        from strata.sources.catalog import Catalog
+        c, root = landed_by_month(spark, sf_dir, "ledger")
+        catalog, rows = Catalog(spark, f"{root}/warehouse"), []
+        for run in (1, 2, 3):
+            if run == 3:
+                land_rows(adapters.raw_orders(spark, sf_dir), f"{root}/{c.file}/again", c,
+                              month_of("order_purchase_timestamp"))
+                land_rows(adapters.raw_orders_corrections(spark, sf_dir), f"{root}/{c.file}/corrected", c,
+                              F.lit("corrected"))
+            done = ci.ingest_increment(spark, catalog, root, [c], load_id=f"run-{run}")
+            # Counted now: the ledger's folder is the same in each run, and Spark would reuse one scan.
+            known = catalog.batch_ledger().select("source_file").distinct().count()
+            rows.append(catalog.read("bronze", c.name).agg(F.count(F.lit(1)).alias("loaded_rows")).select(
+                F.lit(run).alias("run"), F.lit(done.status).alias("status"),
+                F.lit(known).cast("bigint").alias("known_files"), "loaded_rows"))
+        return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+    def ex_quarantine_bytes(spark, sf_dir):
+        """Sellers landed with, for each of them, a record with a byte that is
+        not UTF-8 and one that lacks a column, ingested under a quarantine: the
+        rows that were published, and those kept out, with their bytes."""
+        from strata.sources.catalog import Catalog
+        root, c = scratch_path(spark, "bytes"), contract("raw_sellers")
+        seller = [F.coalesce(F.col(x), F.lit("")).cast("binary") for x in c.columns]
+        comma = F.lit(",").cast("binary")
+        whole = F.concat(seller[0], comma, seller[1], comma, seller[2], comma, seller[3])
+        spoilt = F.concat(seller[0], comma, seller[1], comma, seller[2], F.lit(b"\xff"), comma, seller[3])
+        short = F.concat(seller[0], comma, seller[1], comma, seller[2])
+        lines = adapters.raw_sellers(spark, sf_dir).select(
+            F.pmod(F.col(ci.SOURCE_ROW), F.lit(3)).alias("part"), F.col(ci.SOURCE_ROW).alias("row"),
+            F.explode(F.array(*[x.cast("string") for x in (whole, spoilt, short)])).alias("value"))
+        land_files(lines, f"{root}/{c.file}", c)
+        catalog = Catalog(spark, f"{root}/warehouse")
+        ci.ingest(spark, catalog, root, [c], quarantine=ci.Quarantine(max_share=0.7))
+        good = catalog.read("bronze", c.name).select(
+            F.lit("published").alias("kind"), "seller_id", F.lit(None).cast("string").alias("bytes"))
+        return good.unionByName(catalog.quarantine(c.name).select(
+            F.col("reason").alias("kind"), F.lit(None).cast("string").alias("seller_id"),
+            F.hex("raw").alias("bytes")))
+
+    def backfilled(spark, sf_dir):
+        """A published warehouse after a load that corrects the orders of a month
+        and the backfill of what they touch."""
+        from strata.plans.backfill import backfill
+        from strata.plans.build import build
+        catalog = _scratch_catalog(spark, "backfill")
+        build(spark, catalog, _published_bronze(spark, catalog, sf_dir), on_failure="skip")
+        changes = adapters.raw_orders_corrections(spark, sf_dir)
+        catalog.write_version(changes, "bronze", "raw_orders", "corrections")
+        catalog.publish("bronze", {"raw_orders": ("corrections", None)}, append=("raw_orders",))
+        backfill(spark, catalog, {"raw_orders": spark.read.parquet(
+            catalog.version_path("bronze", "raw_orders", "corrections"))})
+        return catalog
+
+    def ex_backfill(spark, sf_dir):
+        """The order fact after a bounded backfill; equals a full rebuild."""
+        return backfilled(spark, sf_dir).read("gold", "fact_orders").drop("order_month")
+
+    def ex_backfill_mart(spark, sf_dir):
+        """The daily sales mart after a bounded backfill; equals a full rebuild."""
+        return backfilled(spark, sf_dir).read("gold", "mart_daily_sales")
+
+    def ex_schema_types(spark, sf_dir):
+        """Order lines with a narrower, a wider and an unlike type of a column,
+        taken into the table under each policy, or refused."""
+        current = layers(spark, sf_dir)["stg_order_items"]
+        changes = {"narrower": ("order_item_id", "int"), "wider": ("price", "decimal(22,4)"),
+                   "unlike": ("shipping_limit_at", "string")}
+        parts = []
+        for policy in ("fail", "append_new_columns", "sync_all_columns"):
+            for change, (column, kind) in changes.items():
+                incoming = current.withColumn(column, F.col(column).cast(kind))
+                try:
+                    taken, outcome = inc.apply_schema_policy(incoming, current, policy), "taken"
+                except inc.SchemaChange:
+                    taken, outcome = current.limit(0), "refused"
+                parts.append(taken.agg(
+                    F.count(F.lit(1)).alias("rows"), F.sum("price").cast("decimal(38,2)").alias("value")).select(
+                        F.lit(policy).alias("policy"), F.lit(change).alias("change"),
+                        F.lit(outcome).alias("outcome"),
+                        F.lit(taken.schema[column].dataType.simpleString()).alias("column_type"), "rows", "value"))
+        return reduce(DataFrame.unionByName, parts)
+
+    def ex_reconcile_keys(spark, sf_dir):
+        """What each order's lines add up to, against a copy of the order fact
+        that has lost some orders and has other values in some: the keys by name,
+        found by descending into the buckets that differ."""
+        t = layers(spark, sf_dir)
+        n = F.col("order_id").cast("bigint")
+        silver = (t["stg_order_items"].groupBy("order_id").agg(
+            F.count(F.lit(1)).alias("items"), F.sum("price").cast("decimal(38,2)").alias("value")))
+        gold = t["fact_orders"].where("item_count > 0").where(n % 503 != 0).select(
+            "order_id", F.col("item_count").alias("items"),
+            (F.col("item_value") + F.when(n % 499 == 1, 1).otherwise(0)).cast("decimal(38,2)").alias("value"))
+        silver = silver.join(t["stg_orders"].select("order_id"), "order_id", "left_semi")
+        return inc.differences(silver, gold, ["order_id"], ["items", "value"])
 
     def ex_upsert(spark, sf_dir):
         """Orders after a second load: newest row per order wins."""
@@ -375,7 +513,7 @@ def extension_queries() -> dict[str, Query]:
         c = contract("raw_sellers")
         lines = adapters.raw_sellers(spark, sf_dir).select(F.explode(F.array(
             F.concat_ws(",", *c.columns), F.concat_ws(",", *c.columns[:-1]))).alias("line"))
-        _land_lines(lines, f"{root}/{c.file}", c)
+        land_lines(lines, f"{root}/{c.file}", c)
         good, bad = inc.read_with_quarantine(spark, f"{root}/{c.file}", c, f"{root}/parsed")
         return good.select(F.lit("good").alias("kind"), F.col("seller_id").alias("seller_id"),
                            F.col("seller_state").alias("state"), F.lit(None).cast("string").alias("text")
@@ -386,8 +524,6 @@ def extension_queries() -> dict[str, Query]:
     def ex_business_freshness(spark, sf_dir):
         """Freshness of the business event time (newest purchase), apart from
         the load time, at three clocks after the load."""
-        from functools import reduce
-
         from strata.operators.quality import freshness
         orders = layers(spark, sf_dir)["stg_orders"]
         return reduce(lambda x, y: x.unionByName(y), [
@@ -401,7 +537,7 @@ def extension_queries() -> dict[str, Query]:
         from strata.sources.catalog import Catalog
         root = scratch_path(spark, "replay")
         c = contract("raw_orders")
-        ci.landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, f"{root}/landing", [c])
+        landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, f"{root}/landing", [c])
         catalog = Catalog(spark, f"{root}/warehouse")
         prints = []
         for run in (1, 2):
@@ -423,9 +559,9 @@ def extension_queries() -> dict[str, Query]:
         root = scratch_path(spark, "incremental")
         c = contract("raw_orders")
         catalog = Catalog(spark, f"{root}/warehouse")
-        ci.landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, root, [c])
+        landing_from_frames({c.name: adapters.raw_orders(spark, sf_dir)}, root, [c])
         ci.ingest_increment(spark, catalog, root, [c], load_id="delivery-1")
-        ci.landing_from_frames({c.name: adapters.raw_orders_changes(spark, sf_dir)}, root, [c],
+        landing_from_frames({c.name: adapters.raw_orders_changes(spark, sf_dir)}, root, [c],
                                mode="append")
         ci.ingest_increment(spark, catalog, root, [c], load_id="delivery-2")
         return stg_orders(catalog.read("bronze", c.name)).drop("_loaded_at")
@@ -433,7 +569,8 @@ def extension_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (ex_record_id, ex_upsert, ex_lookback, ex_reconcile,
                                     ex_stream_dedup, ex_quarantine, ex_business_freshness,
                                     ex_replay, ex_incremental_load, ex_reconcile_kpis,
-                                    ex_schema_policy)}
+                                    ex_schema_policy, ex_batch_id, ex_ledger, ex_quarantine_bytes,
+                                    ex_backfill, ex_backfill_mart, ex_schema_types, ex_reconcile_keys)}
 
 
 def extension_oracles() -> dict[str, str]:
@@ -443,7 +580,10 @@ def extension_oracles() -> dict[str, str]:
             "ex_stream_dedup": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE,
             "ex_business_freshness": o.business_freshness_sql(_clocks()), "ex_replay": o.EX_REPLAY,
             "ex_incremental_load": o.EX_INCREMENTAL, "ex_reconcile_kpis": o.EX_RECONCILE_KPIS,
-            "ex_schema_policy": o.EX_SCHEMA_POLICY}
+            "ex_schema_policy": o.EX_SCHEMA_POLICY, "ex_batch_id": o.EX_BATCH_ID,
+            "ex_ledger": o.EX_LEDGER, "ex_quarantine_bytes": o.EX_QUARANTINE_BYTES,
+            "ex_backfill": o.rebuilt("fact_orders"), "ex_backfill_mart": o.rebuilt("mart_daily_sales"),
+            "ex_schema_types": o.EX_SCHEMA_TYPES, "ex_reconcile_keys": o.EX_RECONCILE_KEYS}
 
 
 # ---------------------------------------------------------------- Bronze ingest
@@ -459,7 +599,7 @@ def _ingest_roundtrip(spark: SparkSession, sf_dir: str):
     root = scratch_path(spark, "ingest")
     landing = f"{root}/landing"
     bronze = Bronze(spark, sf_dir)
-    ci.landing_from_frames({c.name: bronze[c.name] for c in CONTRACTS}, landing)
+    landing_from_frames({c.name: bronze[c.name] for c in CONTRACTS}, landing)
     catalog = Catalog(spark, f"{root}/warehouse")
     ci.ingest(spark, catalog, landing)
     return catalog
@@ -506,12 +646,12 @@ def ingest_queries() -> dict[str, Query]:
         from strata.sources.catalog import Catalog
         root, bronze = scratch_path(spark, "history"), Bronze(spark, sf_dir)
         loaded = [c for c in CONTRACTS if c.name in HISTORY]
-        ci.landing_from_frames({c.name: bronze[c.name] for c in loaded}, f"{root}/landing", loaded,
+        landing_from_frames({c.name: bronze[c.name] for c in loaded}, f"{root}/landing", loaded,
                                files_per_dataset=2)
         catalog = Catalog(spark, f"{root}/warehouse")
         ci.ingest(spark, catalog, f"{root}/landing", loaded, load_id="load-1")
         sellers = next(c for c in loaded if c.name == "raw_sellers")
-        _land_lines(bronze["raw_sellers"].select(F.concat_ws(",", *sellers.columns[:-1])),
+        land_lines(bronze["raw_sellers"].select(F.concat_ws(",", *sellers.columns[:-1])),
                     f"{root}/landing/{sellers.file}", sellers, mode="append")
         try:
             ci.ingest(spark, catalog, f"{root}/landing", loaded, load_id="load-2")

@@ -10,10 +10,10 @@ reads it.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators import quality as q
@@ -30,6 +30,13 @@ class Check:
     values: tuple = field(default=())              # accepted_values
     name: str = ""                                 # expression checks
     severity: str = "error"                        # error stops the build; warn is reported
+    warn_above: int = 0                            # failures that are tolerated without a word
+    error_above: int = 0                           # and those from which on an error stops the build
+
+    def status(self, failures: int) -> str:
+        if self.severity == "error" and failures > self.error_above:
+            return "fail"
+        return "warn" if failures > self.warn_above else "pass"
 
     @property
     def test_name(self) -> str:
@@ -134,6 +141,29 @@ SINGULAR_FN = {"delivery_not_before_purchase": delivery_before_purchase,
                "non_negative_order_amounts": negative_amounts}
 
 
+def with_limits(checks: Iterable[Check], limits: Mapping[str, Mapping[str, object]]) -> list[Check]:
+    """The checks, those that ``limits`` names with another severity, warn_above
+    or error_above."""
+    known = list(checks)
+    unknown = set(limits) - {c.test_name for c in CHECKS}
+    if unknown:
+        raise KeyError(f"no such tests: {sorted(unknown)}")
+    return [replace(c, **limits.get(c.test_name, {})) for c in known]
+
+
+def trend(results: DataFrame) -> DataFrame:
+    """Stored results, each with the failures of the test's run before, the
+    change, and since how many runs the test has not passed."""
+    by_run = Window.partitionBy("layer", "table_name", "test_name").orderBy("tested_at", "run_id")
+    passed = F.count_if(F.col("status") == "pass").over(by_run)
+    return (results.withColumns({"failures_before": F.lag("failures").over(by_run), "passed": passed})
+            .withColumn("runs_not_passed", F.count_if(F.col("status") != "pass").over(
+                Window.partitionBy("layer", "table_name", "test_name", "passed").orderBy("tested_at", "run_id")))
+            .select("run_id", "layer", "table_name", "test_name", "severity", "status", "failures",
+                    "failures_before", (F.col("failures") - F.col("failures_before")).alias("change"),
+                    "runs_not_passed", "tested_at"))
+
+
 def violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     df = tables[check.table]
     if check.kind == "not_null":

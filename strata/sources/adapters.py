@@ -14,12 +14,13 @@ business column, exactly as the CSV ingest does.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.clean import null_tokens
-from strata.sources.contracts import CONTRACTS, LOADED_AT, SOURCE_ROW, contract
+from strata.sources.contracts import CONTRACTS, LOADED_AT, SOURCE_ROW, Contract, contract
 
 LOAD_TIME = dt.datetime(2024, 1, 1, 0, 0, 0)
 # Row numbers from (part, supplier): supplier keys stay below the step.
@@ -241,6 +242,23 @@ def raw_orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(SOURCE_ROW))
 
 
+def raw_orders_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that corrects the orders bought in March 1998: all are delivered,
+    some were bought 40 days later, and some lose their purchase time."""
+    bought = F.to_date("o_orderdate")
+    o = (_read(spark, sf_dir, "orders").where(bought.between("1998-03-01", "1998-03-31"))
+         .select(F.concat(F.lit(" "), _s("o_orderkey")).alias("order_id"), "o_orderkey", "o_orderdate"))
+    again = (F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("string"))
+              .when(F.col("o_orderkey") % 3 == 0, F.concat(_day("o_orderdate", 40), F.lit(" 00:00:00")))
+              .otherwise(F.col("order_purchase_timestamp")))
+    return raw_orders(spark, sf_dir).join(o, "order_id").select(
+        "order_id", "customer_id", F.lit("DELIVERED").alias("order_status"),
+        again.alias("order_purchase_timestamp"), "order_approved_at", "order_delivered_carrier_date",
+        F.concat(_day("o_orderdate", 12), F.lit(" 18:00:00")).alias("order_delivered_customer_date"),
+        "order_estimated_delivery_date",
+        F.lit(dt.datetime(2024, 1, 3)).cast("timestamp").alias(LOADED_AT), F.col(SOURCE_ROW))
+
+
 BUILDERS = {
     "raw_customers": raw_customers,
     "raw_geolocation": raw_geolocation,
@@ -267,3 +285,46 @@ class Bronze:
 
     def __getitem__(self, table: str) -> DataFrame:
         return bronze(self.spark, self.sf_dir, table)
+
+
+# Landing files -----------------------------------------------------------------
+def landing_from_frames(frames: Mapping[str, DataFrame], landing_dir: str,
+                        contracts: Iterable[Contract] = CONTRACTS,
+                        files_per_dataset: int | None = None,
+                        mode: str = "errorifexists") -> None:
+    """Write all-string frames as landing CSVs (a directory of part files per
+    dataset, header in each), in the exact format ``read_strict`` expects."""
+    for c in contracts:
+        df = frames[c.name].select(*c.columns)
+        if files_per_dataset:
+            df = df.repartition(files_per_dataset)
+        (df.write.mode(mode)
+           .option("header", True).option("quote", '"').option("escape", '"')
+           .option("quoteAll", False).option("nullValue", "")
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+           .option("encoding", "UTF-8")
+           .csv(f"{landing_dir.rstrip('/')}/{c.file}"))
+
+
+def land_lines(lines: DataFrame, path: str, c: Contract, mode: str = "errorifexists") -> None:
+    """Lines of text as landing files of a contract, its header in each."""
+    (lines.toDF(",".join(c.columns)).write.mode(mode).option("header", True)
+     .option("sep", "\u0001").option("quote", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def land_files(lines: DataFrame, path: str, c: Contract) -> None:
+    """``lines`` (part, row, value) as landing files of a contract, one for each
+    part, in the folder part=..: its header, then the values by row, bytes as
+    they are (so none may need quotes)."""
+    header = lines.select("part").distinct().select(
+        "part", F.lit(-1).cast("bigint").alias("row"), F.lit(",".join(c.columns)).alias("value"))
+    (lines.select("part", F.col("row").cast("bigint").alias("row"), "value").unionByName(header)
+     .repartition("part").sortWithinPartitions("part", "row")
+     .select("part", "value").write.partitionBy("part").text(path))
+
+
+def land_rows(rows: DataFrame, path: str, c: Contract, part: Column) -> None:
+    """Raw rows as landing files, one for each ``part``, by their row numbers."""
+    value = F.concat_ws(",", *[F.coalesce(x, F.lit("")) for x in c.columns])
+    land_files(rows.select(part.alias("part"), F.col(SOURCE_ROW).alias("row"), value.alias("value")), path, c)

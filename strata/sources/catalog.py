@@ -70,6 +70,8 @@ BATCH_LEDGER_SCHEMA = StructType([
     StructField("source_file", StringType(), False),
     StructField("load_id", StringType(), False),
     StructField("recorded_at", TimestampType(), False),
+    StructField("bytes", LongType(), True),
+    StructField("modified_at", TimestampType(), True),
 ])
 
 FILE_AUDIT_SCHEMA = StructType([
@@ -114,6 +116,11 @@ class ManifestError(RuntimeError):
     """The manifest is being written by another publisher, or contradicts itself."""
 
 
+def partition_name(column: str, value: object) -> str:
+    """The folder that Spark's partitioned writer makes for a plain value."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def now_utc() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -243,13 +250,15 @@ class Catalog:
                 descriptions: dict[str, str] | None = None,
                 append: tuple[str, ...] = (),
                 replace_partitions: dict[str, str] | None = None,
+                emptied: dict[str, list[str]] | None = None,
                 wait_seconds: float = 300.0, stale_seconds: float = 3600.0) -> int:
         """Make ``{table: (version, rows)}`` current together, atomically.
 
         Tables in ``append`` keep all their segments beside the new version.
         ``replace_partitions`` names, per table, the column its versions are
         partitioned by: the new version's partitions replace those of the same
-        value, the others stay.  Nothing is copied."""
+        value, the others stay, but for those that ``emptied`` names and the new
+        version does not have.  Nothing is copied."""
         pub = publication_id or str(uuid.uuid4())
         seq = self._claim(pub, wait_seconds, stale_seconds)
         at = now_utc()
@@ -262,8 +271,11 @@ class Catalog:
             if t in split:
                 new = {f"{path}/{e}": None for e in fs.list_dir(self.spark, path)
                        if e.startswith(f"{split[t]}=")}
-                names = {p.rsplit("/", 1)[-1] for p in new}
-                new |= {p: c for p, c in old.items() if p.rsplit("/", 1)[-1] not in names}
+                names = {p.rsplit("/", 1)[-1] for p in new} | set((emptied or {}).get(t, ()))
+                parts = {f"{p}/{e}": None for p in old if p.rsplit("/", 1)[-1].startswith("v=")
+                         for e in fs.list_dir(self.spark, p) if e.startswith(f"{split[t]}=")}
+                parts |= {p: c for p, c in old.items() if not p.rsplit("/", 1)[-1].startswith("v=")}
+                new |= {p: c for p, c in parts.items() if p.rsplit("/", 1)[-1] not in names}
             else:
                 new = {path: None if n is None else int(n)} | (old if t in append else {})
             rows += [(layer, seq, pub, t, v, p, c, at, docs.get(t)) for p, c in new.items()]
@@ -310,10 +322,8 @@ class Catalog:
     def batch_ledger_dir(self) -> str:
         return f"{self.root}/_audit/batches"
 
-    def append_batches(self, rows: list[tuple]) -> None:
-        if rows:
-            (self.spark.createDataFrame(rows, BATCH_LEDGER_SCHEMA)
-                 .coalesce(1).write.mode("append").parquet(self.batch_ledger_dir))
+    def append_batches(self, rows: DataFrame) -> None:
+        rows.select(*BATCH_LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(self.batch_ledger_dir)
 
     def batch_ledger(self) -> DataFrame:
         """Content hashes of the files of *published* loads."""
@@ -323,6 +333,14 @@ class Catalog:
         published = self.manifest().select(F.col("version").alias("load_id")).distinct()
         return ledger.join(published, "load_id", "left_semi")
 
+    # ------------------------------------------------------------ quarantine
+    def quarantine_path(self, table: str, load_id: str) -> str:
+        return f"{self.root}/_quarantine/{table}/load_id={load_id}"
+
+    def quarantine(self, table: str) -> DataFrame:
+        """What loads have kept out of a table, published or not, with its bytes."""
+        return self.spark.read.parquet(f"{self.root}/_quarantine/{table}")
+
     # ------------------------------------------------------------ audit
     def append_file_audit(self, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.file_audit_dir)

@@ -33,14 +33,19 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
-    """A file itself, or the visible files of a directory (no ``_`` / ``.``)."""
+    """A file itself, or the visible files below a directory (no ``_`` / ``.``)."""
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
         return []
-    if fs.getFileStatus(p).isFile():
-        return [str(p)]
-    return sorted(str(s.getPath()) for s in fs.listStatus(p)
-                  if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
+    todo, found = [fs.getFileStatus(p)], []
+    while todo:
+        status = todo.pop()
+        if status.isFile():
+            found.append(str(status.getPath()))
+        else:
+            todo += [s for s in fs.listStatus(status.getPath())
+                     if not s.getPath().getName().startswith(("_", "."))]
+    return sorted(found)
 
 
 def create_new(spark: SparkSession, path: str, text: str) -> bool:

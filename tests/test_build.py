@@ -5,12 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from strata.plans import suite
 from strata.plans.build import GateFailed, build, publish_frames
 from strata.sources.adapters import Bronze
 from strata.sources.catalog import Catalog
 from strata.sources.contracts import CONTRACTS
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 from strata.sources.adapters import LOAD_TIME as LOADED
 
@@ -21,18 +22,53 @@ def _bronze(spark, catalog):
     return catalog.reader("bronze")
 
 
-def test_gate_stops_before_publishing(spark, tmp_root):
+WARN = {"severity": "warn"}
+# What the test data's dirt fails, layer by layer.
+DIRTY = {"bronze": ["unique:raw_customers.customer_id"],
+         "silver": ["unique:stg_customers.customer_id", "unique:stg_order_items.order_id+order_item_id",
+                    "accepted_values:stg_order_reviews.review_score"],
+         "gold": ["unique:dim_customer.customer_key", "unique:fact_order_items.order_id+order_item_id",
+                  "expression:fact_orders.delivery_not_before_purchase",
+                  "expression:fact_orders.non_negative_order_amounts"]}
+
+
+@pytest.mark.parametrize("layer, published", [("bronze", {}), ("silver", {}), ("gold", {"silver": 9})])
+def test_gate_stops_before_publishing(spark, tmp_root, layer, published):
+    """The gate of each layer: the layers before it only warn."""
+    order = list(DIRTY)
+    limits = {t: WARN for x in order[:order.index(layer)] for t in DIRTY[x]}
     catalog = Catalog(spark, f"{tmp_root}/wh")
     with pytest.raises(GateFailed) as err:
         build(spark, catalog, _bronze(spark, catalog), on_failure="raise", run_id="r1",
-              check_freshness=False)
-    # The test data carries composite-key duplicates and a score outside 1..5.
-    assert "unique:stg_order_items.order_id+order_item_id" in str(err.value)
-    assert "accepted_values:stg_order_reviews.review_score" in str(err.value)
-    assert catalog.current("silver") == {} and catalog.current("gold") == {}
+              check_freshness=False, limits=limits)
+    assert f"'{layer}'" in str(err.value)
+    assert all(t in str(err.value) for t in DIRTY[layer])
+    assert {x: len(catalog.current(x)) for x in ("silver", "gold") if catalog.current(x)} == published
     results = catalog.test_results().where(F.col("run_id") == "r1")
-    assert results.where("layer = 'silver'").count() == 24
-    assert results.where("status = 'fail'").count() >= 2
+    assert results.where("status = 'fail'").count() == len(DIRTY[layer])
+    assert {r.test_name for r in results.where("status = 'warn'").collect()} == set(limits)
+    assert {r.layer for r in results.select("layer").distinct().collect()} == set(order[:order.index(layer) + 1])
+
+
+def test_limits_between_pass_warn_and_error(spark, tmp_root):
+    """4 customers arrive twice: what that means depends on the test's limits; the trend compares the runs."""
+    name = DIRTY["bronze"][0]
+    catalog = Catalog(spark, f"{tmp_root}/wh")
+    bronze = _bronze(spark, catalog)
+    for run, (limit, status) in enumerate([({}, "fail"), ({"error_above": 3}, "fail"), ({"error_above": 4}, "warn"),
+                                           ({"error_above": 9, "warn_above": 4}, "pass"), (WARN, "warn")]):
+        try:
+            build(spark, catalog, bronze, on_failure="raise", run_id=f"r{run}", check_freshness=False,
+                  limits={name: limit, **{t: WARN for x in ("silver", "gold") for t in DIRTY[x][:1]}})
+        except GateFailed:
+            pass
+        got = catalog.test_results().where((F.col("run_id") == f"r{run}") & (F.col("test_name") == name)).first()
+        assert (got.failures, got.status) == (4, status), limit
+    trend = suite.trend(catalog.test_results()).where(F.col("test_name") == name).orderBy("run_id").collect()
+    assert [(r.failures_before, r.change, r.runs_not_passed) for r in trend] == \
+        [(None, None, 1), (4, 0, 2), (4, 0, 3), (4, 0, 0), (4, 0, 1)]
+    with pytest.raises(KeyError):
+        build(spark, catalog, bronze, limits={"unique:nothing.at_all": WARN})
 
 
 def test_warn_build_publishes_everything(spark, tmp_root):

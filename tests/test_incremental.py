@@ -36,6 +36,47 @@ def test_schema_policies(spark):
     assert inc.apply_schema_policy(incoming, target, "sync_all_columns").columns == ["a", "c"]
 
 
+@pytest.mark.parametrize("a, b, wide", [
+    ("int", "bigint", "bigint"), ("bigint", "int", "bigint"), ("int", "decimal(12,2)", "decimal(12,2)"),
+    ("int", "decimal(11,2)", None), ("bigint", "double", None), ("int", "double", "double"),
+    ("float", "double", "double"), ("decimal(18,2)", "decimal(20,3)", "decimal(20,3)"),
+    ("decimal(18,2)", "decimal(18,3)", None), ("date", "timestamp_ntz", "timestamp_ntz"),
+    ("string", "int", None), ("timestamp_ntz", "string", None), ("string", "string", "string")])
+def test_wider_type(spark, a, b, wide):
+    x, y = (spark.createDataFrame([], f"c {t}").schema["c"].dataType for t in (a, b))
+    got = inc.wider(x, y)
+    assert (got and got.simpleString()) == wide == ((back := inc.wider(y, x)) and back.simpleString())
+
+
+def test_changed_types_per_policy(spark):
+    target = spark.createDataFrame([(1, 2)], "a bigint, b int")
+    narrow = spark.createDataFrame([(5, 6)], "a int, b int")
+    wide = spark.createDataFrame([(5, 6)], "a bigint, b bigint")
+    unlike = spark.createDataFrame([("5", 6)], "a string, b int")
+    for policy in ("append_new_columns", "sync_all_columns"):
+        assert inc.apply_schema_policy(narrow, target, policy).dtypes == [("a", "bigint"), ("b", "int")]
+        assert inc.apply_schema_policy(wide, target, policy).dtypes == [("a", "bigint"), ("b", "bigint")]
+        with pytest.raises(inc.SchemaChange, match="a is bigint, not string"):
+            inc.apply_schema_policy(unlike, target, policy)
+    for changed in (narrow, wide, unlike):
+        with pytest.raises(inc.SchemaChange):
+            inc.apply_schema_policy(changed, target, "fail")
+
+
+def test_differences_name_the_keys(spark):
+    rows = [(i, f"k{i % 7}", i * 2, None if i % 5 == 0 else f"v{i}") for i in range(500)] + [(None, None, 1, "n")]
+    left = spark.createDataFrame(rows, "a int, b string, x int, y string")
+    changed = [(a, b, 0 if a == 17 else x, None if a in (17, 18) else y) for a, b, x, y in rows if a != 250]
+    right = spark.createDataFrame([*changed, (900, "k", 1, "w")], left.schema).repartition(5)
+    for buckets in (1, 16, 1 << 14):
+        got = {(r.a, r.b, r.difference, r.changed, r.left_x, r.right_x) for r in
+               inc.differences(left, right, ["a", "b"], ["x", "y"], buckets).collect()}
+        assert got == {(17, "k3", "changed", "x,y", 34, 0), (18, "k4", "changed", "y", 36, 36),
+                       (250, "k5", "missing right", None, 500, None), (900, "k", "missing left", None, None, 1)}
+    assert inc.differences(left, left.repartition(3), ["a", "b"], ["x", "y"]).count() == 0
+    assert inc.differing_buckets(left, right, ["a", "b"], ["x", "y"], 1 << 14).count() == 4
+
+
 def test_reconcile_and_ledger(spark):
     l = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
     r = spark.createDataFrame([("a", 1), ("c", 5)], "k string, n int")

@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "too
 import __spark_entry__ as E  # noqa: E402
 from compare import compare  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from small_data import SF_SMALL  # noqa: E402
 
 NAMES = sorted(E.queries())
 

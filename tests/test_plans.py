@@ -6,7 +6,7 @@ import pytest
 from strata.plans.catalogue import layers
 from strata.plans.layers import GOLD, SILVER
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def plan(df) -> str:
