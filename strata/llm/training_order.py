@@ -149,9 +149,13 @@ def materialise(spark: SparkSession, docs: DataFrame, key: str = "order-0",
         total += n
     path = scratch_path(spark, "op3-shards")
     sent = spark.sparkContext.broadcast(first)
+    # Ranges of shards by number, which takes no sample of the sequences first.
+    n_shards = max(1, -(-total // shard_len))
+    ranges = min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     (own.mapInArrow(_records(ranks_path, seq_len, shard_len, end, key, total, sent),
                     "shard int, slot bigint, record binary")
-     .repartitionByRange("shard").sortWithinPartitions("shard", "slot")
+     .repartitionById(ranges, F.expr(f"cast(div(cast(shard as bigint) * {ranges}, {n_shards}) as int)"))
+     .sortWithinPartitions("shard", "slot")
      # bytes as they are; the writer adds the zeros that end a record
      .select("shard", F.col("record").substr(F.lit(1), F.octet_length("record") - TRAILER)
              .cast("string").alias("value"))
