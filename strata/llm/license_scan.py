@@ -1,17 +1,20 @@
-"""License scan: words that an occurrence must have, and bit-parallel alignment.
+"""License scan: winnowed fingerprints in an inverted index, banded alignment.
 
 An occurrence of a template is a stretch of a text that has a given part of the
-template's words in order.  It lacks at most e of them, so of any e + 1 words of
-the template it has one: the e + 1 that are rarest in a slice of the documents
-are looked up, and only where a stretch around one of them has enough words of
-the template is it aligned.  No occurrence is lost by that.  The alignment is a
-longest common subsequence whose rows are the bits of an integer.
+template's words in order.  It lacks at most e of them.  A template's words are
+winnowed, with the largest window that leaves more than e places, so an
+occurrence has a fingerprint at its place; the inverted index gives the
+templates and places of each word of a text.  Where a stretch around such a hit
+has enough words of the template, it is aligned within a band around the hit's
+diagonal.  The band is what a stretch of the allowed length with so few words
+missing can shift by, so no occurrence is lost.  The alignment is a longest
+common subsequence whose rows are the bits of an integer.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,7 +27,7 @@ from pyspark.sql import types as T
 
 from strata.llm.common import U64, mixed, slices, words
 
-GRAM, WINDOW = 3, 4
+LEAST_WORDS = 3          # of a template
 COVERAGE = 0.8           # of a template's words, to be reported
 SLACK = 4                # words that a match may shift, at least; and a quarter of the template
 STRETCH = 3              # times the template's words that an occurrence may take, at least
@@ -79,36 +82,31 @@ def _hashes(plain: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in plain), U64, len(plain))
 
 
-def _grams(h: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        n = max(0, len(h) - GRAM + 1)
-        out = np.zeros(n, U64)
-        for k in range(GRAM):
-            out = mixed(out * U64(31) + h[k:k + n])
-        return out
-
-
-def winnowed(grams: np.ndarray) -> np.ndarray:
-    """Positions of the smallest hash of every window (the last of equals)."""
-    if len(grams) <= WINDOW:
-        return np.unique(len(grams) - 1 - np.argmin(grams[::-1])) if len(grams) else np.empty(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-    return np.unique(np.arange(len(view)) + WINDOW - 1 - np.argmin(view[:, ::-1], axis=1))
+def winnowed(keys: np.ndarray, window: int) -> np.ndarray:
+    """Positions of the smallest key of every window (the last of equals)."""
+    window = max(1, min(window, len(keys)))
+    view = np.lib.stride_tricks.sliding_window_view(keys, window)
+    return np.unique(np.arange(len(view)) + window - 1 - np.argmin(view[:, ::-1], axis=1))
 
 
 class Index:
-    """The templates' words, by their place in the sorted vocabulary of all."""
+    """The templates, and for each word (by its place in the sorted vocabulary
+    of all) the templates and places where it is a fingerprint."""
 
     def __init__(self, templates: list[tuple[str, str]], coverage: float = COVERAGE):
         self.names, hashed = [], []
         for name, text in templates:
             plain = [w for w in _plain(_WORD.findall((text or "").encode())) if w]
-            if len(plain) < GRAM:
-                raise ValueError(f"template {name} has fewer than {GRAM} words")
+            if len(plain) < LEAST_WORDS:
+                raise ValueError(f"template {name} has fewer than {LEAST_WORDS} words")
             hashed.append(_hashes(plain))
             self.names.append(name)
         self.vocabulary = np.unique(np.concatenate(hashed)) if hashed else np.empty(0, U64)
         self.templates = [Template(np.searchsorted(self.vocabulary, h), coverage) for h in hashed]
+        posted = sorted((int(w), t) for t, own in enumerate(self.templates) for w in own.prints)
+        word = np.array([w for w, _ in posted], np.int64)
+        self.posted = np.array([t for _, t in posted], np.int64)
+        self.first = np.searchsorted(word, np.arange(len(self.vocabulary) + 1))
 
     def places(self, h: np.ndarray) -> np.ndarray:
         """The place in the vocabulary of each hash, -1 for others."""
@@ -117,6 +115,15 @@ class Index:
         at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == h, at, -1)
 
+    def hits(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words, by their places in the vocabulary, each that is a
+        fingerprint of a template: template and number of the word, by template."""
+        count = np.diff(self.first)[v]
+        number = np.repeat(np.arange(len(v)), count)
+        of = np.arange(len(number)) - np.repeat(np.cumsum(count) - count, count) + self.first[v[number]]
+        order = np.argsort(self.posted[of], kind="stable")
+        return self.posted[of][order], number[order]
+
 
 class Template:
     def __init__(self, words: np.ndarray, coverage: float):
@@ -125,37 +132,54 @@ class Template:
         n = len(words)
         self.need = next(k for k in range(n + 2) if k > 0 and (k >= coverage * n or k > n))
         self.width = max(n + 2 * (SLACK + n // 4), STRETCH * n)
+        # of two words of an occurrence, how much farther apart or nearer they may be than in the template
+        self.band = self.width - self.need
         self.forward: dict[int, int] = dict.fromkeys(self.own.tolist(), 0)
         self.backward = dict(self.forward)
         for i, w in enumerate(words.tolist()):
             self.forward[w] |= 1 << i
             self.backward[w] |= 1 << n - 1 - i
-
-    def rarest(self, counts: np.ndarray) -> np.ndarray:
-        """Words that make up one more place of the template than may be missing,
-        as rare by ``counts`` as can be; those without any count are left out."""
-        n = counts[self.own]
-        order = np.argsort(n, kind="stable")
-        spare = len(self.words) - self.need
-        chosen = order[:int(np.searchsorted(np.cumsum(self.times[order]), spare, side="right")) + 1]
-        return self.own[chosen[n[chosen] > 0]]
+        keys = mixed(words.astype(U64) + U64(1))
+        for window in range(n, 0, -1):
+            places = winnowed(keys, window)
+            if len(places) > n - self.need:      # an occurrence cannot lack them all
+                break
+        self.prints: dict[int, list[int]] = {}
+        for i in places.tolist():
+            self.prints.setdefault(int(words[i]), []).append(i)
 
     def possible(self, found: list[int], need: int) -> bool:
         """Whether ``found`` has as many words of the template, in any order."""
         n = Counter(found)
         return sum(min(n[w], int(k)) for w, k in zip(self.own.tolist(), self.times, strict=True)) >= need
 
-    def first(self, place: list[int], found: list[int], lo: int, hi: int,
-              need: int) -> tuple[int, int] | None:
+    def bands(self, place: list[int], found: list[int]) -> list[tuple[int, int]]:
+        """For each of the words ``found`` at ``place``, the places of the
+        template in the bands around the diagonals of the hits near it, as bits
+        from the first and from the last."""
+        hits = [(j, j - i) for j, w in zip(place, found, strict=True) for i in self.prints.get(w, ())]
+        at, n = [j for j, _ in hits], len(self.words)
+        out = []
+        for j in place:
+            near = [s for _, s in hits[bisect_right(at, j - self.width):bisect_left(at, j + self.width)]]
+            lo, hi = (max(0, j - max(near) - self.band), min(n - 1, j - min(near) + self.band)) \
+                if near else (0, -1)
+            bits = (1 << max(0, hi - lo + 1)) - 1
+            out.append((bits << lo, bits << max(0, n - 1 - hi)))
+        return out
+
+    def aligned(self, place: list[int], found: list[int], bands: list[tuple[int, int]], lo: int, hi: int,
+                need: int) -> tuple[int, int] | None:
         """Of the words ``found`` at ``place`` from ``lo`` to before ``hi``, the
-        stretch that ends first with ``need`` words of the template in order, and
-        is no longer than the width; of those the one that begins last."""
+        stretch that ends first with ``need`` words of the template in order,
+        within their bands, and is no longer than the width; of those the one
+        that begins last."""
         n = len(self.words)
         full = (1 << n) - 1
         while hi - lo >= need:
             rest, end = full, -1
             for k in range(lo, hi):
-                hit = rest & self.forward[found[k]]
+                hit = rest & self.forward[found[k]] & bands[k][0]
                 rest = (rest + hit | rest - hit) & full
                 if n - rest.bit_count() >= need:
                     end = k
@@ -164,7 +188,7 @@ class Template:
                 return None
             rest = full
             for k in range(end, lo - 1, -1):
-                hit = rest & self.backward[found[k]]
+                hit = rest & self.backward[found[k]] & bands[k][1]
                 rest = (rest + hit | rest - hit) & full
                 if n - rest.bit_count() >= need:
                     if place[end] - place[k] < self.width:
@@ -178,8 +202,9 @@ class Template:
         """Matched words, first and last place of the occurrences among the words
         ``found`` of the template at ``place``: as many as there are without
         overlap, each with as many words as fit between its neighbours."""
+        bands = self.bands(place, found)
         shortest, at = [], 0
-        while (one := self.first(place, found, at, len(found), self.need)) is not None:
+        while (one := self.aligned(place, found, bands, at, len(found), self.need)) is not None:
             shortest.append(one)
             at = one[1] + 1
         out, lo = [], 0
@@ -190,7 +215,8 @@ class Template:
             lo = bisect_left(place, place[best[0]] - self.width + 1, lo)
             hi = bisect_left(place, place[best[1]] + self.width, lo, hi)
             for more in range(len(self.words), self.need, -1):
-                if self.possible(found[lo:hi], more) and (one := self.first(place, found, lo, hi, more)):
+                if self.possible(found[lo:hi], more) \
+                        and (one := self.aligned(place, found, bands, lo, hi, more)):
                     best, n = one, more
                     break
             out.append((n, place[best[0]], place[best[1]]))
@@ -198,54 +224,24 @@ class Template:
         return out
 
 
-def aligned(template: np.ndarray, text: np.ndarray, band: int, shift: int) -> tuple[int, int, int]:
-    """Words of ``template`` matched in order in ``text`` on diagonals within
-    ``band`` of ``shift`` (text place less template place), and the first and
-    last matched place in ``text``.  Of the alignments with most matches the
-    shortest in the text."""
-    none = (0, 0, -1)                      # matches, minus places used, first place
-    before: dict[int, tuple[int, int, int]] = {}
-    best, span = none, (0, -1)
-    for i in range(len(template)):
-        now: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i + shift - band), min(len(text), i + shift + band + 1)):
-            take = max(before.get(j, none), now.get(j - 1, none))
-            if template[i] == text[j]:
-                prior = before.get(j - 1, none)
-                first = prior[2] if prior[0] else j
-                hit = (prior[0] + 1, first - j, first)
-                if hit > take:
-                    take = hit
-                if hit[:2] > best[:2]:
-                    best, span = hit, (first, j)
-            now[j] = take
-        # a word of the text just left of the band belongs to the row above
-        left = i + shift - band - 1
-        if left in before:
-            now[left] = before[left]
-        before = now
-    return best[0], span[0], span[1]
-
-
 def _matches(index: Index, v: np.ndarray, at: np.ndarray) -> dict[int, list]:
     """Per document with any, (template, coverage, matched words, first and last
     word) of its occurrences.  ``v`` has the places in the vocabulary of the
     words of all documents, ``at`` the first word of each document and the end."""
     known = np.flatnonzero(v >= 0)
-    known = known[np.argsort(v[known], kind="stable")]
+    by_word = known[np.argsort(v[known], kind="stable")]
     counts = np.bincount(v[known], minlength=len(index.vocabulary))
     begin = np.concatenate([[0], np.cumsum(counts)])
 
-    def occur(some: np.ndarray) -> np.ndarray:
-        return np.sort(np.concatenate([known[begin[w]:begin[w + 1]] for w in some]))
     out: dict[int, list] = {}
+    of, hits = index.hits(v[known])
+    hits = known[hits]
+    cut = np.searchsorted(of, np.arange(len(index.templates) + 1))
     for t, template in enumerate(index.templates):
-        if np.minimum(counts[template.own], template.times).sum() < template.need:
-            continue
-        rare = template.rarest(counts)
-        if not len(rare):
+        hit = hits[cut[t]:cut[t + 1]]
+        if not len(hit) or np.minimum(counts[template.own], template.times).sum() < template.need:
             continue
-        hit, own = occur(rare), occur(template.own)
+        own = np.sort(np.concatenate([by_word[begin[w]:begin[w + 1]] for w in template.own]))
         doc = np.searchsorted(at, hit, side="right") - 1
         lo = np.searchsorted(own, np.maximum(hit - template.width + 1, at[doc]))
         hi = np.searchsorted(own, np.minimum(hit + template.width, at[doc + 1]))

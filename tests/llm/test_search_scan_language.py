@@ -134,10 +134,20 @@ def test_alignment_equals_plain_dynamic_programming():
     for _ in range(200):
         a = [rng.randint(0, 5) for _ in range(rng.randint(1, 12))]
         b = [rng.randint(0, 5) for _ in range(rng.randint(1, 14))]
-        n, first, last = ls.aligned(np.array(a), np.array(b), 40, 0)
-        assert n == plain(a, b)
-        if n:
-            assert plain(a, b[first:last + 1]) == n
+        template = ls.Template(np.array(a), 0.5)
+        place = [j for j, w in enumerate(b) if w in a]
+        own, whole = [b[j] for j in place], [(-1, -1)] * len(place)
+        most = max(plain(a, b[i:i + template.width]) for i in range(len(b)))
+        if not most:
+            continue
+        # with all places in the band, and within the bands around the fingerprints
+        for bands in (whole, template.bands(place, own)):
+            best = [n for n in range(1, len(a) + 1)
+                    if template.aligned(place, own, bands, 0, len(own), n) is not None]
+            if bands is whole or most >= template.need:
+                assert max(best, default=0) == most
+                first, last = template.aligned(place, own, bands, 0, len(own), most)
+                assert plain(a, b[place[first]:place[last] + 1]) == most
 
 
 def test_own_templates(spark, docs_of):
@@ -145,12 +155,25 @@ def test_own_templates(spark, docs_of):
     assert found(spark, docs_of, [(1, "x alpha beta gamma delta y")], templates=mine)[1] == [("T", 1.0, 2, 24)]
 
 
-def test_winnowing_keeps_a_hash_of_every_window():
-    grams = np.random.default_rng(1).integers(0, 50, 400).astype(np.uint64)
-    kept = set(ls.winnowed(grams).tolist())
-    for i in range(len(grams) - ls.WINDOW + 1):
-        window = range(i, i + ls.WINDOW)
-        assert any(j in kept and grams[j] == grams[i:i + ls.WINDOW].min() for j in window)
+def test_winnowing_keeps_a_key_of_every_window():
+    rng = np.random.default_rng(1)
+    for window in (1, 2, 5, 40, 1000):
+        keys = rng.integers(0, 50, 400).astype(np.uint64)
+        kept = set(ls.winnowed(keys, window).tolist())
+        w = min(window, len(keys))
+        for i in range(len(keys) - w + 1):
+            assert any(j in kept and keys[j] == keys[i:i + w].min() for j in range(i, i + w))
+
+
+def test_more_fingerprints_than_words_that_may_be_missing():
+    for coverage in (0.5, 0.8, 1.0):
+        index = ls.Index(ls.TEMPLATES, coverage)
+        for t, template in enumerate(index.templates):
+            places = [i for own in template.prints.values() for i in own]
+            assert len(places) > len(template.words) - template.need
+            of, number = index.hits(template.words)
+            assert sorted(number[of == t].tolist()) == [
+                i for i, w in enumerate(template.words.tolist()) if w in template.prints]
 
 
 def test_every_variant_at_the_coverage_is_found(spark, docs_of):
@@ -262,6 +285,18 @@ def test_no_labels_and_no_rows(spark, docs_of):
     docs = docs_of([*labelled(), (900, "12", "en")])
     kept = lid.spoken(spark, docs)
     assert kept.columns == docs.columns and kept.count() == 150
+    assert {(r._language, r.language) for r in kept.collect()} == {("none", 2)}
+
+
+def test_a_text_that_fills_a_language_is_learned_once(spark, docs_of):
+    """Nine in ten English rows are copies of one text: the model is that of the distinct texts."""
+    rng = random.Random(12)
+    rows = [(i, sentences(rng, text, 30), lang) for i, (lang, text) in
+            enumerate([("en", EN), ("de", DE), ("fr", FR)] * 40)]
+    copies = [(1000 + i, rows[0][1], "en") for i in range(360)]
+    one, many = (lid.fit(spark, docs_of(r), sample_docs=30) for r in (rows, rows + copies))
+    assert one.languages == many.languages == ["de", "en", "fr"]
+    assert (one.logp == many.logp).all()
 
 
 def test_estimation_follows_the_definition():
