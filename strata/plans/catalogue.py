@@ -103,6 +103,18 @@ def quality_queries() -> dict[str, Query]:
                  for c in s.select(kind="unique") if _composite(c)]
         return reduce(lambda x, y: x.unionByName(y), parts)
 
+    def dq_unique_key_string(spark, sf_dir):
+        """The composite unique tests as they are declared: on the string of the
+        key's parts (null if a part is)."""
+        from strata.functions.clean import key_concat
+        t = layers(spark, sf_dir)
+        parts = [t[c.table].select(key_concat(*c.columns).alias("key_string"))
+                 .where(F.col("key_string").isNotNull()).groupBy("key_string")
+                 .agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
+                 .select(F.lit(c.table).alias("table_name"), "key_string", "n_records")
+                 for c in s.select(kind="unique") if _composite(c)]
+        return reduce(lambda x, y: x.unionByName(y), parts)
+
     def dq_accepted_values(spark, sf_dir):
         c = s.select(kind="accepted_values")[0]
         return s.violations(c, layers(spark, sf_dir)).select(
@@ -140,7 +152,7 @@ def quality_queries() -> dict[str, Query]:
 
     return {f.__name__: f for f in (
         dq_parse_failures, dq_suite, dq_not_null, dq_relationships, dq_unique, dq_unique_composite,
-        dq_accepted_values, dq_delivery_before_purchase, dq_negative_amounts, dq_freshness)}
+        dq_unique_key_string, dq_accepted_values, dq_delivery_before_purchase, dq_negative_amounts, dq_freshness)}
 
 
 def analytic_oracles() -> dict[str, str]:
@@ -160,6 +172,7 @@ def quality_oracles() -> dict[str, str]:
         "dq_relationships": o.suite_sql(s.select(kind="relationships")),
         "dq_unique": o.unique_values_sql(singles),
         "dq_unique_composite": o.unique_pairs_sql(pairs),
+        "dq_unique_key_string": o.unique_strings_sql(pairs),
         "dq_accepted_values": o.accepted_values_sql(s.select(kind="accepted_values")[0]),
         "dq_delivery_before_purchase": o.DQ_DELIVERY,
         "dq_negative_amounts": o.DQ_NEGATIVE,
@@ -433,6 +446,15 @@ def extension_queries() -> dict[str, Query]:
         incoming = stg_orders(adapters.raw_orders_changes(spark, sf_dir))
         return inc.upsert(current, incoming, ["order_id"], ["_loaded_at"])
 
+    def ex_upsert_buckets(spark, sf_dir):
+        """Orders in a table keyed by buckets, after a load that corrects a
+        month's orders: only the buckets these fall into are read and written."""
+        from strata.plans.keyed import BUCKET, upsert_into
+        catalog = _scratch_catalog(spark, "keyed")
+        for load in (adapters.raw_orders(spark, sf_dir), adapters.raw_orders_corrections(spark, sf_dir)):
+            upsert_into(catalog, "silver", "orders", stg_orders(load), ["order_id"], ["_loaded_at"], buckets=128)
+        return catalog.read("silver", "orders").drop(BUCKET)
+
     def ex_lookback(spark, sf_dir):
         """Incremental slice of events: already loaded up to 2024-01-15, take
         source rows from the loaded maximum minus 24 hours."""
@@ -570,7 +592,8 @@ def extension_queries() -> dict[str, Query]:
                                     ex_stream_dedup, ex_quarantine, ex_business_freshness,
                                     ex_replay, ex_incremental_load, ex_reconcile_kpis,
                                     ex_schema_policy, ex_batch_id, ex_ledger, ex_quarantine_bytes,
-                                    ex_backfill, ex_backfill_mart, ex_schema_types, ex_reconcile_keys)}
+                                    ex_backfill, ex_backfill_mart, ex_schema_types, ex_reconcile_keys,
+                                    ex_upsert_buckets)}
 
 
 def extension_oracles() -> dict[str, str]:
@@ -583,7 +606,7 @@ def extension_oracles() -> dict[str, str]:
             "ex_schema_policy": o.EX_SCHEMA_POLICY, "ex_batch_id": o.EX_BATCH_ID,
             "ex_ledger": o.EX_LEDGER, "ex_quarantine_bytes": o.EX_QUARANTINE_BYTES,
             "ex_backfill": o.rebuilt("fact_orders"), "ex_backfill_mart": o.rebuilt("mart_daily_sales"),
-            "ex_schema_types": o.EX_SCHEMA_TYPES, "ex_reconcile_keys": o.EX_RECONCILE_KEYS}
+            "ex_upsert_buckets": o.rebuilt("stg_orders"), "ex_schema_types": o.EX_SCHEMA_TYPES, "ex_reconcile_keys": o.EX_RECONCILE_KEYS}
 
 
 # ---------------------------------------------------------------- Bronze ingest

@@ -14,9 +14,9 @@ none (on HDFS/POSIX a rename; on object stores use a committer with atomic
 single-file commit).  Readers take, per table, the rows of the highest ``seq``.
 A failure before that write leaves the previous versions current.
 
-Publishers take turns: the next number is claimed by creating its claim file,
-which fails if another publisher has it; that one's publication is then waited
-for, and what a new state keeps of the old one is read after the claim.
+A warehouse has one writer at a time: the load, build, backfill or stream that
+publishes.  Two publications with the same number, which only two writers can
+make, are reported by every reader.
 
 A segment of a table is a version directory, or one partition directory of a
 version: a batch that touches a few partitions publishes those anew and keeps
@@ -29,7 +29,6 @@ manifest rows (one per table and publication).
 from __future__ import annotations
 
 import datetime as dt
-import time
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -113,7 +112,7 @@ class Published:
 
 
 class ManifestError(RuntimeError):
-    """The manifest is being written by another publisher, or contradicts itself."""
+    """The manifest contradicts itself: two writers have published at once."""
 
 
 def partition_name(column: str, value: object) -> str:
@@ -225,33 +224,12 @@ class Catalog:
         row = self.manifest().agg(F.max("seq").alias("s")).collect()[0]
         return (row["s"] or 0) + 1
 
-    def _claim(self, publication_id: str, wait_seconds: float, stale_seconds: float) -> int:
-        """The next number, claimed.  A claim that another publisher holds is
-        waited for; one left behind by a dead publisher is taken over."""
-        until = time.monotonic() + wait_seconds
-        while True:
-            seq = self.next_seq()
-            path = f"{self.root}/_claims/seq={seq}"
-            if fs.create_new(self.spark, path, publication_id):
-                if self.next_seq() == seq:
-                    return seq
-                fs.delete(self.spark, path)  # published meanwhile
-                continue
-            age = fs.age_seconds(self.spark, path)
-            if age is not None and age > stale_seconds:
-                fs.delete(self.spark, path)
-            elif time.monotonic() > until:
-                raise ManifestError(f"publication {seq} is being written by another publisher")
-            else:
-                time.sleep(0.2)
-
     def publish(self, layer: str, tables: dict[str, tuple[str, int | None]],
                 publication_id: str | None = None,
                 descriptions: dict[str, str] | None = None,
                 append: tuple[str, ...] = (),
                 replace_partitions: dict[str, str] | None = None,
-                emptied: dict[str, list[str]] | None = None,
-                wait_seconds: float = 300.0, stale_seconds: float = 3600.0) -> int:
+                emptied: dict[str, list[str]] | None = None) -> int:
         """Make ``{table: (version, rows)}`` current together, atomically.
 
         Tables in ``append`` keep all their segments beside the new version.
@@ -260,7 +238,7 @@ class Catalog:
         value, the others stay, but for those that ``emptied`` names and the new
         version does not have.  Nothing is copied."""
         pub = publication_id or str(uuid.uuid4())
-        seq = self._claim(pub, wait_seconds, stale_seconds)
+        seq = self.next_seq()
         at = now_utc()
         docs, split = descriptions or {}, replace_partitions or {}
         before = self.current(layer) if append or split else {}
@@ -282,25 +260,8 @@ class Catalog:
         if rows:
             (self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
                  .coalesce(1).write.mode("append").parquet(self.manifest_dir))
-        fs.delete(self.spark, f"{self.root}/_claims/seq={seq}")
         return seq
 
-    def compact(self, layer: str, table: str, version: str | None = None,
-                max_segments: int = 1) -> str | None:
-        """Rewrite a multi-segment table (incremental appends) as one version
-        and publish it; readers switch atomically, old segments are left for
-        ``cleanup``.  No-op while the table has at most ``max_segments``."""
-        cur = self.current(layer).get(table)
-        if cur is None or len(cur.paths) <= max_segments:
-            return None
-        version = version or f"compact-{uuid.uuid4().hex[:12]}"
-        self.write_version(self.load(layer, table, cur.paths), layer, table, version)
-        rows = self.spark.read.parquet(self.version_path(layer, table, version)).count()
-        if cur.rows is not None and rows != cur.rows:
-            raise ValueError(f"compaction of {layer}.{table} lost rows: {cur.rows} -> {rows}")
-        self.publish(layer, {table: (version, rows)}, publication_id=version)
-        return version
-
     # ------------------------------------------------------------ test results
     @property
     def test_results_dir(self) -> str:

@@ -3,8 +3,6 @@ stores and local paths alike), so paths are the same ones Spark reads."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import SparkSession
 
 
@@ -46,27 +44,3 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
             todo += [s for s in fs.listStatus(status.getPath())
                      if not s.getPath().getName().startswith(("_", "."))]
     return sorted(found)
-
-
-def create_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file; False if it is there already."""
-    fs, p = _fs_path(spark, path)
-    try:
-        out = fs.create(p, False)
-    except Exception as e:
-        if "AlreadyExists" in str(e):
-            return False
-        raise
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    return True
-
-
-def age_seconds(spark: SparkSession, path: str) -> float | None:
-    """Seconds since a file was written; None if it is gone."""
-    fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return None
-    return max(0.0, time.time() - fs.getFileStatus(p).getModificationTime() / 1000)

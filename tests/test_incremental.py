@@ -177,27 +177,6 @@ def test_cleanup_keeps_what_is_current(spark, tmp_root):
     assert catalog.spark.read.parquet(catalog.staging_path("silver", "b", "running")).count() == 3
 
 
-def test_publishers_take_turns(spark, tmp_root):
-    from concurrent.futures import ThreadPoolExecutor
-
-    from strata.sources import fs
-    from strata.sources.catalog import Catalog, ManifestError
-    catalog = Catalog(spark, f"{tmp_root}/wh")
-    one = spark.range(2).toDF("x")
-    for i in range(4):
-        catalog.write_version(one, "bronze", "t", f"v{i}")
-    with ThreadPoolExecutor(4) as pool:
-        seqs = list(pool.map(lambda i: catalog.publish("bronze", {"t": (f"v{i}", 2)}, append=("t",)),
-                             range(4)))
-    assert sorted(seqs) == [1, 2, 3, 4]
-    assert catalog.read("bronze", "t").count() == 8 and catalog.current("bronze")["t"].rows == 8
-    # a claim that another publisher holds is respected, a dead one's taken over
-    assert fs.create_new(spark, f"{catalog.root}/_claims/seq=5", "other")
-    with pytest.raises(ManifestError):
-        catalog.publish("bronze", {"t": ("v0", 2)}, wait_seconds=0.5)
-    assert catalog.publish("bronze", {"t": ("v0", 2)}, stale_seconds=-1) == 5
-
-
 def test_two_publications_with_one_number_are_refused(spark, tmp_root):
     from strata.sources.catalog import MANIFEST_SCHEMA, Catalog, ManifestError
     catalog = Catalog(spark, f"{tmp_root}/wh")
@@ -207,11 +186,29 @@ def test_two_publications_with_one_number_are_refused(spark, tmp_root):
         catalog.current("bronze")
 
 
-def test_compaction_notices_lost_rows(spark, tmp_root):
+def test_keyed_upsert_touches_only_its_buckets(spark, tmp_root):
+    from strata.plans.keyed import BUCKET, upsert_into
     from strata.sources.catalog import Catalog
     catalog = Catalog(spark, f"{tmp_root}/wh")
-    for v in ("v1", "v2"):
-        catalog.write_version(spark.range(2).toDF("x"), "bronze", "t", v)
-        catalog.publish("bronze", {"t": (v, 2 if v == "v1" else 3)}, append=("t",))
-    with pytest.raises(ValueError, match="lost rows"):
-        catalog.compact("bronze", "t")
+    schema = "k string, j int, v int, ts timestamp"
+    rows = [(f"k{i}", i % 3, i, T) for i in range(400)] + [(None, 1, -1, T), (None, 1, -2, T + dt.timedelta(1))]
+    first = upsert_into(catalog, "silver", "t", spark.createDataFrame(rows, schema), ["k", "j"], ["ts"], 64, "a")
+    assert len(first) == 64
+    before = set(catalog.current("silver")["t"].paths)
+    new = [("k7", 1, 700, T + dt.timedelta(1)), ("k7", 1, 701, T + dt.timedelta(2)), ("k8", 2, -8, T - dt.timedelta(1)),
+           ("new", 0, 1, T), (None, 1, 5, T + dt.timedelta(5))]
+    touched = upsert_into(catalog, "silver", "t", spark.createDataFrame(new, schema), ["k", "j"], ["ts"], 64, "b")
+    assert 1 <= len(touched) <= 4
+    after = set(catalog.current("silver")["t"].paths)
+    assert {p.rsplit("=", 1)[1] for p in after - before} == {str(b) for b in touched}
+    assert len(after) == 64 and len(after & before) == 64 - len(touched)
+    want = {(k, j): v for k, j, v, _ in rows} | {("k7", 1): 701, ("new", 0): 1, (None, 1): 5}
+    table = catalog.read("silver", "t")
+    assert {(r.k, r.j): r.v for r in table.collect()} == want and table.count() == len(want)
+    # what an upsert reads of the table: the filter prunes to the touched buckets
+    read = table.where(F.col(BUCKET).isin(touched))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert BUCKET in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert upsert_into(catalog, "silver", "t", spark.createDataFrame([], schema), ["k", "j"], ["ts"], 64) == []
+    with pytest.raises(ValueError, match="32 buckets"):
+        upsert_into(catalog, "silver", "t", spark.createDataFrame(new, schema), ["k", "j"], ["ts"], 32)
