@@ -1,8 +1,8 @@
 """Exact top-k inner-product search with ball trees.
 
-The vectors are dealt into shards.  A task builds a ball tree over its shard
-(centre and radius per node) and answers a block of queries by branch and
-bound: nodes are visited in the order of their upper bound q.c + |q| r, and a
+The vectors are dealt into shards.  A ball tree (centre and radius per node) is
+built over each shard once and stored with it; a task reads it and answers a
+block of queries by branch and bound: nodes are visited in the order of their upper bound q.c + |q| r, and a
 node below the current kth score is skipped with all that it holds.
 
 Shards are searched in waves, each eight times the one before.  The kth score
@@ -116,22 +116,61 @@ def search(tree: Tree, queries: np.ndarray, own: np.ndarray, floor: np.ndarray,
             yield i, -n, s
 
 
-def _searched(block, k: int, shard_rows: int):
+_ARRAYS = {"ids": np.int64, "vectors": np.int64, "centre": np.float64, "radius": np.float64,
+           "least": np.int64, "span": np.int64, "child": np.int64}
+_TREES = "wave int, n int, " + ", ".join(f"{c} binary" for c in _ARRAYS)
+_TREES_ARROW = pa.schema([("wave", pa.int32()), ("n", pa.int32())] + [(c, pa.binary()) for c in _ARRAYS])
+
+
+def _stored(tree: Tree, wave: int, n: int) -> dict:
+    child = np.array([c or (-1, -1) for c in tree.child], np.int64)
+    arrays = {"ids": tree.ids, "vectors": tree.vectors, "centre": tree.centre, "radius": tree.radius,
+              "least": tree.least, "span": np.array(tree.span, np.int64), "child": child}
+    return {"wave": wave, "n": n} | {c: np.ascontiguousarray(arrays[c], of).tobytes() for c, of in _ARRAYS.items()}
+
+
+def _loaded(row: dict) -> Tree:
+    of = {c: np.frombuffer(row[c], kind) for c, kind in _ARRAYS.items()}
+    n, rows, nodes = row["n"], len(of["ids"]), len(of["radius"])
+    return Tree(of["vectors"].reshape(rows, n), of["ids"], of["centre"].reshape(nodes, n), of["radius"],
+                of["least"], [tuple(s) for s in of["span"].reshape(nodes, 2).tolist()],
+                [c if c[0] >= 0 else None for c in of["child"].reshape(nodes, 2).tolist()])
+
+
+def _trees(shard_rows: int):
+    """A row per shard with its tree.  Rows come sorted by wave and length of
+    the vectors; a shard has rows of one of each, ``shard_rows`` at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, ids, vectors = None, [], []
+
+        def grown() -> pa.RecordBatch:
+            own = np.array(vectors, np.int64).reshape(len(ids), kind[1])
+            return pa.RecordBatch.from_pylist([_stored(build(own, np.array(ids, np.int64)), *kind)], _TREES_ARROW)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                now = row["wave"], row["n"]
+                if ids and (now != kind or len(ids) == shard_rows):
+                    yield grown()
+                    ids, vectors = [], []
+                kind = now
+                ids.append(row["vec_id"])
+                vectors.append(row["v"])
+        if ids:
+            yield grown()
+    return run
+
+
+def _searched(block, k: int):
     """The results of a task's shards for the queries of a block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, own, floor = block.value
         peak = float(np.abs(queries.astype(np.float64)).max(initial=0))
         for batch in batches:
-            for at in range(0, batch.num_rows, shard_rows):
-                part = batch.slice(at, shard_rows)
-                size = np.asarray(part.column("n"))
-                rows = part.filter(pa.array(size == queries.shape[1]))
-                if not rows.num_rows:
-                    continue
-                vectors = np.asarray(rows.column("v").flatten()).reshape(rows.num_rows, -1)
-                top = float(np.abs(vectors.astype(np.float64)).max(initial=0))
+            for row in batch.to_pylist():
+                tree = _loaded(row)
+                top = float(np.abs(tree.vectors.astype(np.float64)).max(initial=0))
                 exact = peak * top * queries.shape[1] < EXACT  # else 64-bit integers
-                tree = build(vectors, np.asarray(rows.column("vec_id")))
                 found = list(search(tree, queries, own, floor, k, exact))
                 if found:
                     i, n, s = (np.array(x, np.int64) for x in zip(*found, strict=True))
@@ -182,9 +221,10 @@ def exact_top_k(spark: SparkSession, vectors: DataFrame, k: int = 10, divisor: i
         waves.append(min(end, n_shards))
     shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_shards))
     wave = sum((shard >= w).cast("int") for w in waves[:-1]) if len(waves) > 1 else F.lit(0)
-    dealt = stage(spark, usable.withColumn("shard", shard).withColumn("wave", wave)
-                  .repartition(n_shards, "shard").select("vec_id", "v", "n", "wave"),
-                  "op7-shards", "wave")
+    trees = stage(spark, usable.withColumn("shard", shard).withColumn("wave", wave.cast("int"))
+                  .repartition(n_shards, "shard").sortWithinPartitions("wave", "n")
+                  .select("wave", "n", "vec_id", "v").mapInArrow(_trees(shard_rows), _TREES),
+                  "op7-trees", "wave", "n")
     asked = (usable.where(F.col("vec_id") % divisor == 0).groupBy("vec_id")
              .agg(F.min("v").alias("v")).withColumn("n", F.size("v")))
     asked = stage(spark, asked.repartitionByRange("n", "vec_id").sortWithinPartitions("n", "vec_id"),
@@ -196,8 +236,10 @@ def exact_top_k(spark: SparkSession, vectors: DataFrame, k: int = 10, divisor: i
         found = None
         for w in range(len(waves)):
             sent = spark.sparkContext.broadcast((queries, ids, floor))
-            new = (dealt.where(F.col("wave") == w).select("vec_id", "v", "n")
-                   .mapInArrow(_searched(sent, k, shard_rows), "query_id bigint, vec_id bigint, score bigint"))
+            # The partition columns, so that only the shards of the wave and the length are read.
+            own = trees.where((F.col("wave") == w) & (F.col("n") == queries.shape[1]))
+            new = (own.select("n", *_ARRAYS)
+                   .mapInArrow(_searched(sent, k), "query_id bigint, vec_id bigint, score bigint"))
             found = new if found is None else found.select(*new.columns).unionByName(new)
             found = stage(spark, _best(found, k), "op7-found")
             if w + 1 < len(waves):
