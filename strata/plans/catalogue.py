@@ -477,8 +477,8 @@ def extension_queries() -> dict[str, Query]:
             F.col("right_value").alias("fact_value"))
 
     def ex_reconcile_kpis(spark, sf_dir):
-        """The day's order count and sales, from the order fact and from the
-        mart: days on which the two differ, and the totals of both layers."""
+        """Order count, sales and number of days, of the order fact and of the
+        mart: the totals of both layers (``ex_reconcile_keys`` names keys)."""
         t = layers(spark, sf_dir)
         fact, mart = t["fact_orders"], t["mart_daily_sales"]
 
@@ -527,6 +527,25 @@ def extension_queries() -> dict[str, Query]:
         run_available(stream, sink, f"{root}/checkpoint")
         return catalog.read("silver", "events").select(*events.columns)
 
+    def ex_stream_late(spark, sf_dir):
+        """The same events in nine files, through a sink with a watermark of an
+        hour: late rows wait in a side table and are merged at the end."""
+        from strata.sources.catalog import Catalog
+        from strata.streaming.ingest import WatermarkSink, event_stream, run_available
+        root = scratch_path(spark, "late")
+        events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+        for n, copy in enumerate(("first", "redelivered"), 4):
+            (events.repartition(n, F.xxhash64("event_id", F.lit(copy)))
+             .write.parquet(f"{root}/source/{copy}"))
+        stream = (event_stream(spark, f"{root}/source/*", events.schema, "ts", files_per_trigger=3)
+                  .withColumn("event_day", F.to_date("ts")))
+        catalog = Catalog(spark, f"{root}/warehouse")
+        sink = WatermarkSink(catalog, "silver", "events", ["event_id"], partition_by="event_day",
+                             delay_seconds=3600)
+        run_available(stream, sink, f"{root}/checkpoint")
+        sink.merge_late()
+        return catalog.read("silver", "events").select(*events.columns)
+
     def ex_quarantine(spark, sf_dir):
         """Sellers landed in files that hold, after each whole row, one that
         lacks its last column: the malformed rows are quarantined with their
@@ -593,14 +612,14 @@ def extension_queries() -> dict[str, Query]:
                                     ex_replay, ex_incremental_load, ex_reconcile_kpis,
                                     ex_schema_policy, ex_batch_id, ex_ledger, ex_quarantine_bytes,
                                     ex_backfill, ex_backfill_mart, ex_schema_types, ex_reconcile_keys,
-                                    ex_upsert_buckets)}
+                                    ex_upsert_buckets, ex_stream_late)}
 
 
 def extension_oracles() -> dict[str, str]:
     from strata import oracle as o
     return {"ex_record_id": o.EX_RECORD_ID, "ex_upsert": o.EX_UPSERT,
             "ex_lookback": o.EX_LOOKBACK, "ex_reconcile": o.EX_RECONCILE,
-            "ex_stream_dedup": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE,
+            "ex_stream_dedup": o.EX_STREAM, "ex_stream_late": o.EX_STREAM, "ex_quarantine": o.EX_QUARANTINE,
             "ex_business_freshness": o.business_freshness_sql(_clocks()), "ex_replay": o.EX_REPLAY,
             "ex_incremental_load": o.EX_INCREMENTAL, "ex_reconcile_kpis": o.EX_RECONCILE_KPIS,
             "ex_schema_policy": o.EX_SCHEMA_POLICY, "ex_batch_id": o.EX_BATCH_ID,

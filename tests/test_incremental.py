@@ -153,6 +153,37 @@ def test_stream_loses_no_late_event(spark, tmp_root):
     assert "v" not in out.columns
 
 
+def test_watermark_sink_reopens_old_partitions_once(spark, tmp_root):
+    """Files of days in any order: batches write recent days only, late rows wait and are merged together."""
+    from strata.sources.catalog import Catalog
+    from strata.streaming.ingest import WatermarkSink, event_stream, run_available
+    schema = "event_id bigint, ts timestamp, day date, v string"
+
+    def rows(days, v):
+        return [(d * 10 + i, T + dt.timedelta(days=d, hours=i), T.date() + dt.timedelta(days=d), v)
+                for d in days for i in range(10)]
+    files = [rows([5], "a"), rows([9], "b"), rows([1, 9], "c"), rows([2, 8, 9], "d"), rows([1, 2, 10], "e"),
+             [(900, None, None, "f")]]
+    catalog = Catalog(spark, f"{tmp_root}/wh")
+    sink = WatermarkSink(catalog, "silver", "late", ["event_id"], partition_by="day", delay_seconds=36 * 3600)
+    stream = spark.createDataFrame([], schema)
+    written = []
+    for n, own in enumerate(files):
+        spark.createDataFrame(own, schema).coalesce(1).write.parquet(f"{tmp_root}/src/{n}")
+        run_available(event_stream(spark, f"{tmp_root}/src/*", stream.schema, "ts"), sink, f"{tmp_root}/ckpt")
+        paths = catalog.current("silver")["late"].paths if n < 9 else ()
+        written.append(sorted(int(p[-2:]) - 1 for p in paths if f"/v=b{n}-" in p and "__" not in p))
+    assert written == [[5], [9], [9], [8, 9], [10], []]
+    assert {r.day.day - 1 if r.day else None for r in sink.late().select("day").collect()} == {1, 2, None}
+    assert sink.watermark(2) == T + dt.timedelta(days=9, hours=9 - 36)
+    last = {}
+    for own in files:
+        last |= {r[0]: r[3] for r in own}
+    assert sink.merge_late() == 41 and sink.late() is None and sink.merge_late() == 0
+    out = catalog.read("silver", "late")
+    assert {r.event_id: r.v for r in out.collect()} == last and out.count() == len(last)
+
+
 def test_cleanup_keeps_what_is_current(spark, tmp_root):
     from strata.sources.catalog import Catalog
     catalog = Catalog(spark, f"{tmp_root}/wh")
