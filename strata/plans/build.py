@@ -97,7 +97,7 @@ def _write_layer(spark: SparkSession, catalog: Catalog, layer: str,
 
 def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame],
           on_failure: str = "raise", run_id: str | None = None,
-          parallelism: int = 4, check_freshness: bool = True, freshness_now=None,
+          parallelism: int = 8, check_freshness: bool = True, freshness_now=None,
           limits: Mapping[str, Mapping[str, object]] | None = None) -> BuildResult:
     """Build, test and publish Silver then Gold.
 
@@ -140,7 +140,7 @@ def build(spark: SparkSession, catalog: Catalog, bronze: Mapping[str, DataFrame]
 
 def publish_frames(spark: SparkSession, catalog: Catalog, layer: str,
                    frames: Mapping[str, DataFrame], version: str | None = None,
-                   parallelism: int = 4) -> dict[str, DataFrame]:
+                   parallelism: int = 8) -> dict[str, DataFrame]:
     """Write frames as versions of ``layer`` and publish them together; returns
     the written copies (e.g. to stage an already-parsed Bronze load)."""
     version = version or str(uuid.uuid4())

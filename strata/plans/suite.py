@@ -13,10 +13,11 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators import quality as q
+from strata.session import scratch_path
 from strata.sources.contracts import CONTRACTS, LOADED_AT
 
 
@@ -200,39 +201,54 @@ def _failures(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     return violations(check, tables).agg(F.count(F.lit(1)).alias("failures"))
 
 
-def _unique_failures(df: DataFrame, group: list[Check]) -> DataFrame:
-    """All unique tests of one table in one aggregation: each row is stacked
-    once per test as (test, key parts as strings), NULL keys dropped, grouped,
-    and the duplicated keys counted per test.  One scan and one shuffle for the
-    table instead of one per test; partial aggregation runs map-side."""
-    width = max(len(c.columns) for c in group)
-    entries = []
-    for c in group:
-        present = F.lit(True)
-        for col in c.columns:
-            present = present & F.col(col).isNotNull()
-        keys = [F.col(col).cast("string") for col in c.columns]
-        keys += [F.lit("")] * (width - len(keys))
-        entries.append(F.when(present, F.struct(F.lit(c.test_name).alias("test_name"),
-                                                *[k.alias(f"k{i}") for i, k in enumerate(keys)])))
-    stacked = df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
-    dupes = (stacked.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
-                    .where(F.col("n") > 1)
-                    .groupBy(F.col("e.test_name").alias("test_name"))
-                    .agg(F.count(F.lit(1)).alias("failures")))
-    names = df.sparkSession.createDataFrame(
-        [(c.layer, c.table, c.test_name) for c in group], "layer string, table_name string, test_name string")
-    return (names.join(dupes, "test_name", "left")
-                 .select("layer", "table_name", "test_name",
-                         F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
+def _unique_failures(tables: Mapping[str, DataFrame], checks: list[Check]) -> list[DataFrame]:
+    """The unique tests, by suspects.  All rows of all tables go through one
+    aggregation of (test, 64-bit hash of the key), which a map task reduces
+    first: sixteen bytes for a key, however wide it is.  Only rows whose hash
+    repeats, of tests that have any, are then grouped by the key itself."""
+    def keyed(c: Check) -> tuple[Column, Column]:
+        present = reduce(lambda x, y: x & y, [F.col(col).isNotNull() for col in c.columns])
+        return present, F.xxhash64(*c.columns)
+
+    number = {c.test_name: i for i, c in enumerate(checks)}
+    stacked: list[DataFrame] = []
+    by_table: dict[str, list[Check]] = {}
+    for c in checks:
+        by_table.setdefault(c.table, []).append(c)
+    for table, group in by_table.items():
+        entries = []
+        for c in group:
+            present, h = keyed(c)
+            entries.append(F.when(present, F.struct(F.lit(number[c.test_name]).alias("test"), h.alias("h"))))
+        stacked.append(tables[table].select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull()))))
+    spark = stacked[0].sparkSession
+    path = scratch_path(spark, "suspects")
+    (reduce(DataFrame.unionByName, stacked).groupBy("test", "h").agg(F.count(F.lit(1)).alias("n"))
+     .where("n > 1").select("test", "h").write.parquet(path))
+    suspects = spark.read.parquet(path)
+    some = {r[0] for r in suspects.select("test").distinct().collect()}     # at most one per test
+    clean = [(c.layer, c.table, c.test_name, 0) for c in checks if number[c.test_name] not in some]
+    schema = "layer string, table_name string, test_name string, failures bigint"
+    parts = [spark.createDataFrame(clean, schema)] if clean else []
+    for c in checks:
+        if number[c.test_name] in some:
+            present, h = keyed(c)
+            own = suspects.where(F.col("test") == number[c.test_name]).select(F.col("h").alias("_suspect"))
+            rows = (tables[c.table].where(present).select(*c.columns, h.alias("_h"))
+                    .join(own, F.col("_h") == F.col("_suspect"), "left_semi"))
+            parts.append(q.unique(rows, c.columns).agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
+                F.lit(c.test_name).alias("test_name"), "failures"))
+    return parts
 
 
 def summary(tables: Mapping[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
     """One row per check: layer, table_name, test_name, failures.
 
     Not-null tests of one table are measured together in one aggregate pass;
-    the other kinds are one aggregation or anti join each.  Everything is one
-    union, executed as one job.
+    unique tests of all tables in one aggregation that runs at once, for their
+    suspects; the other kinds are one aggregation or anti join each.  The rest is
+    one union, executed as one job.
     """
     checks = CHECKS if checks is None else checks
     parts: list[DataFrame] = []
@@ -250,12 +266,9 @@ def summary(tables: Mapping[str, DataFrame], checks: list[Check] | None = None)
         parts.append(counts.select(stacked).select(
             F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
             "t.test_name", "t.failures"))
-    uniques: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind == "unique":
-            uniques.setdefault(c.table, []).append(c)
-    for table, group in uniques.items():
-        parts.append(_unique_failures(tables[table], group))
+    uniques = [c for c in checks if c.kind == "unique"]
+    if uniques:
+        parts += _unique_failures(tables, uniques)
     for c in checks:
         if c.kind in ("not_null", "unique"):
             continue
