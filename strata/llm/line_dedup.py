@@ -196,9 +196,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, min_chars: int = MIN_CHARS,
     suspects = stage(spark, own.mapInArrow(
         _suspected(min_chars, log2, sent),
         T.StructType([doc_type, tie, T.StructField("key", T.StringType())])), "op4-suspects")
-    repeated = (suspects.groupBy("key")
-                .agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("last"))
-                .where(F.col("n") >= min_docs).select("key", "last"))
+    # Written first: the join then has an exchange of its own on either side, of which a hot key's can be split.
+    repeated = stage(spark, suspects.groupBy("key")
+                     .agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("last"))
+                     .where(F.col("n") >= min_docs).select("key", "last"), "op4-repeated")
     gone = (suspects.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
             .groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
             .agg(F.collect_set("key").alias("gone")))
