@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
+from strata.sources import fs
 
 # White space of the contracts: space and the five ASCII controls 9 to 13.
 WHITE = r"\x20\x09-\x0D"
@@ -24,11 +26,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_open: list[list[str]] = []
+
+
+@contextmanager
+def staged_inside() -> Iterator[list[str]]:
+    """The folders of the tables that are staged inside the block, in order."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open[:] = [x for x in _open if x is not made]
+
+
+def remove(spark: SparkSession, made: list[str], *keep: str) -> None:
+    """Delete staged tables but those of the names ``keep``, which a lazy result
+    still reads."""
+    for path in made:
+        if path.rsplit("/", 1)[-1].rsplit("-", 1)[0] not in keep:
+            fs.delete(spark, path)
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back.  It
     cuts the lineage; lost executors do not lose it, and the planner knows its
     size."""
     path = scratch_path(spark, name)
+    for made in _open:
+        made.append(path)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage
+from strata.llm.common import remove, stage, staged_inside
 
 
 def components(spark: SparkSession, links: DataFrame, name: str) -> DataFrame:
@@ -13,6 +13,14 @@ def components(spark: SparkSession, links: DataFrame, name: str) -> DataFrame:
     reaches.  Every round takes the smallest label of the neighbours and then
     the label of that label, so long chains take few rounds.  Labels and links
     are tables in the shared folder; a round that changes nothing ends it."""
+    with staged_inside() as made:
+        labels = _labels(spark, links, name)
+    # The last table is the result; no later step reads the ones before.
+    remove(spark, made[:-1])
+    return labels
+
+
+def _labels(spark: SparkSession, links: DataFrame, name: str) -> DataFrame:
     both = stage(spark, links.select("a", "b").unionByName(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-links")
     labels = stage(spark, both.groupBy(F.col("a").alias("node"))

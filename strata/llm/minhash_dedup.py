@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import U64, WHITE, mixed, slices, stage, without_rows, words
+from strata.llm.common import (U64, WHITE, mixed, remove, slices, stage, staged_inside, without_rows,
+                               words)
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -378,6 +379,13 @@ def _rest(search: _Search) -> None:
 def _graph(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, key (the hash of its text), n_shingles, label
     (its component, null for the empty set) and component_id."""
+    with staged_inside() as made:
+        found = _searched(spark, docs)
+    remove(spark, made, "op8-rows", "op8-known")
+    return found
+
+
+def _searched(spark: SparkSession, docs: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                       F.xxhash64(F.col("text").cast("string")).alias("key"),
                       F.col("text").cast("string").alias("text"))
@@ -418,9 +426,9 @@ def _graph(spark: SparkSession, docs: DataFrame) -> DataFrame:
     label = stage(spark, label, "op8-label")
     least = stage(spark, label.groupBy("label").agg(F.min("first").alias("component_id"),
                                                     F.count(F.lit(1)).alias("n")).where("n > 1"), "op8-least")
-    known = (label.join(least.drop("n"), "label", "left")
-             .select("node", "label", F.when(F.col("component_id").isNull(), F.col("first"))
-                     .otherwise(F.col("component_id")).alias("component_id")))
+    known = stage(spark, label.join(least.drop("n"), "label", "left")
+                  .select("node", "label", F.when(F.col("component_id").isNull(), F.col("first"))
+                          .otherwise(F.col("component_id")).alias("component_id")), "op8-known")
     return (rows.join(known, "node", "left")
             .select("doc_id", "key", "n_shingles", "label",
                     F.when(F.col("node").isNull(), F.col("doc_id"))

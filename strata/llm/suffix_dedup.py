@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import U64, slices, stage
+from strata.llm.common import U64, remove, slices, stage, staged_inside
 
 SPAN = 50                # bytes of a string
 GRAM = 20                # bytes of an anchor
@@ -466,6 +466,13 @@ def without_repeats(spark: SparkSession, docs: DataFrame, hot_slices: int = HOT_
     take nothing from each other.  Each row has its result; an empty table gives
     an empty result.  Other columns are ignored.
     """
+    with staged_inside() as made:
+        found = _without_repeats(spark, docs, hot_slices, pieces_at_once)
+    remove(spark, made, "op13-slices", "op13-told", "op13-first")
+    return found
+
+
+def _without_repeats(spark: SparkSession, docs: DataFrame, hot_slices: int, pieces_at_once: int) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     cut = stage(spark, own.mapInArrow(_sliced, _SLICE_SQL)
                 .withColumn("slice", F.monotonically_increasing_id()), "op13-slices")
