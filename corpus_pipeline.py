@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import exact_dedup, language_id, minhash_dedup, mixing, packing
-from strata.llm.common import stage, table, workers_find_package
+from strata.llm.common import remove, stage, staged_inside, table, workers_find_package
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +48,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     workers_find_package(spark)
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stage(spark, docs, f"pipeline-{k}")
-    return docs
+    docs, before = table(spark, sf_dir, "documents"), []
+    for k, (_, step) in enumerate(STAGES[:-1]):
+        with staged_inside() as made:
+            docs = stage(spark, step(spark, docs, sf_dir), f"pipeline-{k}")
+        # What the stage has read and written on its way is not needed any more.
+        remove(spark, before + made[:-1])
+        before = made[-1:]
+    return STAGES[-1][1](spark, docs, sf_dir)
