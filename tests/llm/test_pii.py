@@ -125,3 +125,63 @@ def test_query_digest(spark):
     assert len(got) == len(texts)
     for r in texts:
         assert got[r["doc_id"]]["base_sha256"] == hashlib.sha256(brute(r["text"]).encode()).hexdigest()
+
+
+def plain_bootstrap(mentions):
+    """The iteration on the pattern-instance graph in plain loops."""
+    edge = {}
+    for _, _, _, value, context, kind in mentions:
+        held = edge.get((context, value))
+        edge[context, value] = kind if held is None else held if kind is None else max(held, kind)
+    seeds = {}
+    for (_, value), kind in edge.items():
+        if kind is not None:
+            seeds[value] = (max(kind, seeds[value][0]) if value in seeds else kind, 1.0)
+    known, found, last = dict(seeds), None, (0, 0, 0.0)
+    while True:
+        reliable = {}
+        for context in {c for c, _ in edge}:
+            own = [known.get(v) for c, v in edge if c == context]
+            best = max(((sum(x[1] for x in own if x and x[0] == k), k, sum(1 for x in own if x and x[0] == k))
+                        for k in {x[0] for x in own if x}), default=None)
+            if best and best[2] >= pii.MIN_SEEDS and best[0] / (len(own) + 1) >= pii.MIN_CONTEXT:
+                reliable[context] = best[1], best[0] / (len(own) + 1)
+        doubt = {}
+        for (context, value), kind in edge.items():
+            if kind is None and context in reliable:
+                k, trust = reliable[context]
+                doubt[value, k] = doubt.get((value, k), 1.0) * (1 - trust)
+        best = {}
+        for (value, kind), x in doubt.items():
+            if 1 - x >= pii.MIN_INSTANCE:
+                kept = found is not None and value in found and found[value][0] == kind
+                best[value] = max(best.get(value, (False, 0.0, "")), (kept, 1 - x, kind))
+        found = {v: (kind, conf) for v, (_, conf, kind) in best.items()}
+        known = {**found, **seeds}
+        now = len(reliable), len(found), sum(c for _, c in found.values())
+        if now[:2] == last[:2] and now[2] - last[2] < pii.SETTLED:
+            break
+        last = now
+    return sorted((row, start, end, found[value][0]) for row, start, end, value, context, kind in mentions
+                  if kind is None and value in found and reliable.get(context, (None,))[0] == found[value][0])
+
+
+def test_added_spans_equal_brute_force(spark):
+    """Random graphs of contexts and values, in which identifiers are found over several rounds."""
+    rng = random.Random(17)
+    added = 0
+    for _ in range(6):
+        kinds = {f"v{i}": rng.choice(["email", "phone", "ip"]) for i in range(120)}
+        leaning = {f"c{i}": rng.choice(["email", "phone", "ip", None]) for i in range(10)}
+        rows = []
+        for i in range(1500):
+            context = rng.choice(list(leaning))
+            fit = [v for v, k in kinds.items() if leaning[context] in (None, k) or rng.random() < 0.002]
+            value = rng.choice(fit)
+            kind = kinds[value] if int(value[1:]) % 8 or rng.random() < 0.01 else None
+            rows.append((i, 10 * i, 10 * i + 5, value, context, kind))
+        df = spark.createDataFrame(rows, "row bigint, start int, end int, value string, context string, kind string")
+        got = sorted(tuple(r) for r in pii.bootstrapped(spark, df.repartition(3)).collect())
+        assert got == plain_bootstrap(rows)
+        added += len(got)
+    assert added > 100
