@@ -67,3 +67,19 @@ def test_summary_and_gate(spark):
                     "unique:stg_customers.customer_id": 1}
     assert all(v == 0 for v in
                (r.failures for r in suite.summary({"stg_customers": good}, checks).collect()))
+
+
+def test_unique_tests_by_suspects_equal_grouping(spark):
+    """Single and composite keys, nulls, clean and dirty tests of two tables in one pass."""
+    rows = [(i % 40, "a" if i % 3 else None, i) for i in range(90)] + [(None, "b", 1000), (None, "b", 1001)]
+    tables = {"t": spark.createDataFrame(rows, "k int, s string, i int").repartition(3),
+              "u": spark.createDataFrame([(i, f"{i % 2}") for i in range(10)], "k int, s string")}
+    checks = [suite.Check("gold", t, "unique", columns) for t, columns in
+              (("t", ("k",)), ("t", ("k", "s")), ("t", ("i",)), ("t", ("s", "i")), ("u", ("k",)), ("u", ("s",)))]
+    got = {r.test_name: (r.layer, r.table_name, r.failures) for r in suite.summary(tables, checks).collect()}
+    want = {c.test_name: ("gold", c.table, q.unique(tables[c.table], c.columns).count()) for c in checks}
+    assert got == want
+    assert [want[c.test_name][2] for c in checks] == [40, want["unique:t.k+s"][2], 0, 0, 0, 2]
+    assert want["unique:t.k+s"][2] > 0
+    clean = suite.summary(tables, [checks[2], checks[4]]).collect()
+    assert [r.failures for r in clean] == [0, 0]
