@@ -172,11 +172,12 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, seed: int = 0, cap: fl
     document is taken.  The document of a source at which the budget ends is
     cut to its first words, joined by single spaces.  Texts are not shuffled,
     but for those of the cell where a source's budget ends."""
-    # the whole row as one column, so that its names clash with none of the plan's
-    full = _drawn(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_doc")),
-                  seed, None)
-    light = stage(spark, full.select("doc_id", "source", "_mix_size", "_mix_key"), "op5-keys")
-    rows = _placed(full, _plan(spark, light, weights, cap, cell_rows))
+    # the whole row as one column, so that its names clash with none of the plan's; written once
+    # with its size and key, which take regular expressions over the text
+    full = stage(spark, _drawn(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_doc")),
+                               seed, None).drop("text"), "op5-drawn")
+    light = full.select("doc_id", "source", "_mix_size", "_mix_key")
+    rows = _placed(full, _plan(spark, light, weights, cap, cell_rows)).withColumn("text", F.col("_doc")["text"])
     cut = F.array_join(F.slice(F.split(F.trim(collapsed(F.col("text"))), " "),
                                F.lit(1), F.col("part").cast("int")), " ")
     once_more = F.when(F.col("part") == 0, F.array().cast("array<string>")).otherwise(
