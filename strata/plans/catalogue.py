@@ -654,6 +654,7 @@ def ingest_queries() -> dict[str, Query]:
 
     from strata.plans import analytics as a
     from strata.sources.contracts import CONTRACTS
+    from strata.sources.csv_ingest import file_rows
 
     def ingest_csv_roundtrip(spark, sf_dir):
         """Land the raw tables as CSV, ingest them strictly, and profile the
@@ -666,11 +667,7 @@ def ingest_queries() -> dict[str, Query]:
             df = published[c.name]
             nulls = reduce(lambda x, y: x + y,
                            [F.col(col).isNull().cast("bigint") for col in c.columns])
-            per_file = df.groupBy("_source_file").agg(
-                F.count(F.lit(1)).alias("n"), F.min("_source_row_number").alias("lo"),
-                F.max("_source_row_number").alias("hi"),
-                F.countDistinct("_source_row_number").alias("d"))
-            bad = per_file.agg(F.count_if((F.col("lo") != 1) | (F.col("hi") != F.col("n"))
+            bad = file_rows(df).agg(F.count_if((F.col("lo") != 1) | (F.col("hi") != F.col("n"))
                                           | (F.col("d") != F.col("n"))).alias("bad_files"))
             stats = df.agg(F.count(F.lit(1)).alias("row_count"),
                            F.sum(nulls).cast("bigint").alias("null_cells"),

@@ -95,6 +95,9 @@ RUN_EVENT_SCHEMA = StructType([
     StructField("event_at", TimestampType(), False),
 ])
 
+# Codec of the written tables: about a third smaller than Spark's default, and as quick to read.
+CODEC = "zstd"
+
 # Run states.
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 
@@ -170,7 +173,7 @@ class Catalog:
         path = self.version_path(layer, table, version)
         if partition_by:
             df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("errorifexists")
+        writer = df.write.mode("errorifexists").option("compression", CODEC)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
