@@ -29,18 +29,26 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
 
 
-def unique(df: DataFrame, columns: Sequence[str] | str) -> DataFrame:
+def unique(df: DataFrame, columns: Sequence[str] | str, partitions: int | None = None) -> DataFrame:
     """Key values that occur more than once (``n_records`` = occurrences).
 
     Rows with a NULL in the key are ignored.  Works for one column or a
     composite key; for a composite it is the same test as uniqueness of the
     ``a || '-' || b`` string, without building the string.
+
+    ``partitions`` deals the rows by their key into so many tasks, which AQE
+    does not merge: for rows of nearly distinct keys, whose counts take far more
+    memory than their few shuffled bytes let AQE expect.  Without it rows are
+    counted before the shuffle, as a key that many rows hold needs.
     """
     cols = [columns] if isinstance(columns, str) else list(columns)
     present = F.lit(True)
     for c in cols:
         present = present & F.col(c).isNotNull()
-    return (df.where(present).groupBy(*cols)
+    rows = df.where(present)
+    if partitions:
+        rows = rows.select(*cols).repartition(partitions, *cols)
+    return (rows.groupBy(*cols)
               .agg(F.count(F.lit(1)).alias("n_records"))
               .where(F.col("n_records") > 1))
 

@@ -61,6 +61,19 @@ def _composite(c) -> bool:
     return c.kind == "unique" and len(c.columns) == 2
 
 
+# Keys that a task counts, about 200 bytes each.
+KEYS_PER_TASK = 1_000_000
+
+
+def _key_tasks(t: Layers, tables: set[str]) -> dict[str, int]:
+    """Into how many tasks the keys of Silver and Gold tables are dealt: by the
+    rows of Bronze behind each, which come from the files' footers."""
+    behind = {x: SILVER[x if x in SILVER else GOLD[x][1][0]][1] for x in tables}
+    rows = {raw: t[raw].count() for raw in set(behind.values())}
+    return {x: max(int(t[raw].sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                   -(-rows[raw] // KEYS_PER_TASK)) for x, raw in behind.items()}
+
+
 def quality_queries() -> dict[str, Query]:
     from functools import reduce
 
@@ -95,24 +108,26 @@ def quality_queries() -> dict[str, Query]:
         return reduce(lambda x, y: x.unionByName(y), parts)
 
     def dq_unique_composite(spark, sf_dir):
-        t = layers(spark, sf_dir)
-        parts = [s.violations(c, t).select(
+        t, checks = layers(spark, sf_dir), [c for c in s.select(kind="unique") if _composite(c)]
+        tasks = _key_tasks(t, {c.table for c in checks})
+        parts = [s.violations(c, t, tasks[c.table]).select(
                      F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
                      F.col(c.columns[0]).cast("string").alias("key_1"),
                      F.col(c.columns[1]).cast("string").alias("key_2"), "n_records")
-                 for c in s.select(kind="unique") if _composite(c)]
+                 for c in checks]
         return reduce(lambda x, y: x.unionByName(y), parts)
 
     def dq_unique_key_string(spark, sf_dir):
         """The composite unique tests as they are declared: on the string of the
         key's parts (null if a part is)."""
         from strata.functions.clean import key_concat
-        t = layers(spark, sf_dir)
-        parts = [t[c.table].select(key_concat(*c.columns).alias("key_string"))
-                 .where(F.col("key_string").isNotNull()).groupBy("key_string")
-                 .agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
+        from strata.operators import quality as q
+        t, checks = layers(spark, sf_dir), [c for c in s.select(kind="unique") if _composite(c)]
+        tasks = _key_tasks(t, {c.table for c in checks})
+        parts = [q.unique(t[c.table].select(key_concat(*c.columns).alias("key_string")), "key_string",
+                          tasks[c.table])
                  .select(F.lit(c.table).alias("table_name"), "key_string", "n_records")
-                 for c in s.select(kind="unique") if _composite(c)]
+                 for c in checks]
         return reduce(lambda x, y: x.unionByName(y), parts)
 
     def dq_accepted_values(spark, sf_dir):

@@ -165,12 +165,13 @@ def trend(results: DataFrame) -> DataFrame:
                     "runs_not_passed", "tested_at"))
 
 
-def violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+def violations(check: Check, tables: Mapping[str, DataFrame], partitions: int | None = None) -> DataFrame:
+    """The rows that the test returns; ``partitions`` as in ``quality.unique``."""
     df = tables[check.table]
     if check.kind == "not_null":
         return q.not_null(df, check.columns[0])
     if check.kind == "unique":
-        return q.unique(df, check.columns)
+        return q.unique(df, check.columns, partitions)
     if check.kind == "accepted_values":
         return q.accepted_values(df, check.columns[0], check.values)
     if check.kind == "relationships":

@@ -1,11 +1,16 @@
 """What the warehouse's steps shuffle and write: properties that keep the volume down."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import quality as q
+from strata.plans import catalogue
 from strata.sources import csv_ingest as ci
 from strata.sources.catalog import Catalog
 from strata.sources.contracts import contract
 
+from small_data import SF_SMALL
+
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -39,3 +44,21 @@ def test_written_tables_are_compressed_with_zstd(spark, tmp_root):
     path = Catalog(spark, f"{tmp_root}/wh").write_version(spark.range(5), "silver", "t", "v")
     files = [f[0] for f in spark.read.parquet(path).select("_metadata.file_name").distinct().collect()]
     assert files and all(".zstd." in f for f in files)
+
+
+def test_unique_dealt_by_key_equals_unique(spark):
+    rows = [(f"{i % 37}", i % 5, i) for i in range(300)] + [(None, 1, 1), (None, 1, 1), ("x", None, 1)]
+    df = spark.createDataFrame(rows, "a string, b int, i int")
+    for columns in ("a", ["a", "b"], ["a", "i"], ["b", "i"]):
+        assert sorted(q.unique(df, columns, 7).collect()) == sorted(q.unique(df, columns).collect()), columns
+    assert "REPARTITION_BY_NUM" in plan(q.unique(df, ["a", "b"], 7))
+
+
+@pytest.mark.parametrize("name", ["dq_unique_composite", "dq_unique_key_string"])
+def test_tasks_that_count_keys_grow_with_the_rows(spark, monkeypatch, name):
+    """6,000 order lines, 1,500 reviews: a task counts at most so many keys, and AQE does not merge the tasks."""
+    monkeypatch.setattr(catalogue, "KEYS_PER_TASK", 100)
+    p = plan(catalogue.all_queries()[name](spark, SF_SMALL))
+    lines = -(-spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 100)
+    assert p.count(f", {lines}), REPARTITION_BY_NUM") == 3      # order lines twice, payments
+    assert p.count("REPARTITION_BY_NUM") == 4
