@@ -62,3 +62,25 @@ def test_tasks_that_count_keys_grow_with_the_rows(spark, monkeypatch, name):
     lines = -(-spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 100)
     assert p.count(f", {lines}), REPARTITION_BY_NUM") == 3      # order lines twice, payments
     assert p.count("REPARTITION_BY_NUM") == 4
+
+
+@pytest.mark.parametrize("name, text", [("stg_orders", "order_purchase_timestamp"), ("stg_order_items", "price"),
+                                        ("stg_order_payments", "payment_value"),
+                                        ("stg_order_reviews", "review_creation_date")])
+def test_silver_parses_before_it_shuffles(spark, name, text):
+    """Below the exchange of the dedup the parsed value is there already, above it its text is not."""
+    raw = spark.createDataFrame([], contract(catalogue.SILVER[name][1]).bronze_schema())
+    p = plan(catalogue.SILVER[name][0](raw))
+    above, below = p.split("Exchange hashpartitioning", 1)
+    assert f"({text}#" not in above and f"({text}#" in below
+
+
+def test_suspects_of_unique_tests_are_short_hashes(spark, monkeypatch, tmp_root):
+    """Keys of one hash that differ are told apart, however short the hash is."""
+    from strata.plans import suite
+    df = spark.createDataFrame([(i, i % 90) for i in range(100)], "a int, b int")
+    checks = [suite.Check("gold", "t", "unique", (c,)) for c in ("a", "b")]
+    for bits in (suite.HASH_BITS, 3, 1):
+        monkeypatch.setattr(suite, "HASH_BITS", bits)
+        got = {r.test_name: r.failures for r in suite.summary({"t": df}, checks).collect()}
+        assert got == {"unique:t.a": 0, "unique:t.b": 10}, bits
