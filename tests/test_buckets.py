@@ -46,6 +46,7 @@ def dirty(spark):
 def test_build_publishes_what_the_lazy_models_have(spark, tmp_root, monkeypatch, dirty):
     monkeypatch.setattr(b, "LEAST_ROWS", 200)
     monkeypatch.setattr(b, "ROWS_PER_BUCKET", 150)
+    monkeypatch.setattr(b, "ROWS_PER_PIECE", 30)
     tables = {t.name for t in spark.catalog.listTables()}
     catalog, lazy = Catalog(spark, f"{tmp_root}/wh"), Layers(dirty)
     build(spark, catalog, dirty, on_failure="warn")
@@ -86,9 +87,9 @@ def test_facts_are_put_together_by_month_without_an_exchange(spark):
     sizes = {r[0]: r[1] for r in days.groupBy("month").count().collect()}
     assert sizes == {202401: 3600, 202402: 200, None: 200}
     with pytest.MonkeyPatch.context() as m, b.settings(spark), b.Buckets(spark, 6) as buckets:
-        m.setattr(b, "ROWS_PER_BUCKET", 1000)
+        m.setattr(b, "ROWS_PER_PIECE", 1000)
         cut = days.repartition(5).withColumn("piece", b.piece(sizes, F.col("month"), F.col("order_id")))
-        staged = buckets.stage(cut, "days", "piece")
+        staged = buckets.stage(cut, "days", "piece", 5)
         assert "Exchange" not in plan(staged)
         b.whole_pieces(staged, "piece").write.partitionBy("month").parquet(f"{buckets.staging}/out")
         out = spark.read.parquet(f"{buckets.staging}/out")
