@@ -125,3 +125,17 @@ def test_mart_with_customers_counted_apart(spark):
     fact = fact.unionByName(odd).unionByName(odd.withColumn("order_date_key", F.lit(None).cast("int")))
     known = F.col("date_key").isNotNull()
     assert rows(gold.daily_sales_in_two(fact).where(known)) == rows(gold.daily_sales(fact).where(known))
+
+
+def test_a_written_table_is_read_in_its_buckets(spark):
+    """Also after its entry in the session catalogue is gone."""
+    df = spark.createDataFrame([(f"{i % 50}", i, dt.datetime(2024, 1, 1)) for i in range(200)],
+                               "k string, v int, t timestamp_ntz").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    path = f"{b.scratch_path(spark, 'read')}/t"
+    with b.Buckets(spark, 4) as buckets:
+        buckets.write(df, path, "k")
+    with b.Buckets(spark, 4) as buckets:
+        again = buckets.read(path, "k")
+        counts = again.groupBy("k").count()
+    assert "Exchange" not in plan(counts) and rows(again) == rows(df)
+    assert {r["count"] for r in counts.collect()} == {4} and counts.count() == 50
